@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import counting, packing, records, sharding
+from loomline.llm import counting, html, jaccard, mixing, packing, quality, records, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,34 @@ def op8_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), weights=(1, 2, 3), cap=3)
+    return mixed.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
+@query
+def op2_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return texts.select(F.col("page_id").cast("long").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op3_ratio_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select(F.col("doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_score")
+
+
+@query
+def op7_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = toxicity.score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op10_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(documents(spark, sf_dir), k=5, percent=80)
