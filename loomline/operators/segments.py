@@ -28,13 +28,15 @@ def gaps_and_islands(
     lasts: dict[str, str] | None = None,
     distincts: dict[str, str] | None = None,
     count: str | None = None,
+    starts: dict[str, str] | None = None,
     deltas: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per run of rows whose ``change`` columns stay equal.
 
     ``firsts`` and ``lasts`` map output names to columns read at the run's first and last
-    row, ``distincts`` to columns whose non-null values are counted, and ``deltas`` to
-    outputs whose difference from the run before is wanted (the first run starts from 0).
+    row, ``distincts`` to columns whose non-null values are counted, ``starts`` to outputs
+    whose value in the run before is wanted (0 for the first run), and ``deltas`` to outputs
+    whose difference from that value is.
     Everything runs behind a single exchange on ``partition``: grouping by that and the
     segment number is satisfied by the same distribution.
     """
@@ -50,6 +52,8 @@ def gaps_and_islands(
     aggregates += [F.count_distinct(c).alias(name) for name, c in (distincts or {}).items()]
     out = numbered.groupBy(*partition, segment).agg(*aggregates)
     runs = Window.partitionBy(*partition).orderBy(segment)
+    for name, c in (starts or {}).items():
+        out = out.withColumn(name, F.lag(c, 1, 0).over(runs))
     for name, c in (deltas or {}).items():
         out = out.withColumn(name, F.col(c) - F.lag(c, 1, 0).over(runs))
     return out
