@@ -5,21 +5,21 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: The pre-tokenizer pattern and the normalizers for which the word memo below knows the pieces of a word.
+#: The pre-tokenizer pattern, normalizers and end mark for which the word memo below knows the pieces of a word.
 WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_BPE_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-#: The same pieces, for words of printable ASCII and the Latin-1 letters only.
-LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+WORD_END = "</w>"
+#: The same pieces, for words of printable ASCII and the Latin-1 letters only; and the line end that parts such words.
+LATIN_PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 NOT_LATIN = re.compile(r"[^!-~À-ÖØ-öø-ÿ]")
-#: Words a memo holds before it starts anew; some 200 bytes each.
-MEMO_WORDS = 800_000
+#: Words and pieces a memo holds before it starts anew; some 200 bytes each.
+MEMO_WORDS, MEMO_PIECES = 700_000, 500_000
 
 
 def load_tokenizer(path: str):
@@ -32,22 +32,47 @@ def load_tokenizer(path: str):
 
 
 def splits_at_spaces(path: str) -> bool:
-    """Whether the tokenizer drops white space and never joins what stands on both sides of it."""
+    """Whether the tokenizer drops white space, never joins what stands on both sides of it, and marks ends of pieces."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     normal = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
-    return parts[0].get("pattern") == {"Regex": WORD_BPE_PATTERN} and parts[0].get("behavior") == "Removed" and normal == WORD_BPE_NORMALIZERS
+    marked = spec["model"].get("end_of_word_suffix") == WORD_END
+    return marked and parts[0].get("pattern") == {"Regex": WORD_BPE_PATTERN} and parts[0].get("behavior") == "Removed" and normal == WORD_BPE_NORMALIZERS
+
+
+class Pool:
+    """Id lists by slot, in one flat array."""
+
+    def __init__(self):
+        self.slot: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.slot.update(zip(keys, range(len(self.sizes), len(self.sizes) + len(keys)), strict=True))
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+
+    def slots(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
+
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, offsets) of the lists at the slots."""
+        sizes = self.sizes[slots]
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        begins = np.cumsum(self.sizes) - self.sizes
+        return self.ids[np.repeat(begins[slots] - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
 
 class BatchEncoder:
     """Encodes batches of texts to flat id arrays with offsets.
 
     For tokenizers that split at white space, a text's ids are those of its words in turn,
-    so each batch's distinct words are found by Arrow and only words not met before go to
-    the library. Such words are cut into the pieces the pre-tokenizer would cut, if they
-    hold plain Latin letters only; any other word is encoded as it stands. Other tokenizers
-    encode each text directly. The memo is bounded and starts anew when it is full.
+    so each batch's distinct words are found by Arrow and only words not met before are
+    looked at. Such words are cut into the pieces the pre-tokenizer would cut, if they hold
+    plain Latin letters only; new pieces go to the library many at a time, parted by
+    spaces, and its end marks part their ids again. Any other word is encoded as it
+    stands. Other tokenizers encode each text directly. The memo is bounded and starts
+    anew when it is full.
     """
 
     def __init__(self, path: str):
@@ -55,31 +80,36 @@ class BatchEncoder:
         self.by_word = splits_at_spaces(path)
         specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.not_plain = re.compile("|".join([NOT_LATIN.pattern, *specials]))
-        self.forget()
-
-    def forget(self):
-        self.memo: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.sizes, self.pool = array("q"), array("I")
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
+        self.words, self.pieces = Pool(), Pool()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn_pieces(self, new: list[str]) -> None:
+        lists = self._encode([" ".join(new[at : at + 256]) for at in range(0, len(new), 256)])
+        ids = np.fromiter((i for x in lists for i in x), np.uint32)
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        self.pieces.add(new, ids, np.diff(ends, prepend=0))
+
     def _learn(self, words: list[str]) -> None:
-        pieces, cut, new = self.pieces, [], {}
-        for w in words:
-            cut.append(found := [w] if self.not_plain.search(w) else LATIN_PIECES.findall(w.lower()))
-            new.update((p, None) for p in found if p not in pieces)
-        new = list(new)
-        for at in range(0, len(new), 4096):
-            pieces.update(zip(new[at : at + 4096], self._encode(new[at : at + 4096]), strict=True))
-        for w, found in zip(words, cut, strict=True):
-            self.memo[w] = len(self.sizes)
-            size = 0
-            for p in found:
-                self.pool.extend(ids := pieces[p])
-                size += len(ids)
-            self.sizes.append(size)
+        odd = [w for w in words if self.not_plain.search(w)]
+        if odd:
+            lists = self._encode(odd)
+            self.words.add(odd, np.fromiter((i for x in lists for i in x), np.uint32), np.fromiter(map(len, lists), np.int64))
+            strange = set(odd)
+            words = [w for w in words if w not in strange]
+        if not words:
+            return
+        found = LATIN_PIECES.findall("\n".join(words).lower() + "\n")
+        if len(self.pieces.slot) > MEMO_PIECES or not self.pieces.slot:
+            self.pieces = Pool()
+            self.pieces.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        self._learn_pieces([p for p in dict.fromkeys(found) if p not in self.pieces.slot])
+        slots = self.pieces.slots(found)
+        ids, ends = self.pieces.gather(slots)
+        self.words.add(words, ids, np.diff(ends[1:][slots == 0], prepend=0))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts: the ids of text i are ids[offsets[i]:offsets[i + 1]]; null is empty."""
@@ -91,18 +121,12 @@ class BatchEncoder:
         words = pc.ascii_split_whitespace(texts)
         starts = np.asarray(words.offsets, dtype=np.int64)
         coded = words.flatten().dictionary_encode()
-        index, known = np.asarray(coded.indices, dtype=np.int64), coded.dictionary.to_pylist()
-        if len(self.memo) + len(known) > MEMO_WORDS:
-            self.forget()
-        memo = self.memo
-        self._learn([w for w in known if w not in memo])
-        slots = np.fromiter(map(memo.__getitem__, known), dtype=np.int64, count=len(known))[index]
-        all_sizes = np.array(self.sizes, dtype=np.int64)
-        pool, begins = np.array(self.pool, dtype=np.uint32), np.cumsum(all_sizes) - all_sizes
-        sizes = all_sizes[slots]
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        where = np.repeat(begins[slots] - ends[:-1], sizes) + np.arange(ends[-1])
-        return pool[where], ends[starts - starts[0]]
+        known = coded.dictionary.to_pylist()
+        if len(self.words.slot) + len(known) > MEMO_WORDS:
+            self.words = Pool()
+        self._learn([w for w in known if w not in self.words.slot])
+        ids, ends = self.words.gather(self.words.slots(known)[np.asarray(coded.indices, dtype=np.int64)])
+        return ids, ends[starts - starts[0]]
 
 
 @lru_cache(maxsize=2)
