@@ -52,7 +52,8 @@ def number_rows(df: DataFrame, order: list, name: str) -> DataFrame:
     Rows equal in ``order`` are numbered in an order that the checkpoint fixes.
     """
     base, row, part = f"_{name}_base", f"_{name}_row", f"_{name}_part"
-    sorted_rows = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()))
+    # Range bounds come from a sample of the rows, which must not run what made them twice.
+    sorted_rows = cut(cut(df).repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()))
     placed = sorted_rows.withColumn(part, F.shiftright(row, 33))
     counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias(base))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
