@@ -1,0 +1,65 @@
+"""The corpus pipeline: quality, toxicity, near duplicates, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
+and read again as the next stage's documents. All but the last return the columns of
+documents. A text that is null or empty has under 20 words and goes in the first stage.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from loomline.llm import jaccard, mixing, packing, quality, toxicity
+from loomline.llm.common import scratch
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality.judge(docs, labels(spark, sf_dir)).where("kept").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below a half."""
+    return toxicity.score_toxicity(docs, labels(spark, sf_dir)).where("toxicity < 0.5").select(*docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates (five words, similarity 0.8 or more)."""
+    return jaccard.keep_one(docs, k=5, percent=80).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.repeat_copies(mixing.mix(docs, weights=(1, 2, 3), cap=3)).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents as sequences of power-of-two lengths of at most 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096, keep_ids=False)
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("toxicity", drop_toxic),
+    ("near duplicates", keep_one_of_near_duplicates),
+    ("mixing sources", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: SQL cannot express the fitted chain, nor components; tests compare with a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the last stage gives for the documents of a folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        path = scratch(spark, f"stage{i}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

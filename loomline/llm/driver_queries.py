@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import counting, html, jaccard, mixing, packing, quality, records, sharding, toxicity
+import corpus_pipeline
+from loomline.llm import counting, html, jaccard, mixing, packing, quality, records, search, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +82,14 @@ def op7_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(documents(spark, sf_dir), k=5, percent=80)
+
+
+@query
+def op6_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return search.top_k(docs, docs.where(search.every_fiftieth(F.col("doc_id"))), k=10)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
