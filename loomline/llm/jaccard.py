@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import cut, scratch
+from loomline.llm.common import cut, scratch, stored
 from loomline.llm.graphs import connected_components
 
 SKETCH_BITS, BLOCK_BITS = 18, 12
@@ -70,13 +70,13 @@ def needed_overlap(n1: Column, n2: Column, percent: int) -> Column:
 
 
 def digest_and_sketch(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """((doc_id, node, n) per document, counts of shingles per sketch cell over all documents)."""
+    """((doc_id, text_hash, node, n) per document, counts of shingles per sketch cell over all documents)."""
     size = 1 << BLOCK_BITS
 
     def scan(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["doc_id", "node", "n", "block", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["doc_id", "text_hash", "node", "n", "block", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
             nodes, sizes = [], []
             for text in batch.column("text"):
@@ -85,10 +85,10 @@ def digest_and_sketch(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 nodes.append(set_node(s) if len(s) else None)
                 sizes.append(len(s))
             nothing = pa.nulls(len(nodes))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, kinds[1]), pa.array(sizes, kinds[2]), nothing.cast(kinds[3]), nothing.cast(kinds[4])], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes, kinds[2]), pa.array(sizes, kinds[3]), nothing.cast(kinds[4]), nothing.cast(kinds[5])], names)
         full = [b for b in range(len(counts) // size) if counts[b * size : (b + 1) * size].any()]
         nothing = pa.nulls(len(full), pa.int64())
-        yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.array(full, kinds[3]), pa.array([counts[b * size : (b + 1) * size].tobytes() for b in full], kinds[4])], names)
+        yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, nothing, pa.array(full, kinds[4]), pa.array([counts[b * size : (b + 1) * size].tobytes() for b in full], kinds[5])], names)
 
     def add_up(batches):
         sums: dict[int, np.ndarray] = {}
@@ -98,13 +98,14 @@ def digest_and_sketch(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
 
     path = scratch(docs.sparkSession, "digests")
-    docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, node long, n long, block int, counts binary").write.parquet(path)
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    rows.mapInArrow(scan, "doc_id long, text_hash long, node long, n long, block int, counts binary").write.parquet(path)
     both = docs.sparkSession.read.parquet(path)
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     summed = both.where("block is not null").select("block", "counts").repartition("block").mapInArrow(add_up, "block int, counts binary")
     for r in summed.collect():  # a fixed 2 MB in all
         counts[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["counts"], np.int64)
-    return both.where("block is null").select("doc_id", "node", "n"), counts
+    return both.where("block is null").select("doc_id", "text_hash", "node", "n"), counts
 
 
 def prefix_postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
@@ -143,19 +144,48 @@ def possible(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Co
 
 
 def shared_postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """The postings of shingles that two nodes or more have in their prefixes, with the node before in order of size."""
-    over = Window.partitionBy("shingle").orderBy("n_pos_n", "node")
+    """The postings of shingles that two nodes or more have in their prefixes.
+
+    ``before`` is a node of the same list that may link: the one that has the shingle at the
+    least position, or else the one next before in order of position. A node with few
+    rarer shingles of its own is what the others of a group of near copies vary.
+    """
+    over = Window.partitionBy("shingle").orderBy("pos", "node")
     whole = Window.partitionBy("shingle")
-    p = prefix_postings(docs, counts, k, percent).withColumn("n_pos_n", F.shiftright("n_pos", 32))
-    p = p.withColumns({"_least": F.min("node").over(whole), "_most": F.max("node").over(whole), "before": F.lag(F.struct("node", "n_pos")).over(over)}).where("_least <> _most")
-    n, pos = F.col("n_pos_n"), F.col("n_pos").bitwiseAND(F.lit((1 << 32) - 1))
-    bn, bpos = F.shiftright(F.col("before.n_pos"), 32), F.col("before.n_pos").bitwiseAND(F.lit((1 << 32) - 1))
-    good = (F.col("before.node") != F.col("node")) & possible(n, pos, bn, bpos, percent)
+    own = F.struct("node", "n", "pos")
+    p = prefix_postings(docs, counts, k, percent).select("shingle", "node", F.shiftright("n_pos", 32).alias("n"), F.col("n_pos").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos"))
+    p = p.withColumns({"_least": F.min("node").over(whole), "_most": F.max("node").over(whole), "_first": F.first(own).over(over), "_last": F.lag(own).over(over)}).where("_least <> _most")
+
+    def good(other: str) -> Column:
+        o = F.col(other)
+        return (o["node"] != F.col("node")) & possible(F.col("n"), F.col("pos"), o["n"], o["pos"], percent)
+
+    before = F.when(good("_first"), F.col("_first.node")).when(good("_last"), F.col("_last.node"))
     path = scratch(docs.sparkSession, "postings")
-    p.select("shingle", "node", n.alias("n"), pos.alias("pos"), F.when(good, F.col("before.node")).alias("before")).write.parquet(path)
+    p.select("shingle", "node", "n", "pos", before.alias("before")).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
+def prefix_size(n: Column, percent: int) -> Column:
+    """How many of a set's rarest shingles were dealt out."""
+    return n - F.ceil(n * percent / F.lit(100)) + 1
+
+
+def sharing_enough(pairs: DataFrame, postings: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes share so many shingles that the rest can make up for what is missing.
+
+    Shingles up to the end of the prefix that ends first are in both prefixes if common; of
+    that set, only the part behind its prefix can be common beyond them.
+    """
+    at = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    sets = postings.join(at, "node", "left_semi").groupBy("node").agg(F.collect_list("shingle").alias("s"), F.first("n").alias("n"))
+    sets = stored(sets, "prefixes")  # a prefix is as bounded as a document
+    u, v = sets.toDF("u", "su", "nu"), sets.toDF("v", "sv", "nv")
+    shared = F.size(F.array_intersect("su", "sv"))
+    behind = F.greatest(F.col("nu") - prefix_size(F.col("nu"), percent), F.col("nv") - prefix_size(F.col("nv"), percent))
+    return pairs.join(u, "u").join(v, "v").where(shared + behind >= needed_overlap(F.col("nu"), F.col("nv"), percent)).select("u", "v")
+
+
 def check_pairs(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the pairs (u, v) that link: partial overlaps per fragment, summed per pair.
 
@@ -195,14 +225,23 @@ def check_pairs(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, k: int, pe
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "fragment", "node", "n", "part"])
 
+    def count(batches):
+        hub: tuple[tuple[int, int], int, np.ndarray] | None = None
+        for batch in batches:
+            out = []
+            for key, f, node, n, part in zip(*[batch.column(c).to_pylist() for c in ("key", "fragment", "node", "n")], batch.column("part"), strict=True):
+                s = np.asarray(part.values)
+                if node == key:
+                    hub = ((key, f), n, s)
+                elif hub and hub[0] == (key, f):
+                    out.append((key, node, n, hub[1], len(np.intersect1d(s, hub[2], assume_unique=True))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v", "n", "n_u", "shared"])
+
     parts = found.mapInArrow(fragments, "key long, fragment int, node long, n long, part array<long>")
-    path = scratch(spark, "fragments")
-    parts.write.parquet(path)
-    parts = spark.read.parquet(path)
-    hubs = parts.where("key = node").select("key", "fragment", F.col("n").alias("n_u"), F.col("part").alias("part_u"))
-    others = parts.where("key <> node").select("key", "fragment", "node", "n", "part")
-    sizes = F.size(F.array_intersect("part_u", "part"))
-    partial = others.join(hubs, ["key", "fragment"]).select(F.col("key").alias("u"), F.col("node").alias("v"), "n", "n_u", sizes.alias("shared"))
+    # Within a (u, fragment), u's own part comes first and those of its partners stream past it.
+    dealt = parts.repartition("key", "fragment").sortWithinPartitions("key", "fragment", F.col("node") != F.col("key"), "node")
+    partial = dealt.mapInArrow(count, "u long, v long, n long, n_u long, shared long")
     summed = partial.groupBy("u", "v", "n", "n_u").agg(F.sum("shared").alias("shared"))
     return summed.where(F.col("shared") * 100 >= (F.col("n") + F.col("n_u") - F.col("shared")) * percent).select("u", "v")
 
@@ -223,7 +262,8 @@ def pairs_across(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
     whole = Window.partitionBy("shingle")
     several = named.withColumns({"_a": F.min("label").over(whole), "_b": F.max("label").over(whole)}).where("_a <> _b")
     counted = several.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("shingle", "label")))
-    marked = cut(counted.withColumn("_top", F.max(F.struct("_c", "label")).over(whole)["label"]).select("shingle", "node", "n", "pos", "label", (F.col("label") == F.col("_top")).alias("top")))
+    top = F.max(F.struct("_c", "label")).over(whole)["label"]
+    marked = stored(counted.select("shingle", "node", "n", "pos", "label", (F.col("label") == top).alias("top")), "lists")
     a, b = marked.where("not top").alias("a"), marked.alias("b")
     apart = (F.col("a.label") != F.col("b.label")) & (F.col("b.top") | (F.col("a.node") < F.col("b.node")))
     fits = possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
@@ -231,20 +271,14 @@ def pairs_across(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
     return met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
 
 
-def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
-
-    component_id is the smallest doc_id that links reach; rows of equal shingle sets link.
-    A text without words, or null, has no shingles and its component is its own doc_id. Null
-    doc_ids take part but are never a component_id unless all of a component's are null.
-    Only doc_id and text are read; an empty table gives an empty result.
-    """
+def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, text_hash, n, label, component_id) of every row; label is null for rows without shingles."""
     digests, counts = digest_and_sketch(docs, k)
-    firsts = cut(digests.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    firsts = stored(digests.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "firsts")
     postings = shared_postings(docs, counts, k, percent)
-    links = cut(check_pairs(docs, firsts, cut(first_pairs(postings)), k, percent))
-    labels = connected_components(links)
-    further = cut(pairs_across(postings, labels, percent))
+    likely = stored(sharing_enough(stored(first_pairs(postings), "first"), postings, percent), "pairs")
+    labels = stored(connected_components(cut(check_pairs(docs, firsts, likely, k, percent))), "labels")
+    further = stored(sharing_enough(stored(pairs_across(postings, labels, percent), "across"), postings, percent), "pairs")
     more = check_pairs(docs, firsts, further, k, percent)
     at = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}"))
     bridges = more.join(at("u"), "u", "left").join(at("v"), "v", "left").select(F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v"))
@@ -252,6 +286,41 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = firsts.join(labels, "node", "left").withColumn("_old", F.coalesce("label", "node"))
     named = named.join(merged, "_old", "left").select("node", "doc_id", F.coalesce("_new", "_old").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    component = cut(named.select("node", "label").join(least, "label").select("node", "component_id"))
+    component = stored(named.select("node", "label").join(least, "label").select("node", "label", "component_id"), "components")
     out = digests.join(component, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "text_hash", "n", "label", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row.
+
+    component_id is the smallest doc_id that links reach; rows of equal shingle sets link.
+    A text without words, or null, has no shingles and its component is its own doc_id. Null
+    doc_ids take part but are never a component_id unless all of a component's are null.
+    Only doc_id and text are read; an empty table gives an empty result.
+    """
+    return components(docs, k, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with one row left of each component; rows without shingles all stay.
+
+    The row of the smallest doc_id stays, null last, and of equal ones that of the smallest
+    text hash; of rows equal in both, one. All columns are kept.
+    """
+    rows = cut(components(docs, k, percent).where("label is not null"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    best = cut(rows.groupBy("label").agg(F.min(place).alias("_best")))
+    judged = rows.join(best, "label").withColumn("_stays", (F.col("_best.text_hash") == F.col("text_hash")) & F.col("_best.doc_id").eqNullSafe(F.col("doc_id")))
+    per_row = cut(judged.groupBy("doc_id", "text_hash").agg(F.bool_or("_stays").alias("_stays"), F.count(F.lit(1)).alias("_rows")))
+    gone = cut(per_row.where("not _stays").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    repeated = cut(per_row.where("_stays and _rows > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    text_hash = F.xxhash64(docs["text"])
+    same = lambda other: docs["doc_id"].cast("long").eqNullSafe(other["_id"]) & (text_hash == other["_hash"])
+    small = gone.count() <= BROADCAST_ROWS
+    # Either a bounded list goes to every scan, or documents and list meet by a shuffle.
+    left = docs.join(F.broadcast(gone) if small else gone, same(gone), "left_anti")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, same(repeated), "left_anti")
+    return once.unionByName(left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
