@@ -27,6 +27,7 @@ def corpus():
         words = rows[1 + 6 * (i % 5)][1].split()
         words[rng.randrange(len(words))] = "changed"
         rows.append((300 + i, " ".join(words), "en", "s1", None))
+        labels.append((300 + i, 1, 0))
     rows += [(400, None, None, None, None), (401, "", "en", "s0", 0), (402, "too short", "en", "s0", 9), (403, "again and again " * 40, "en", "s0", None)]
     return rows, labels
 
