@@ -79,6 +79,22 @@ def op7_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+ORACLES["op10_vertical_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+met AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM met JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT doc_id AS origin, doc_id AS place FROM words UNION SELECT origin, v FROM reach JOIN both_ways ON place = u)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.place) AS component_id
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id JOIN reach r ON r.origin = w.doc_id GROUP BY w.doc_id, s.n
+"""
+
+
 @query
 def op10_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(documents(spark, sf_dir), k=5, percent=80)
