@@ -220,6 +220,10 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK,
         top_rarer = np.zeros((b - a, blocks * BLOCK), np.float32)
         top_rarer[:, :n_docs] = rarer
         top_rarer = top_rarer.reshape(b - a, blocks, BLOCK)
+        if n_docs >= best.k and not np.isfinite(floor).all():  # no k documents yet: this chunk's own k-th score is a bound
+            every = top_rarer.reshape(b - a, -1) + dense32 @ padded.T
+            kth = np.partition(every[:, :n_docs], n_docs - best.k, axis=1)[:, n_docs - best.k]
+            floor = np.maximum(floor, kth * (1 - SLACK_PART) - SLACK)
         alive = top_rarer.max(2) + dense32 @ block_max.T > np.maximum(floor, 0)[:, None]
         found = []
         for j in range(blocks):
@@ -229,18 +233,10 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK,
             about = top_rarer[live, j] + dense32[live] @ padded[j * BLOCK : (j + 1) * BLOCK].T
             r, c = np.nonzero(about > np.maximum(floor[live], 0)[:, None])
             if len(r):
-                found.append((live[r], c + j * BLOCK, about[r, c]))
+                found.append((live[r], c + j * BLOCK))
         if not found:
             continue
-        row, col, about = (np.concatenate(x) for x in zip(*found, strict=True))
-        if not np.isfinite(best.least[a:b]).all():  # no k documents yet: this chunk's own k-th score is a bound
-            order = np.lexsort((-about, row))
-            row, col, about = row[order], col[order], about[order]
-            rank = np.arange(len(row)) - np.searchsorted(row, row)
-            kth = np.full(b - a, -np.inf)
-            kth[row[rank == best.k - 1]] = about[rank == best.k - 1]
-            keep = about >= kth[row] * (1 - SLACK_PART) - SLACK
-            row, col = row[keep], col[keep]
+        row, col = (np.concatenate(x) for x in zip(*found, strict=True))
         for i in range(0, len(row), 20_000):
             r, c = row[i : i + 20_000], col[i : i + 20_000]
             exact = rarer[r, c] + np.einsum("ij,ij->i", block.dense[a + r], common[c])
