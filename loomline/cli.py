@@ -1,4 +1,4 @@
-"""Command line: build, check, master and name-changes."""
+"""Command line: build, check, sweep, master and name-changes."""
 
 from __future__ import annotations
 
@@ -32,6 +32,13 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--base", default=".")
     c.add_argument("--repo", required=True)
     c.add_argument("--porcelain", action="store_true")
+    w = sub.add_parser("sweep", help="build and publish what is not published yet, newest season first")
+    w.add_argument("--first", type=int, required=True)
+    w.add_argument("--last", type=int, required=True)
+    w.add_argument("--base", default=".")
+    w.add_argument("--raw-root")
+    w.add_argument("--crosswalk")
+    w.add_argument("--repo", required=True)
     m = sub.add_parser("master", help="write the coverage tables")
     m.add_argument("--base", default=".")
     m.add_argument("--raw-root")
@@ -77,6 +84,28 @@ def run_check(args, lister=publish.list_assets) -> int:
     return 1 if gaps else 0
 
 
+def run_sweep(args, lister=publish.list_assets, build_unit=None) -> int:
+    """Every unit that is not live, season by season; a failed unit does not stop the others. 1 if any failed, 2 if the live ones cannot be told."""
+    try:
+        live = {(name, s) for name, spec in CATALOG.items() for s in publish.complete_seasons(lister(spec.stem(), args.repo) or set(), spec.stem())}
+    except publish.ListingUnavailable as e:
+        log.error("cannot tell what is published: %s", e)
+        return 2
+    units = [(name, season) for season in range(args.last, args.first - 1, -1) for name in CATALOG]
+    failed = 0
+    for name, season in publish.pending_units(units, live):
+        try:
+            (build_unit or sweep_unit)(args, name, season)
+        except Exception:  # noqa: BLE001 -- whatever ails one unit, the sweep goes on and tells
+            log.exception("%s %s failed", name, season)
+            failed += 1
+    return 1 if failed else 0
+
+
+def sweep_unit(args, name: str, season: int) -> None:
+    run_build(argparse.Namespace(**{**vars(args), "dataset": name, "season": season, "publish": True, "dry_run": False}))
+
+
 def run_master(args) -> int:
     from loomline.plans.build import build_masters
     from loomline.session import build_session
@@ -109,7 +138,7 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(stream=sys.stdout, level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     p = parser()
     args = p.parse_args(argv)
-    run = {"build": run_build, "check": run_check, "master": run_master, "name-changes": run_name_changes}.get(args.command)
+    run = {"build": run_build, "check": run_check, "sweep": run_sweep, "master": run_master, "name-changes": run_name_changes}.get(args.command)
     if run is None:
         p.print_help()
         return 2

@@ -224,6 +224,25 @@ def test_cli_codes(tmp_path):
         cli.parser().parse_args(["build", "--dataset", "pbp", "--season", "2023", "--publish", "--dry-run"])
 
 
+def test_sweep_builds_what_is_missing_and_goes_on_after_failures():
+    args = cli.parser().parse_args(["sweep", "--first", "2022", "--last", "2023", "--repo", "r"])
+    live = lambda tag, repo: {f"{tag}_2023.parquet", f"{tag}_2023.csv.gz"} if tag != "pbp" else None
+    built = []
+
+    def unit(args, name, season):
+        built.append((name, season))
+        if name == "shots":
+            raise RuntimeError("x")
+
+    assert cli.run_sweep(args, live, unit) == 1
+    assert built[0] == ("pbp", 2023) and len(built) == 1 + len(registry.CATALOG) and built[-1] == ("shots", 2022)
+
+    def down(tag, repo):
+        raise publish.ListingUnavailable("x")
+
+    assert cli.run_sweep(args, down, unit) == 2
+
+
 def test_streams_run_the_same_plans(spark, tree, tmp_path, sf_dir):
     static = source.read_games(spark, f"{tree}/wbb/json")
     schema = static.drop("_cid").schema
