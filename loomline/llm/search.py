@@ -182,7 +182,7 @@ class TopK:
         self.least[row[last]] = score[last]
 
 
-def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK, step: int = 1024) -> None:
+def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK, step: int = 256) -> None:
     """Bring the documents of a chunk that can be among the best k of any query into ``best``."""
     n_docs, n_common = len(chunk.doc_ids), block.dense.shape[1]
     mine, theirs = chunk.among(block.terms)
