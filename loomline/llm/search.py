@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 from loomline.llm.common import scratch
 
 K1, B = 1.2, 0.75
-CHUNK_DOCS, CHUNK_WORDS, BLOCK = 4096, 4_000_000, 64
+CHUNK_DOCS, CHUNK_WORDS, BLOCK = 4096, 2_000_000, 64
 #: Terms with the most (query, document) pairs, whose scores are added only where bounds allow.
 COMMON = 768
 #: Tasks among which the chunks are dealt; each gives k rows per query.
 SHARDS = 32
 #: A block of queries holds so many queries and distinct (query, term) pairs at most; it is broadcast.
-BLOCK_QUERIES, BLOCK_PAIRS = 8192, 4_000_000
+BLOCK_QUERIES, BLOCK_PAIRS = 8192, 2_000_000
+#: Queries are scored together, so many with so many (query, posting) pairs at most, or one alone.
+STEP_QUERIES, STEP_POSTINGS, STEP_EXACT = 256, 1_000_000, 2048
 #: Single precision filters with so much to spare, absolute and as a part of the score.
 SLACK, SLACK_PART = 1e-3, 1e-4
 NO_ID = -(1 << 63)
@@ -81,15 +83,17 @@ def build_index(docs: DataFrame, path: str) -> DataFrame:
 
 
 class Chunk:
-    """A chunk's arrays."""
+    """A chunk's arrays, which share the memory of the row's values."""
+
+    READ = ("doc_ids", "lengths", "terms", "counts", "places", "tfs")
 
     def __init__(self, row: dict):
-        read = lambda name, kind: np.frombuffer(row[name], kind)
+        read = lambda name, kind: np.frombuffer(row[name].as_buffer(), kind)
         self.doc_ids, self.lengths, self.terms = read("doc_ids", np.int64), read("lengths", np.int32), read("terms", np.uint64)
         counts = read("counts", np.uint16).astype(np.int64)
         counts[counts == 0] = 1 << 16  # cannot occur with CHUNK_DOCS below 65536; kept for larger settings
         self.counts, self.ends = counts, np.cumsum(counts)
-        self.places, self.tfs = read("places", np.uint16).astype(np.int64), read("tfs", np.uint32)
+        self.places, self.tfs = read("places", np.uint16), read("tfs", np.uint32)
 
     def among(self, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(indices of own terms, indices in the vocabulary) of the shared terms; both are sorted."""
@@ -107,8 +111,8 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def chunks_of(batches):
     for batch in batches:
-        for row in batch.to_pylist():
-            yield Chunk(row)
+        for i in range(batch.num_rows):
+            yield Chunk({name: batch.column(name)[i] for name in Chunk.READ})
 
 
 class QueryBlock:
@@ -116,7 +120,7 @@ class QueryBlock:
 
     def __init__(self, ids: list[int], texts: list[str | None]):
         found = [np.unique(term_hashes(t)) for t in texts]
-        rows = np.repeat(np.arange(len(ids)), [len(x) for x in found])
+        rows = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in found])
         terms = np.concatenate(found) if found else np.zeros(0, np.uint64)
         order = np.argsort(terms, kind="stable")
         self.ids, self.rows = np.array(ids, np.int64), rows[order]
@@ -130,9 +134,10 @@ class QueryBlock:
         common = np.sort(np.argsort(-pairs, kind="stable")[:COMMON])
         self.slot = np.full(len(self.terms), -1)
         self.slot[common] = np.arange(len(common))
-        self.dense = np.zeros((len(self.ids), len(common)))
+        self.common_idf = self.idf[common]
+        self.has_common = np.zeros((len(self.ids), len(common)), bool)
         for k, v in enumerate(common):
-            self.dense[self.rows[self.ends[v] - self.counts[v] : self.ends[v]], k] = self.idf[v]
+            self.has_common[self.rows[self.ends[v] - self.counts[v] : self.ends[v]], k] = True
 
 
 def document_frequencies(index: DataFrame, block: QueryBlock) -> np.ndarray:
@@ -156,7 +161,7 @@ def document_frequencies(index: DataFrame, block: QueryBlock) -> np.ndarray:
                 sums[b] = sums.get(b, 0) + np.frombuffer(c, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
 
-    parts = index.select("docs", "doc_ids", "lengths", "terms", "counts", "places", "tfs").coalesce(SHARDS).mapInArrow(count, "block int, counts binary")
+    parts = index.select(*Chunk.READ).coalesce(SHARDS).mapInArrow(count, "block int, counts binary")
     df = np.zeros(len(block.terms), np.int64)
     for r in parts.repartition("block").mapInArrow(add_up, "block int, counts binary").collect():  # one number per term of the block
         df[r["block"] * size : r["block"] * size + len(r["counts"]) // 8] = np.frombuffer(r["counts"], np.int64)
@@ -182,9 +187,20 @@ class TopK:
         self.least[row[last]] = score[last]
 
 
-def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK, step: int = 256) -> None:
+def steps(q_row: np.ndarray, sizes: np.ndarray, queries: int):
+    """(first query, last, first pair, last) of runs of queries that are scored together; ends are exclusive."""
+    begins = np.searchsorted(q_row, np.arange(queries + 1))
+    until = np.r_[0, np.cumsum(sizes)][begins]
+    a = 0
+    while a < queries:
+        b = max(a + 1, min(a + STEP_QUERIES, int(np.searchsorted(until, until[a] + STEP_POSTINGS, "right")) - 1))
+        yield a, b, begins[a], begins[b]
+        a = b
+
+
+def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK) -> None:
     """Bring the documents of a chunk that can be among the best k of any query into ``best``."""
-    n_docs, n_common = len(chunk.doc_ids), block.dense.shape[1]
+    n_docs, n_common = len(chunk.doc_ids), block.has_common.shape[1]
     mine, theirs = chunk.among(block.terms)
     sizes = chunk.counts[mine]
     where = ranges(chunk.ends[mine] - sizes, sizes)
@@ -192,55 +208,55 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK,
     gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * chunk.lengths[place] / mean_length))
     slot = np.repeat(block.slot[theirs], sizes)
     is_common = slot >= 0
-    common = np.zeros((n_docs, n_common))
-    common[place[is_common], slot[is_common]] = gain[is_common]
     blocks = -(-n_docs // BLOCK)
-    padded = np.zeros((blocks * BLOCK, n_common), np.float32)
-    padded[:n_docs] = common
-    block_max = padded.reshape(blocks, BLOCK, n_common).max(1)
+    common = np.zeros((blocks * BLOCK, n_common))
+    common[place[is_common], slot[is_common]] = gain[is_common]
+    del where, tf, slot, is_common
+    about_common = common.astype(np.float32)
+    block_max = about_common.reshape(blocks, BLOCK, n_common).max(1)
     rare = block.slot[theirs] < 0
     term, t_sizes = theirs[rare], sizes[rare]
     posting_at = (np.cumsum(sizes) - sizes)[rare]
     q_counts = block.counts[term]
-    q_at = ranges(block.ends[term] - q_counts, q_counts)
-    q_row, q_term = block.rows[q_at], np.repeat(np.arange(len(term)), q_counts)
+    q_row = block.rows[ranges(block.ends[term] - q_counts, q_counts)]
     by_row = np.argsort(q_row, kind="stable")
-    q_row, q_term = q_row[by_row], q_term[by_row]
+    q_row, q_term = q_row[by_row], np.repeat(np.arange(len(term), dtype=np.int32), q_counts)[by_row]
+    del by_row
     weight = block.idf[term]
-    for a in range(0, len(block.ids), step):
-        b = min(a + step, len(block.ids))
-        lo, hi = np.searchsorted(q_row, [a, b])
-        rows, terms = q_row[lo:hi] - a, q_term[lo:hi]
+    for a, b, lo, hi in steps(q_row, t_sizes[q_term], len(block.ids)):
+        rows, terms = q_row[lo:hi].astype(np.int64) - a, q_term[lo:hi]
         expanded = t_sizes[terms]
         at = ranges(posting_at[terms], expanded)
         cell = np.repeat(rows * n_docs, expanded) + place[at]
-        rarer = np.bincount(cell, np.repeat(weight[terms], expanded) * gain[at], (b - a) * n_docs).reshape(b - a, n_docs)
+        rarer = np.bincount(cell, np.repeat(weight[terms], expanded) * gain[at], (b - a) * n_docs).astype(float, copy=False).reshape(b - a, n_docs)
+        del at, cell
         floor = best.least[a:b] * (1 - SLACK_PART) - SLACK
-        dense32 = block.dense[a:b].astype(np.float32)
+        dense = (block.has_common[a:b] * block.common_idf).astype(np.float32)
         top_rarer = np.zeros((b - a, blocks * BLOCK), np.float32)
         top_rarer[:, :n_docs] = rarer
         top_rarer = top_rarer.reshape(b - a, blocks, BLOCK)
         if n_docs >= best.k and not np.isfinite(floor).all():  # no k documents yet: this chunk's own k-th score is a bound
-            every = top_rarer.reshape(b - a, -1) + dense32 @ padded.T
+            every = top_rarer.reshape(b - a, -1) + dense @ about_common.T
             kth = np.partition(every[:, :n_docs], n_docs - best.k, axis=1)[:, n_docs - best.k]
             floor = np.maximum(floor, kth * (1 - SLACK_PART) - SLACK)
-        alive = top_rarer.max(2) + dense32 @ block_max.T > np.maximum(floor, 0)[:, None]
+        alive = top_rarer.max(2) + dense @ block_max.T > np.maximum(floor, 0)[:, None]
         found = []
         for j in range(blocks):
             live = np.flatnonzero(alive[:, j])
             if not len(live):
                 continue
-            about = top_rarer[live, j] + dense32[live] @ padded[j * BLOCK : (j + 1) * BLOCK].T
+            about = top_rarer[live, j] + dense[live] @ about_common[j * BLOCK : (j + 1) * BLOCK].T
             r, c = np.nonzero(about > np.maximum(floor[live], 0)[:, None])
             if len(r):
                 found.append((live[r], c + j * BLOCK))
         if not found:
             continue
         row, col = (np.concatenate(x) for x in zip(*found, strict=True))
-        for i in range(0, len(row), 20_000):
-            r, c = row[i : i + 20_000], col[i : i + 20_000]
-            exact = rarer[r, c] + np.einsum("ij,ij->i", block.dense[a + r], common[c])
-            best.add(a + r, np.round(exact, 6), chunk.doc_ids[c])
+        exact = rarer[row, col]
+        for i in range(0, len(row), STEP_EXACT):
+            part = slice(i, i + STEP_EXACT)
+            exact[part] += np.einsum("ij,ij->i", block.has_common[a + row[part]] * block.common_idf, common[col[part]])
+        best.add(a + row, np.round(exact, 6), chunk.doc_ids[col])
 
 
 def query_blocks(queries: DataFrame):
@@ -270,7 +286,7 @@ def search_block(index: DataFrame, block: QueryBlock, n_docs: int, mean_length:
         doc = pa.array(best.doc, mask=best.doc == NO_ID)
         yield pa.RecordBatch.from_arrays([pa.array(best.row), pa.array(shared.value.ids[best.row]), doc, pa.array(best.score)], ["query_row", "query_id", "doc_id", "score"])
 
-    return index.coalesce(SHARDS).mapInArrow(walk, "query_row long, query_id long, doc_id long, score double")
+    return index.select(*Chunk.READ).coalesce(SHARDS).mapInArrow(walk, "query_row long, query_id long, doc_id long, score double")
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:

@@ -286,6 +286,8 @@ def test_search_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(search, "COMMON", 5)
     monkeypatch.setattr(search, "BLOCK_QUERIES", 3)
     monkeypatch.setattr(search, "CHUNK_DOCS", 100)
+    monkeypatch.setattr(search, "STEP_POSTINGS", 40)
+    monkeypatch.setattr(search, "STEP_EXACT", 7)
     rng = random.Random(11)
     vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(300)]
     rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60)))) for i in range(600)]
