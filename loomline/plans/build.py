@@ -35,10 +35,16 @@ class Season:
             path = f"{self.root}/{self.league}/json"
             if index is None or not source.path_exists(self.spark, f"{path}/*.json"):
                 return None
-            found, _ = source.split_by_presence(source.read_games(self.spark, path), source.season_ids(index, self.season))
-            self._games = source.good(found).persist()
+            found, self._absent = source.split_by_presence(source.read_games(self.spark, path), source.season_ids(index, self.season))
+            self._found, self._games = found, source.good(found).persist()
         return self._games
 
+    def skipped(self) -> dict[str, int]:
+        """How many contests of the season have no payload, and how many one that cannot be parsed."""
+        if self.games is None:
+            return {"missing": 0, "failed": 0}
+        return {"missing": self._absent.count(), "failed": self._found.where(source.is_corrupt("contest_id")).count()}
+
     def release(self) -> None:
         if self._games is not None:
             self._games.unpersist()
@@ -87,6 +93,7 @@ def build_season(inputs: Season, name: str, base: str, *, release: bool = False,
 def build_all(inputs: Season, base: str, **kw) -> dict[str, int]:
     """Rows of each dataset built for the season, in catalog order."""
     try:
+        log.info("season %s: %s", inputs.season, inputs.skipped())
         return {name: build_season(inputs, name, base, **kw).count() for name in CATALOG if name != "team_ids" or inputs.crosswalk is not None}
     finally:
         inputs.release()

@@ -95,6 +95,7 @@ def test_other_datasets(inputs):
 
 def test_build_all_and_masters(spark, tree, inputs, tmp_path):
     base = str(tmp_path)
+    assert inputs.skipped() == {"missing": 1, "failed": 1}
     counts = build.build_all(inputs, base, dry_run=True, repo="own/repo")
     assert counts["pbp"] == 9 and counts["possessions"] == 0 and not os.path.exists(f"{base}/wbb/possessions")
     again = build.build_season(inputs, "schedule", base)
