@@ -227,10 +227,14 @@ def check_pairs(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, k: int, pe
 
     def count(batches):
         hub: tuple[tuple[int, int], int, np.ndarray] | None = None
+        last = None
         for batch in batches:
             out = []
             for key, f, node, n, part in zip(*[batch.column(c).to_pylist() for c in ("key", "fragment", "node", "n")], batch.column("part"), strict=True):
-                s = np.asarray(part.values)
+                # Rows of one node can stand in several tasks of the scan; here they follow each other.
+                if (key, f, node) == last:
+                    continue
+                last, s = (key, f, node), np.asarray(part.values)
                 if node == key:
                     hub = ((key, f), n, s)
                 elif hub and hub[0] == (key, f):

@@ -303,3 +303,18 @@ def test_search_odd_rows(spark):
     assert search.top_k(docs, docs, k=3).where("query_id = 2").count() == 0
     assert search.top_k(D.empty(spark), D.empty(spark)).count() == 0
     assert search.top_k(docs, docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_a_row_repeated_in_several_tasks_counts_once(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", broadcast)
+    body, other = " ".join(f"b{i}" for i in range(64)), [" ".join(f"{x}{i}" for i in range(40)) for x in "xy"]
+    texts = [f"{body} {other[0]}", *[f"{body} {other[1]}"] * 3]
+    docs = spark.createDataFrame([(1, texts[0]), *[(2, t) for t in texts[1:]]], "doc_id long, text string").repartition(4, F.rand(1)).localCheckpoint()
+    u, v = (jaccard.set_node(jaccard.shingles(t, 5)) for t in texts[:2])
+    firsts = spark.createDataFrame([(u, 1), (v, 2)], "node long, doc_id long")
+    pairs = spark.createDataFrame([(u, v)], "u long, v long")
+    parts = docs.select(F.spark_partition_id().alias("p")).where("doc_id = 2").distinct().count()
+    assert parts > 1
+    assert jaccard.check_pairs(docs, firsts, pairs, 5, 80).count() == 0
+    assert jaccard.check_pairs(docs, firsts, pairs, 5, 40).count() == 1
