@@ -21,7 +21,12 @@ from pyspark.sql import functions as F
 #: Element names by their role.
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NEVER_TEXT = "script style head noscript template svg iframe object canvas textarea select button datalist math audio video".split()
+#: Their content is no markup and runs to their end tag.
+RAW = set("script style noscript iframe textarea".split())
+#: Elements whose content is no text of the page, if they have an end tag; the head ends by itself.
+NEVER_TEXT = set("template svg object canvas select button datalist math audio video".split())
+FOREIGN = {"svg", "math"}
+IN_HEAD = set("title base basefont bgsound link meta script style noscript template".split())
 BOILER_TAGS = set("nav footer aside form menu dialog".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Words in class, id or role that tell boilerplate, whole or as a part set off by - _ or case.
@@ -35,6 +40,23 @@ NEXT, SAME_PARENT, SIBLING = 0.3, 0.7, 0.5
 CONTRAST = 3.0
 LONG = 40
 
+TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S
+)
+#: What follows a start tag: to the end tag, or, where there is none, to the end of the head or page.
+RAW_END = {n: re.compile(rf".*?</{n}\b[^>]*(?:>|\Z)|.*?(?=</head\b)|.*", re.S | re.I) for n in RAW}
+#: A title without an end tag in the head is taken up to the next tag.
+TITLE_END = re.compile(r"(?:(?!</head\b|<title\b).)*?</title\s*>|[^<]*", re.S | re.I)
+NAMES = set(
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios consent contentinfo cookie cookies copyright discussion disqus foot footer gdpr legal login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay "
+    "pager pagination popup print promo promoted promotion recommend recommended related reply replies respond rail search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar widget".split()
+)
+WEIGHTS = {"base": -0.4, "article": 3.0, "boiler": -9.0, "word": 0.08, "links": -4.0, "sentence": 0.5, "heading": 1.0, "notice": -2.0}
+NEXT, SAME_PARENT, SIBLING = 0.3, 0.7, 0.5
+#: Capacities fall to a half where two scores differ by so much.
+CONTRAST = 3.0
+LONG = 40
+
 DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(NEVER_TEXT) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -46,12 +68,46 @@ def told_boiler(attributes: str) -> bool:
     return any(p.lower() in BOILER_NAMES for m in NAMES.findall(attributes) for p in PARTS.findall(" ".join(m)))
 
 
+def tokens_of(page: str) -> tuple[list[tuple[int, int, bool, str, str]], set[int]]:
+    """((start, end, closing, name, attributes) of each tag, places of those NEVER_TEXT start tags that have an end tag).
+
+    Comments, declarations and raw elements are tokens without a name.
+    """
+    out: list[tuple[int, int, bool, str, str]] = []
+    opened: dict[str, list[int]] = {n: [] for n in NEVER_TEXT}
+    closed: set[int] = set()
+    head, at = False, 0
+    while m := TAG.search(page, at):
+        shut, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        at, name = m.end(), (name or "").lower()
+        alone = bool(name) and not shut and attributes.endswith("/")
+        foreign = bool(opened["svg"] or opened["math"])
+        if name and head and (name == "head" if shut else name not in IN_HEAD):
+            head = False
+        if name == "head" and not shut:
+            head = True
+        elif not shut and (name in RAW and not (foreign and alone) or name == "title" and head):
+            at = (RAW_END[name] if name in RAW else TITLE_END).match(page, at).end()
+            name = ""
+        elif name in NEVER_TEXT and shut:
+            if opened[name]:
+                closed.add(opened[name].pop())
+        elif alone and (name in FOREIGN or foreign and name in RAW):
+            name = ""
+        elif name in NEVER_TEXT:
+            opened[name].append(len(out))
+        elif name in BLOCKS and not shut and foreign and not page.find("</svg", at) + page.find("</math", at) > -2:
+            opened["svg"].clear()
+            opened["math"].clear()
+        out.append((m.start(), at, bool(shut), name, attributes or ""))
+    return out, closed
+
+
 def blocks_of(page: str) -> list[tuple[str, float, int]]:
     """(text, score, parent) of each text block in page order."""
-    page = DROPPED.sub(" ", page)
     out: list[tuple[str, float, int]] = []
-    # Open elements: name, inside an article, inside boilerplate, number of the element, in a link.
-    stack: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
+    # Open elements: name, inside an article, inside boilerplate, number of the element, in a link, no text of the page.
+    stack: list[tuple[str, bool, bool, int, bool, bool]] = [("", False, False, 0, False, False)]
     text: list[str] = []
     linked, number, at = 0, 0, 0
 
@@ -65,40 +121,47 @@ def blocks_of(page: str) -> list[tuple[str, float, int]]:
         text.clear()
         linked = 0
 
-    for m in TAG.finditer(page):
-        if m.start() > at:
-            part = page[at : m.start()]
+    def add(part: str) -> None:
+        nonlocal linked
+        if stack[-1][0] == "head" and not part.isspace():
+            stack.pop()
+        if not stack[-1][5]:
             text.append(part)
-            if stack[-1][4]:
-                linked += len(part)
-        at = m.end()
-        closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        name = name.lower()
-        if name in BLOCKS:
+            linked += len(part) * stack[-1][4]
+
+    tokens, closed = tokens_of(page)
+    for k, (start, end, closing, name, attributes) in enumerate(tokens):
+        if start > at:
+            add(page[at:start])
+        at = end
+        if not closing and name and stack[-1][0] == "head" and name not in IN_HEAD:
+            stack.pop()
+        # What is dropped neither parts the text around it nor ends a paragraph.
+        block = name in BLOCKS and not stack[-1][5] and k not in closed
+        if block:
             flush()
-        elif name in ("br", "wbr", "img"):
+        elif name in ("br", "wbr", "img", "", "head") or name in NEVER_TEXT:
             text.append(" ")
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
-        elif name not in VOID:
+        elif name and name not in VOID:
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in CLOSES.get(name, ()) or (name in BLOCKS and stack[i][0] == "p"):
+                if stack[i][5]:
+                    break
+                if stack[i][0] in CLOSES.get(name, ()) or (block and stack[i][0] == "p"):
                     del stack[i:]
                     break
                 if stack[i][0] in BLOCKS:
                     break
-            _, article, boiler, _, link = stack[-1]
+            _, article, boiler, _, link, hidden = stack[-1]
             number += 1
             bad = name in BOILER_TAGS or (name == "header" and not article) or (bool(attributes) and name not in ("body", "html", "article", "main") and told_boiler(attributes))
-            stack.append((name, article or name in ("article", "main"), boiler or bad, number, link or name == "a"))
-    tail = page[at:]
-    if tail:
-        text.append(tail)
-        if stack[-1][4]:
-            linked += len(tail)
+            stack.append((name, article or name in ("article", "main"), boiler or bad, number, link or name == "a", hidden or name == "head" or k in closed))
+    if page[at:]:
+        add(page[at:])
     flush()
     return out
 

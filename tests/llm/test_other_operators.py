@@ -318,3 +318,20 @@ def test_a_row_repeated_in_several_tasks_counts_once(spark, monkeypatch, broadca
     assert parts > 1
     assert jaccard.check_pairs(docs, firsts, pairs, 5, 80).count() == 0
     assert jaccard.check_pairs(docs, firsts, pairs, 5, 40).count() == 1
+
+
+PROSE = "<p>" + "A sentence of plain prose with enough words in it to be taken for text. " * 3 + "</p>"
+KEPT = html.main_text(f"<article>{PROSE}</article>")
+
+
+def test_elements_without_an_end_tag_cut_nothing():
+    alone = ["<svg width=1 />", "<svg><style/><title/><path/></svg>", "<button>", "<video src='x' />", "<canvas>", "<template>", "<select>", "<math/>", "<svg><path d=x>", "<object data=x>"]
+    for x in alone:
+        page = f"<html><head><title>t</title></head><body><article>{PROSE}{x}{PROSE}</article></body></html>"
+        assert html.main_text(page) == f"{KEPT}\n{KEPT}", x
+    for head in ("<head><title>x</title>", "<head><title>x", "<head><meta a=b><script>'</head>'</script><style>p{}</style>", "<head><title>x</title><noscript><p>y</p></noscript>"):
+        assert html.main_text(f"<html>{head}<body><article>{PROSE}</article>") == KEPT
+        assert html.main_text(f"<html>{head}</head><article>{PROSE}</article>") == KEPT
+    assert html.main_text(f"<head><title>x</title><article>{PROSE}</article>") == KEPT
+    hidden = "<svg><title>a</title><text>b</text></svg><button><div>c</div></button><video>d<p>e</p></video><select><option>f</select><template><p>g</template>"
+    assert html.main_text(f"<article>{PROSE}<p>One {hidden} two three four five.</p></article>") == f"{KEPT}\nOne two three four five."
