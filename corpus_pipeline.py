@@ -39,8 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents as sequences of power-of-two lengths of at most 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096, keep_ids=False)
+    """The pieces of all documents, with their ids, as sequences of power-of-two lengths of at most 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096)
 
 
 STAGES = [

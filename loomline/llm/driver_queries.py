@@ -32,8 +32,8 @@ def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096, keep_ids=False)
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    packed = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
 @query

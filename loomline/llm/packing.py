@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import number_rows
+from loomline.llm.common import number_rows, scratch
 from loomline.llm.tokens import encoder, slices
 
 PIECES = "doc_id long, piece long, start long, length long, ids binary, doc_tokens long"
@@ -61,8 +61,16 @@ def bucket_sequences(pieces: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, longest: int = 4096, keep_ids: bool = True) -> DataFrame:
     """Sequences of every document's tokens: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
 
-    The checksum is made where the ids are, so that without ``keep_ids`` only the small
-    digest columns are dealt out to be numbered.
+    The checksum is made where the ids are, so that only the small digest columns are dealt
+    out to be numbered. Pieces with their ids are written once; their numbers come back to
+    them by a key that is written with them.
     """
     pieces = decompose(docs, tokenizer_path, end_id, longest).withColumn("ids_crc32", F.crc32("ids"))
-    return bucket_sequences(pieces.drop("piece") if keep_ids else pieces.drop("piece", "ids"))
+    if not keep_ids:
+        return bucket_sequences(pieces.drop("piece", "ids"))
+    path = scratch(docs.sparkSession, "pieces")
+    pieces.drop("piece").withColumn("_piece", F.monotonically_increasing_id()).write.parquet(path, compression="zstd")
+    keyed = docs.sparkSession.read.parquet(path)
+    numbers = bucket_sequences(keyed.drop("ids", "doc_tokens")).select("_piece", "sequence_id", "offset")
+    # The numbers are the side held in memory, some 24 bytes a piece; the ids stream past them unsorted.
+    return keyed.join(numbers.hint("shuffle_hash"), "_piece").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")

@@ -8,7 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from loomline.llm import counting, packing, records
+import corpus_pipeline
+from loomline.llm import counting, driver_queries, packing, records
 from loomline.llm.tokens import BatchEncoder, load_tokenizer
 from tests.llm import docs as D
 
@@ -117,3 +118,20 @@ def test_packing_holds_every_token_once(spark):
     again = packing.pack(D.make(spark), WORD, end_id=2, keep_ids=False).collect()
     assert sorted((r.sequence_id, str(r.doc_id), r.start, r.ids_crc32) for r in again) == sorted((r.sequence_id, str(r.doc_id), r.start, r.ids_crc32) for r in got)
     assert packing.pack(D.empty(spark), WORD).count() == 0
+
+
+def test_registered_packing_writes_its_ids(spark, tmp_path):
+    D.make(spark, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    packed = driver_queries.op5_power_of_two_packing(spark, str(tmp_path))
+    staged = corpus_pipeline.pack_sequences(spark, D.make(spark), str(tmp_path))
+    for got in (packed.collect(), staged.collect()):
+        whole = defaultdict(list)
+        for r in sorted(got, key=lambda r: (str(r.doc_id), r.start, r.sequence_id)):
+            assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+            whole[r.doc_id].append(bytes(r.ids))
+        assert sorted(r.sequence_id for r in got) == list(range(len(got)))
+        for (doc_id, *_), ids in zip(D.ROWS, direct(WORD, [r[1] for r in D.ROWS]), strict=True):
+            if doc_id == 5:
+                assert len(b"".join(whole[5])) == 2 * 4 * (len(ids) + 1)
+            else:
+                assert b"".join(whole[doc_id]) == np.array([*ids, 2], "<u4").tobytes()
