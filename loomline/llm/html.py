@@ -47,18 +47,6 @@ TAG = re.compile(
 RAW_END = {n: re.compile(rf".*?</{n}\b[^>]*(?:>|\Z)|.*?(?=</head\b)|.*", re.S | re.I) for n in RAW}
 #: A title without an end tag in the head is taken up to the next tag.
 TITLE_END = re.compile(r"(?:(?!</head\b|<title\b).)*?</title\s*>|[^<]*", re.S | re.I)
-NAMES = set(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios consent contentinfo cookie cookies copyright discussion disqus foot footer gdpr legal login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay "
-    "pager pagination popup print promo promoted promotion recommend recommended related reply replies respond rail search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar widget".split()
-)
-WEIGHTS = {"base": -0.4, "article": 3.0, "boiler": -9.0, "word": 0.08, "links": -4.0, "sentence": 0.5, "heading": 1.0, "notice": -2.0}
-NEXT, SAME_PARENT, SIBLING = 0.3, 0.7, 0.5
-#: Capacities fall to a half where two scores differ by so much.
-CONTRAST = 3.0
-LONG = 40
-
-DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(NEVER_TEXT) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
-TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 NOTICE = re.compile(r"©|\(c\)|all rights reserved|cookies?\b|privacy policy|terms of (?:use|service)|subscribe|sign up", re.I)

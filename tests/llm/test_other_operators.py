@@ -335,3 +335,4 @@ def test_elements_without_an_end_tag_cut_nothing():
     assert html.main_text(f"<head><title>x</title><article>{PROSE}</article>") == KEPT
     hidden = "<svg><title>a</title><text>b</text></svg><button><div>c</div></button><video>d<p>e</p></video><select><option>f</select><template><p>g</template>"
     assert html.main_text(f"<article>{PROSE}<p>One {hidden} two three four five.</p></article>") == f"{KEPT}\nOne two three four five."
+    assert html.main_text(f"<article>{PROSE}<!-- <p>{PROSE} --><p>One<!-- a > b --> two three four five.</p><![CDATA[x]]></article>") == f"{KEPT}\nOne two three four five."
