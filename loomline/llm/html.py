@@ -39,6 +39,8 @@ NEXT, SAME_PARENT, SIBLING = 0.3, 0.7, 0.5
 #: Capacities fall to a half where two scores differ by so much.
 CONTRAST = 3.0
 LONG = 40
+#: Words from which an unlinked block counts as prose, when a wrapper's name is weighed.
+PROSE = 10
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S
@@ -52,8 +54,55 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 NOTICE = re.compile(r"©|\(c\)|all rights reserved|cookies?\b|privacy policy|terms of (?:use|service)|subscribe|sign up", re.I)
 
 
-def told_boiler(attributes: str) -> bool:
-    return any(p.lower() in BOILER_NAMES for m in NAMES.findall(attributes) for p in PARTS.findall(" ".join(m)))
+def told_boiler(attributes: str) -> frozenset[str]:
+    """The words in class, id and role that tell boilerplate."""
+    return frozenset(w for m in NAMES.findall(attributes) for p in PARTS.findall(" ".join(m)) if (w := p.lower()) in BOILER_NAMES)
+
+
+class Wrappers:
+    """Elements whose names tell boilerplate, and how much to believe each from where the page's prose stands.
+
+    Wrappers of the same words under one wrapper are one. A name is believed in full unless
+    its wrapper holds a long run of prose, of more words than stand before it or, later, under
+    none but the names around it; the less there is outside, the less the name says. Number 0
+    is the page.
+    """
+
+    def __init__(self):
+        self.of: dict[tuple[int, frozenset[str]], int] = {}
+        self.parents, self.own, self.prose, self.begun, self.around = [0], [0], [0], [0], [0]
+        self.total = 0
+
+    def enter(self, parent: int, words: frozenset[str]) -> int:
+        if (parent, words) not in self.of:
+            self.of[parent, words] = len(self.own)
+            around, k = self.own[0], parent
+            while k:
+                around, k = around + self.own[k], self.parents[k]
+            self.parents.append(parent)
+            self.own.append(0)
+            self.prose.append(0)
+            self.begun.append(self.total)
+            self.around.append(around)
+        return self.of[parent, words]
+
+    def add(self, wrapper: int, words: int) -> None:
+        self.own[wrapper] += words
+        self.prose[wrapper] += words * (words >= PROSE)
+        self.total += words
+
+    def weights(self) -> list[float]:
+        """The evidence that each wrapper's name and those around it give."""
+        inside, around, out = self.prose[:], [0], [0.0]
+        for k in range(len(inside) - 1, 0, -1):
+            inside[self.parents[k]] += inside[k]
+        for k in range(1, len(inside)):
+            p = self.parents[k]
+            around.append(around[p] + self.own[p])
+            outside = self.begun[k] + around[k] - self.around[k]
+            share = 2 * outside / (outside + inside[k]) if inside[k] >= LONG else 1.0
+            out.append(min(out[p], WEIGHTS["boiler"] * min(1.0, share)))
+        return out
 
 
 def tokens_of(page: str) -> tuple[list[tuple[int, int, bool, str, str]], set[int]]:
@@ -93,9 +142,10 @@ def tokens_of(page: str) -> tuple[list[tuple[int, int, bool, str, str]], set[int
 
 def blocks_of(page: str) -> list[tuple[str, float, int]]:
     """(text, score, parent) of each text block in page order."""
-    out: list[tuple[str, float, int]] = []
-    # Open elements: name, inside an article, inside boilerplate, number of the element, in a link, no text of the page.
-    stack: list[tuple[str, bool, bool, int, bool, bool]] = [("", False, False, 0, False, False)]
+    out: list[tuple[str, float, int, int]] = []
+    wrappers = Wrappers()
+    # Open elements: name, inside an article, inside a boilerplate element, number of the element, in a link, no text of the page, wrapper.
+    stack: list[tuple[str, bool, bool, int, bool, bool, int]] = [("", False, False, 0, False, False, 0)]
     text: list[str] = []
     linked, number, at = 0, 0, 0
 
@@ -104,8 +154,11 @@ def blocks_of(page: str) -> list[tuple[str, float, int]]:
         whole = " ".join(html.unescape("".join(text)).split()) if text else ""
         if whole:
             block = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCKS), 0)
-            name, article, boiler = stack[-1][:3]
-            out.append((whole, score(whole, linked, stack[block][0], article, boiler), stack[max(0, block - 1)][3]))
+            _, article, boiler, *_, wrapper = stack[-1]
+            words = whole.count(" ") + 1
+            if not boiler and 2 * linked < len(whole):
+                wrappers.add(wrapper, words)
+            out.append((whole, score(whole, linked, stack[block][0], article, boiler), stack[max(0, block - 1)][3], 0 if boiler else wrapper))
         text.clear()
         linked = 0
 
@@ -144,14 +197,17 @@ def blocks_of(page: str) -> list[tuple[str, float, int]]:
                     break
                 if stack[i][0] in BLOCKS:
                     break
-            _, article, boiler, _, link, hidden = stack[-1]
+            _, article, boiler, _, link, hidden, wrapper = stack[-1]
             number += 1
-            bad = name in BOILER_TAGS or (name == "header" and not article) or (bool(attributes) and name not in ("body", "html", "article", "main") and told_boiler(attributes))
-            stack.append((name, article or name in ("article", "main"), boiler or bad, number, link or name == "a", hidden or name == "head" or k in closed))
+            bad = name in BOILER_TAGS or (name == "header" and not article)
+            if attributes and name not in ("body", "html", "article", "main") and (told := told_boiler(attributes)):
+                wrapper = wrappers.enter(wrapper, told)
+            stack.append((name, article or name in ("article", "main"), boiler or bad, number, link or name == "a", hidden or name == "head" or k in closed, wrapper))
     if page[at:]:
         add(page[at:])
     flush()
-    return out
+    named = wrappers.weights()
+    return [(whole, z + named[w], parent) for whole, z, parent, w in out]
 
 
 def score(text: str, linked: int, name: str, article: bool, boiler: bool) -> float:

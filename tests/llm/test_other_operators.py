@@ -336,3 +336,15 @@ def test_elements_without_an_end_tag_cut_nothing():
     hidden = "<svg><title>a</title><text>b</text></svg><button><div>c</div></button><video>d<p>e</p></video><select><option>f</select><template><p>g</template>"
     assert html.main_text(f"<article>{PROSE}<p>One {hidden} two three four five.</p></article>") == f"{KEPT}\nOne two three four five."
     assert html.main_text(f"<article>{PROSE}<!-- <p>{PROSE} --><p>One<!-- a > b --> two three four five.</p><![CDATA[x]]></article>") == f"{KEPT}\nOne two three four five."
+
+
+def test_a_name_on_the_wrapper_of_the_article_does_not_lose_it():
+    comments = "<div class=comments><p>" + "I like this text very much, and so do all of my friends. " * 2 + "</p></div>"
+    side = "<div class=sidebar><p>See also the other texts that we have on this site for you.</p></div>"
+    for name in ("content has-sidebar", "search-result article-body", "print", "social share"):
+        for tag in ("div", "section"):
+            whole = f"<{tag} class='{name}'><h1>A title</h1>{PROSE}{PROSE}</{tag}>"
+            assert html.main_text(f"<body><nav><a href=x>Menu</a></nav>{whole}{comments}<footer>f</footer></body>") == f"A title\n{KEPT}\n{KEPT}"
+            assert html.main_text(f"<body><{tag} id='{name}'>{side}<article>{PROSE}{PROSE}</article>{comments}</{tag}></body>") == f"{KEPT}\n{KEPT}"
+    assert html.main_text(f"<body>{''.join(f'<div class=print>{PROSE}</div>' for _ in range(4))}</body>") == "\n".join([KEPT] * 4)
+    assert html.main_text(f"<body><article>{PROSE}{PROSE}{comments}</article>{side}</body>") == f"{KEPT}\n{KEPT}"
