@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import cut
+from loomline.llm.common import stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,19 +15,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     move along; an image of a connected graph is connected. Two rounds in three go by
     node id, which folds stars at once; every third by a hash of the round, which takes a
     constant part of any long path, so a logarithm of rounds suffices. Labels are nodes of
-    the component. Each round's state is a checkpoint.
+    the component. Each round's state is a written table.
     """
     both = lambda e: e.union(e.select("v", "u"))
-    live = cut(edges.select("u", "v").where("u <> v").distinct())
-    labels = cut(both(live).select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
+    live = stored(edges.select("u", "v").where("u <> v").distinct(), "edges")
+    labels = stored(both(live).select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
     rounds = 0
     while not live.isEmpty():
         key = lambda c: F.struct((F.xxhash64(c, F.lit(rounds)) if rounds % 3 == 2 else F.col(c)).alias("k"), F.col(c).alias("id"))  # noqa: E731, B023
-        steps = cut(both(live).groupBy("u").agg(F.least(F.min(key("v")), F.min(key("u")))["id"].alias("to")))
+        steps = stored(both(live).groupBy("u").agg(F.least(F.min(key("v")), F.min(key("u")))["id"].alias("to")), "steps")
         further = steps.toDF("_at", "_to")
-        moves = cut(steps.join(further, steps["to"] == further["_at"]).select("u", F.col("_to").alias("to")))
-        labels = cut(labels.join(moves, labels["label"] == moves["u"], "left").select("node", F.coalesce("to", "label").alias("label")))
+        moves = stored(steps.join(further, steps["to"] == further["_at"]).select("u", F.col("_to").alias("to")), "moves")
+        labels = stored(labels.join(moves, labels["label"] == moves["u"], "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
         to_u, to_v = moves.toDF("u", "tu"), moves.toDF("v", "tv")
-        live = cut(live.join(to_u, "u").join(to_v, "v").select(F.col("tu").alias("u"), F.col("tv").alias("v")).where("u <> v").distinct())
+        live = stored(live.join(to_u, "u").join(to_v, "v").select(F.col("tu").alias("u"), F.col("tv").alias("v")).where("u <> v").distinct(), "edges")
         rounds += 1
     return labels

@@ -10,12 +10,18 @@ Which pairs are counted follows from the global order of n-grams, rarest first:
    passages out of the prefixes.
 3. Two sets that link share a shingle within their first ``n - ceil(0.8 n) + 1`` ones, and
    at the first such shingle enough others are still to come. So only prefixes are dealt
-   out, by shingle.
+   out, by shingle; those of one node alone go at once.
 4. Each node is first checked against one neighbour, the one it shares most prefix
    shingles with. That joins nearly all of a group of near copies with as many
    checks as it has members.
-5. All further candidate pairs are then those of *different* components; each is checked.
-   Pairs within a component are never made, and a group of copies never unfolds into its pairs.
+5. All further candidate pairs are those of *different* components. First the likeliest
+   pair of each two components is checked, which joins what step 4 left in parts, and then
+   each pair whose components are still different. Pairs within a component are never made,
+   and a group of copies never unfolds into its pairs.
+
+No list is held by one task: lists of a shingle meet in aggregates that are begun before
+the shuffle, or in joins on salted keys, and a node with many partners is copied to the tasks
+among which those are dealt.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.common import cut, scratch, stored
@@ -31,8 +37,14 @@ from loomline.llm.graphs import connected_components
 
 SKETCH_BITS, BLOCK_BITS = 18, 12
 FRAGMENTS = 8
-#: Below so many rows (of 40 bytes) the pairs to be checked are broadcast to the scan of the texts, otherwise both sides are shuffled.
+#: Up to so many rows (of some 50 bytes) the nodes to be checked are broadcast to the scan of the texts; beyond, both sides are shuffled. Either way gives the same rows.
 BROADCAST_ROWS = 500_000
+#: A node's partners are dealt among tasks in lots of about so many, and the nodes of one shingle's list likewise.
+PARTNERS, LIST = 64, 1000
+#: A scan forgets which sets it has given beyond so many; repeats are dropped later in any case.
+SEEN = 1_000_000
+#: Bytes of shingles that a task puts into one batch.
+BATCH_BYTES = 4_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -120,7 +132,7 @@ def prefix_postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -
                 s = shingles(text.as_py(), k)
                 if not len(s) or (node := set_node(s)) in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < SEEN:
                     seen.add(node)
                 prefix = len(s) - -(-percent * len(s) // 100) + 1
                 order = np.lexsort((s, rank[cells(s)]))[:prefix]
@@ -143,27 +155,20 @@ def possible(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Co
     return fits
 
 
-def shared_postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """The postings of shingles that two nodes or more have in their prefixes.
+def size_band(n: Column) -> Column:
+    """Sets that can link at 0.8 or more are of one band or of neighbouring ones."""
+    return F.floor(F.log(n) / F.lit(float(np.log(1.25))) + 1e-9).cast("int")
 
-    ``before`` is a node of the same list that may link: the one that has the shingle at the
-    least position, or else the one next before in order of position. A node with few
-    rarer shingles of its own is what the others of a group of near copies vary.
-    """
-    over = Window.partitionBy("shingle").orderBy("pos", "node")
-    whole = Window.partitionBy("shingle")
-    own = F.struct("node", "n", "pos")
-    p = prefix_postings(docs, counts, k, percent).select("shingle", "node", F.shiftright("n_pos", 32).alias("n"), F.col("n_pos").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos"))
-    p = p.withColumns({"_least": F.min("node").over(whole), "_most": F.max("node").over(whole), "_first": F.first(own).over(over), "_last": F.lag(own).over(over)}).where("_least <> _most")
 
-    def good(other: str) -> Column:
-        o = F.col(other)
-        return (o["node"] != F.col("node")) & possible(F.col("n"), F.col("pos"), o["n"], o["pos"], percent)
-
-    before = F.when(good("_first"), F.col("_first.node")).when(good("_last"), F.col("_last.node"))
-    path = scratch(docs.sparkSession, "postings")
-    p.select("shingle", "node", "n", "pos", before.alias("before")).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+def shared_postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
+    """(shingle, node, n, pos, band) of the shingles that two nodes or more have in their prefixes, each once."""
+    prefixes = stored(prefix_postings(docs, counts, k, percent), "prefixes")
+    ends = prefixes.groupBy("shingle").agg(F.min("node").alias("_least"), F.max("node").alias("_most"))
+    several = stored(ends.where("_least <> _most").select("shingle"), "shared")
+    # Tasks of the scan repeat the sets that they have in common.
+    shared = prefixes.join(several, "shingle").distinct()
+    n, pos = F.shiftright("n_pos", 32), F.col("n_pos").bitwiseAND(F.lit((1 << 32) - 1))
+    return stored(shared.select("shingle", "node", n.alias("n"), pos.alias("pos"), size_band(n).alias("band")), "postings")
 
 
 def prefix_size(n: Column, percent: int) -> Column:
@@ -186,110 +191,183 @@ def sharing_enough(pairs: DataFrame, postings: DataFrame, percent: int) -> DataF
     return pairs.join(u, "u").join(v, "v").where(shared + behind >= needed_overlap(F.col("nu"), F.col("nv"), percent)).select("u", "v")
 
 
+def dealt_roles(pairs: DataFrame) -> DataFrame:
+    """(node, part, places): to which (key, salt) each node of the pairs goes.
+
+    The end with more partners is a pair's key. Its partners are dealt among salts, and the
+    key itself goes to each of them. A node with many places has several rows.
+    """
+    degree = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+    both = pairs.join(degree.toDF("u", "du"), "u").join(degree.toDF("v", "dv"), "v")
+    key, other = F.struct(F.col("du").alias("d"), F.col("u").alias("id")), F.struct(F.col("dv").alias("d"), F.col("v").alias("id"))
+    turned = both.select(F.greatest(key, other).alias("k"), F.least(key, other).alias("o"))
+    salts = F.ceil(F.col("k.d") / PARTNERS)
+    placed = turned.select(F.col("o.id").alias("node"), F.col("o.d").alias("d"), F.col("k.id").alias("key"), F.pmod(F.xxhash64("o.id"), salts).alias("salt"), F.col("k.d").alias("_kd"))
+    placed = stored(placed, "placed")
+    keys = placed.select(F.col("key").alias("node"), F.col("_kd").alias("d"), "key", "salt").distinct()
+    roles = placed.select("node", "d", "key", "salt").unionByName(keys)
+    part = F.pmod(F.xxhash64("key", "salt"), F.ceil(F.col("d") / PARTNERS)).alias("part")
+    return roles.groupBy("node", part).agg(F.collect_list(F.struct("key", "salt")).alias("places"))
+
+
 def check_pairs(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (u, v) that link: partial overlaps per fragment, summed per pair.
+    """Those of the pairs (u, v) that link: overlaps counted fragment by fragment, summed per pair.
 
-    ``firsts`` has one doc_id of each node. The text of each node that occurs is cut into
-    fragments by shingle; fragments travel to their pair's u.
+    ``firsts`` names one text of each node, by doc_id and hash. It is cut into fragments by shingle, which
+    travel to the tasks of the node's pairs. A pair is given up once what its fragments
+    have in common and what is left of them cannot reach the bound together.
     """
-    spark = docs.sparkSession
-    roles = pairs.select(F.col("v").alias("node"), F.col("u").alias("key")).union(pairs.select("u", "u")).distinct()
-    wanted = cut(roles.groupBy("node").agg(F.collect_list("key").alias("keys")).join(firsts, "node"))
-    small = wanted.count() <= BROADCAST_ROWS and pairs.count() <= BROADCAST_ROWS
-    right = wanted.select(F.col("doc_id").alias("_id"), "node", "keys")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = stored(dealt_roles(pairs).join(firsts.select("node", "_id", "_hash"), "node"), "wanted")
+    right = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS and pairs.count() <= BROADCAST_ROWS else wanted
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_text_hash"))
     # Either a bounded list of nodes goes to every scan, or texts and nodes meet by a shuffle.
-    found = texts.join(F.broadcast(right) if small else right, F.col("doc_id").eqNullSafe(F.col("_id"))).select("text", "node", "keys")
+    found = texts.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))).select("text", "node", "part", "places")
+    names, kinds = ["key", "salt", "node", "n", "parts"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary())]
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def fragments(batches):
         shift = np.uint64(64 - FRAGMENTS.bit_length() + 1)
         seen = set()
         for batch in batches:
-            rows = []
-            for text, node, keys in zip(batch.column("text"), batch.column("node").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+            rows, held = [], 0
+            for text, node, part, places in zip(batch.column("text"), *[batch.column(c).to_pylist() for c in ("node", "part", "places")], strict=True):
+                if (node, part) in seen:
+                    continue
                 s = shingles(text.as_py(), k)
-                if not len(s) or set_node(s) != node or node in seen:
+                if not len(s) or set_node(s) != node:
                     continue
-                seen.add(node)
+                if len(seen) < SEEN:
+                    seen.add((node, part))
                 cuts = np.searchsorted(s >> shift, np.arange(FRAGMENTS + 1, dtype=np.uint64))
-                for f in range(FRAGMENTS):
-                    if part := s[cuts[f] : cuts[f + 1]].view(np.int64).tolist():
-                        rows += [(key, f, node, len(s), part) for key in keys]
-                if len(rows) >= 2000:
-                    yield batch_of(rows)
-                    rows = []
+                parts = [s[cuts[f] : cuts[f + 1]].tobytes() for f in range(FRAGMENTS)]
+                for place in places:
+                    rows.append((place["key"], place["salt"], node, len(s), parts))
+                    held += s.nbytes
+                    if held >= BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, held = [], 0
             if rows:
                 yield batch_of(rows)
 
-    def batch_of(rows):
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "fragment", "node", "n", "part"])
+    def shared_of(n, parts, n_other, others) -> bool:
+        need, shared, left, left_other = -(-percent * (n + n_other) // (100 + percent)), 0, n, n_other
+        for a, b in zip(parts, others, strict=True):
+            shared += len(np.intersect1d(a, b, assume_unique=True))
+            left, left_other = left - len(a), left_other - len(b)
+            if shared + min(left, left_other) < need:
+                return False
+        return True
 
     def count(batches):
-        hub: tuple[tuple[int, int], int, np.ndarray] | None = None
-        last = None
+        hub, last = None, None
         for batch in batches:
             out = []
-            for key, f, node, n, part in zip(*[batch.column(c).to_pylist() for c in ("key", "fragment", "node", "n")], batch.column("part"), strict=True):
+            for i, (key, salt, node, n) in enumerate(zip(*[batch.column(c).to_pylist() for c in names[:4]], strict=True)):
                 # Rows of one node can stand in several tasks of the scan; here they follow each other.
-                if (key, f, node) == last:
+                if (key, salt, node) == last:
                     continue
-                last, s = (key, f, node), np.asarray(part.values)
+                last = (key, salt, node)
+                if node != key and (hub is None or hub[0] != (key, salt)):
+                    continue
+                parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("parts")[i].values]
                 if node == key:
-                    hub = ((key, f), n, s)
-                elif hub and hub[0] == (key, f):
-                    out.append((key, node, n, hub[1], len(np.intersect1d(s, hub[2], assume_unique=True))))
+                    hub = ((key, salt), n, parts)
+                elif shared_of(n, parts, hub[1], hub[2]):
+                    out.append((key, node))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v", "n", "n_u", "shared"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v"])
 
-    parts = found.mapInArrow(fragments, "key long, fragment int, node long, n long, part array<long>")
-    # Within a (u, fragment), u's own part comes first and those of its partners stream past it.
-    dealt = parts.repartition("key", "fragment").sortWithinPartitions("key", "fragment", F.col("node") != F.col("key"), "node")
-    partial = dealt.mapInArrow(count, "u long, v long, n long, n_u long, shared long")
-    summed = partial.groupBy("u", "v", "n", "n_u").agg(F.sum("shared").alias("shared"))
-    return summed.where(F.col("shared") * 100 >= (F.col("n") + F.col("n_u") - F.col("shared")) * percent).select("u", "v")
+    cut_up = found.mapInArrow(fragments, "key long, salt long, node long, n long, parts array<binary>")
+    # Within a (key, salt), the key's own parts come first and those of its partners stream past them.
+    dealt = cut_up.repartition("key", "salt").sortWithinPartitions("key", "salt", F.col("node") != F.col("key"), "node")
+    return dealt.mapInArrow(count, "u long, v long")
 
 
-def first_pairs(postings: DataFrame) -> DataFrame:
-    """For each node, the neighbour before it with which it shares most prefix shingles."""
-    votes = postings.where("before is not null").groupBy("node", "before").agg(F.count(F.lit(1)).alias("votes"))
-    return votes.groupBy(F.col("node").alias("v")).agg(F.max_by("before", F.struct("votes", "before")).alias("u")).select("u", "v")
+def first_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """For each node, the one of its lists' heads with which it shares most prefix shingles.
+
+    A list's head is the node that has the shingle at the least position: a node with few
+    rarer shingles of its own is what the others of a group of near copies vary. Where the
+    head of the whole list cannot link, the head of the node's size band stands in.
+    """
+    by_band = postings.groupBy("shingle", "band").agg(F.min(F.struct("pos", "node", "n")).alias("near"))
+    by_band = stored(by_band, "heads")
+    heads = stored(by_band.join(by_band.groupBy("shingle").agg(F.min("near").alias("first")), "shingle"), "heads")
+
+    def good(other: str) -> Column:
+        o = F.col(other)
+        return (o["node"] != F.col("node")) & possible(F.col("n"), F.col("pos"), o["n"], o["pos"], percent)
+
+    before = F.when(good("first"), F.col("first.node")).when(good("near"), F.col("near.node"))
+    votes = postings.join(heads, ["shingle", "band"]).select("node", before.alias("before")).where("before is not null")
+    votes = votes.groupBy("node", "before").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.groupBy(F.col("node").alias("v")).agg(F.max_by("before", F.struct("votes", "before")).alias("u")).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def pairs_across(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs whose nodes have different labels.
+    """(u, v, lu, lv, votes): all candidate pairs whose nodes have different labels.
 
     In each shingle's list, nodes outside the commonest label are paired with all others;
-    a pair of different labels has such a node. Lists of one label make nothing.
+    a pair of different labels has such a node. Lists of one label make nothing. A node
+    meets only nodes of its size band and of the neighbouring ones, and long lists are salted.
     """
-    named = postings.select("shingle", "node", "n", "pos").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    whole = Window.partitionBy("shingle")
-    several = named.withColumns({"_a": F.min("label").over(whole), "_b": F.max("label").over(whole)}).where("_a <> _b")
-    counted = several.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("shingle", "label")))
-    top = F.max(F.struct("_c", "label")).over(whole)["label"]
-    marked = stored(counted.select("shingle", "node", "n", "pos", "label", (F.col("label") == top).alias("top")), "lists")
-    a, b = marked.where("not top").alias("a"), marked.alias("b")
+    named = postings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    per_label = named.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_c"))
+    lists = per_label.groupBy("shingle").agg(F.max(F.struct("_c", "label"))["label"].alias("_top"), F.min("label").alias("_a"), F.max("label").alias("_b"), F.sum("_c").alias("_size"))
+    several = stored(lists.where("_a <> _b").select("shingle", "_top", F.ceil(F.col("_size") / LIST).alias("salts")), "several")
+    marked = stored(named.join(several, "shingle").select("shingle", "node", "n", "pos", "band", "label", (F.col("label") == F.col("_top")).alias("top"), "salts"), "lists")
+    a = marked.where("not top").withColumn("salt", F.pmod(F.xxhash64("node"), "salts")).alias("a")
+    b = marked.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).withColumn("band", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)]))).alias("b")
+    meet = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.salt") == F.col("b.salt"))
     apart = (F.col("a.label") != F.col("b.label")) & (F.col("b.top") | (F.col("a.node") < F.col("b.node")))
     fits = possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
-    met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & apart & fits)
-    return met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
+    side = lambda x: F.struct(F.col(f"{x}.node").alias("node"), F.col(f"{x}.label").alias("label"))
+    met = a.join(b, meet & apart & fits).select(F.least(side("a"), side("b")).alias("x"), F.greatest(side("a"), side("b")).alias("y"))
+    return met.groupBy(F.col("x.node").alias("u"), F.col("y.node").alias("v"), F.col("x.label").alias("lu"), F.col("y.label").alias("lv")).agg(F.count(F.lit(1)).alias("votes"))
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) once nodes of labels that links (u, v, lu, lv) join have one label; nodes without a label are their own."""
+    links = stored(links, "bridges")
+    if links.isEmpty():
+        return labels
+    merged = connected_components(links.select(F.col("lu").alias("u"), F.col("lv").alias("v"))).toDF("_old", "_new")
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("lu").alias("label")), F.struct(F.col("v").alias("node"), F.col("lv").alias("label")))).alias("e")).select("e.*")
+    known = labels.unionByName(ends).distinct()
+    return stored(known.join(merged, known["label"] == merged["_old"], "left").select("node", F.coalesce("_new", "label").alias("label")), "labels")
 
 
 def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_hash, n, label, component_id) of every row; label is null for rows without shingles."""
+    if percent < 80:
+        raise ValueError("size bands are made for similarities of 80 percent or more")
     digests, counts = digest_and_sketch(docs, k)
-    firsts = stored(digests.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "firsts")
+    place = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("_p")
+    firsts = digests.where("node is not null").groupBy("node").agg(place).select("node", F.col("_p.doc_id").alias("_id"), F.col("_p.text_hash").alias("_hash"))
+    firsts = stored(firsts, "firsts")
     postings = shared_postings(docs, counts, k, percent)
-    likely = stored(sharing_enough(stored(first_pairs(postings), "first"), postings, percent), "pairs")
-    labels = stored(connected_components(cut(check_pairs(docs, firsts, likely, k, percent))), "labels")
-    further = stored(sharing_enough(stored(pairs_across(postings, labels, percent), "across"), postings, percent), "pairs")
-    more = check_pairs(docs, firsts, further, k, percent)
-    at = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}"))
-    bridges = more.join(at("u"), "u", "left").join(at("v"), "v", "left").select(F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v"))
-    merged = connected_components(cut(bridges)).select(F.col("node").alias("_old"), F.col("label").alias("_new"))
-    named = firsts.join(labels, "node", "left").withColumn("_old", F.coalesce("label", "node"))
-    named = named.join(merged, "_old", "left").select("node", "doc_id", F.coalesce("_new", "_old").alias("label"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs.select("u", "v")
+        likely = stored(sharing_enough(pairs.select("u", "v"), postings, percent), "pairs")
+        return likely if likely.isEmpty() else stored(check_pairs(docs, firsts, likely, k, percent).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), "links")
+
+    labels = connected_components(linked(stored(first_pairs(postings, percent), "first")))
+    across = stored(pairs_across(postings, labels, percent), "across")
+    best = across.groupBy(F.least("lu", "lv").alias("_1"), F.greatest("lu", "lv").alias("_2")).agg(F.max_by(F.struct("u", "v"), F.struct("votes", "u", "v")).alias("p"))
+    best = stored(best.select("p.u", "p.v"), "best")
+    joined = linked(best)
+    labels = relabelled(labels, across.join(joined, ["u", "v"]))
+    left = across.join(best, ["u", "v"], "left_anti").drop("lu", "lv")
+    left = left.join(labels.toDF("u", "_lu"), "u", "left").join(labels.toDF("v", "_lv"), "v", "left")
+    left = left.select("u", "v", F.coalesce("_lu", "u").alias("lu"), F.coalesce("_lv", "v").alias("lv")).where("lu <> lv")
+    left = stored(left, "left")
+    labels = relabelled(labels, left.join(linked(left), ["u", "v"]))
+    named = firsts.join(labels, "node", "left").select("node", "_id", F.coalesce("label", "node").alias("label"))
+    least = named.groupBy("label").agg(F.min("_id").alias("component_id"))
     component = stored(named.select("node", "label").join(least, "label").select("node", "label", "component_id"), "components")
     out = digests.join(component, "node", "left")
     return out.select("doc_id", "text_hash", "n", "label", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -237,9 +237,8 @@ def test_components_match_brute_force(spark):
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash"))
     want, groups = brute_components(rows)
-    for n in (1, 7):
-        got = jaccard.link_components(docs.repartition(n))
-        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
+    got = jaccard.link_components(docs.repartition(7))
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
     kept = jaccard.keep_one(docs).collect()
     assert len(kept) == groups
 
@@ -305,19 +304,35 @@ def test_search_odd_rows(spark):
     assert search.top_k(docs, docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("broadcast", [500_000, 0])
-def test_a_row_repeated_in_several_tasks_counts_once(spark, monkeypatch, broadcast):
+@pytest.mark.parametrize(("broadcast", "partners"), [(500_000, 64), (0, 2)])
+def test_a_row_repeated_in_several_tasks_counts_once(spark, monkeypatch, broadcast, partners):
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", broadcast)
-    body, other = " ".join(f"b{i}" for i in range(64)), [" ".join(f"{x}{i}" for i in range(40)) for x in "xy"]
-    texts = [f"{body} {other[0]}", *[f"{body} {other[1]}"] * 3]
-    docs = spark.createDataFrame([(1, texts[0]), *[(2, t) for t in texts[1:]]], "doc_id long, text string").repartition(4, F.rand(1)).localCheckpoint()
-    u, v = (jaccard.set_node(jaccard.shingles(t, 5)) for t in texts[:2])
-    firsts = spark.createDataFrame([(u, 1), (v, 2)], "node long, doc_id long")
-    pairs = spark.createDataFrame([(u, v)], "u long, v long")
-    parts = docs.select(F.spark_partition_id().alias("p")).where("doc_id = 2").distinct().count()
-    assert parts > 1
-    assert jaccard.check_pairs(docs, firsts, pairs, 5, 80).count() == 0
-    assert jaccard.check_pairs(docs, firsts, pairs, 5, 40).count() == 1
+    monkeypatch.setattr(jaccard, "PARTNERS", partners)
+    rows = []
+    for i, same in enumerate((60, 64, 68, 72, 75, 79, 84, 90, 97) * 3):  # of 100 shingles each; 90 of 110 is the first to link
+        body = " ".join(f"b{i}x{j}" for j in range(same + 4))
+        rows += [(10 * i + t, f"{body} " + " ".join(f"{x}{i}y{j}" for j in range(100 - same))) for t, x in enumerate("uv")]
+    repeated = spark.createDataFrame([r for r in rows for _ in range(4)], "doc_id long, text string").repartition(6, F.rand(1))
+    want, groups = brute_components(rows)
+    got = jaccard.components(repeated).select("doc_id", "n", "component_id").distinct().collect()
+    assert Counter(map(tuple, got)) == want
+    if broadcast:
+        assert jaccard.keep_one(repeated).count() == groups
+
+
+def test_components_with_salted_lists_and_partners(spark, monkeypatch):
+    for name, value in (("BROADCAST_ROWS", 0), ("PARTNERS", 2), ("LIST", 3), ("SEEN", 1), ("BATCH_BYTES", 100)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = near_copies()
+    got = jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute_components(rows)[0]
+
+
+def test_many_rows_without_an_id(spark):
+    rows = [(None, f"row {i} of many that have no id and this is {'odd' if i % 2 else 'even'} {i // 2}") for i in range(2000)]
+    rows += [(None, " ".join(f"w{(i + j) % 120}" for j in range(100))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert jaccard.keep_one(docs).count() == brute_components(rows)[1]
 
 
 PROSE = "<p>" + "A sentence of plain prose with enough words in it to be taken for text. " * 3 + "</p>"
