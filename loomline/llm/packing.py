@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.common import number_rows, scratch
-from loomline.llm.tokens import encoder, slices
+from loomline.llm.tokens import encoder, release, slices
 
 PIECES = "doc_id long, piece long, start long, length long, ids binary, doc_tokens long"
 
@@ -44,6 +44,9 @@ def decompose(docs: DataFrame, tokenizer_path: str, end_id: int = 2, longest: in
                 kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
                 names = [x.split()[0] for x in PIECES.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                del flat, at, out
+            del batch, texts
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut_up, PIECES)
 

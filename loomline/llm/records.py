@@ -14,7 +14,11 @@ bits and adds a constant, so that a checksum over stored checksums stays meaning
 
 Files come from Spark's own text writer (the end mark is its line separator), so a file
 appears only when its task commits, a lost executor's task is simply run again, and any
-file system that Spark knows will do. Files follow each other in ascending doc_id order.
+file system that Spark knows will do. Files follow each other in ascending doc_id order, by the
+number in their names.
+
+Texts are encoded where they are read, and only frames are dealt out and sorted. There are
+as many files as make each hold the frames of about FILE_BYTES of text.
 """
 
 from __future__ import annotations
@@ -25,15 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.common import scratch
-from loomline.llm.tokens import encoder, slices
+from loomline.llm.tokens import encoder, release, slices
 
 MASK_DELTA = 0xA282EAD8
 HEAD, TAIL, LEAD = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
 END = b"\n"
+#: Bytes of text whose frames make a file; ids take about half of that. A file is read as a whole.
+FILE_BYTES = 64 << 20
+#: Where null ids stand in the order.
+NO_ID = -(1 << 63)
 INDEX_SCHEMA = "file string, row long, doc_id long, position long, length long, start_in_file long, n_tokens long, ids_crc32 long"
 
 
@@ -81,27 +90,51 @@ def read_frame(data: bytes, at: int = 0) -> tuple[int, bytes]:
     return HEAD.size + size + TAIL.size + len(END), payload
 
 
+def file_bounds(docs: DataFrame) -> list[int]:
+    """Ids that cut the documents into parts of about equal numbers, one part for FILE_BYTES of text or for each shuffle partition."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
+    shares = [i / parts for i in range(1, parts)]
+    # One number per file.
+    return docs.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(NO_ID)), shares, 10 * parts)).first()[0] or [] if shares else []
+
+
+def part_of(keys: np.ndarray, bounds: np.ndarray, turn: int) -> np.ndarray:
+    """The part of each key. A key that is several bounds at once fills more than a part; its rows take turns among those."""
+    low, high = np.searchsorted(bounds, keys, "left"), np.searchsorted(bounds, keys, "right")
+    return low + np.where(high - low > 1, (turn + np.arange(len(keys))) % (high - low + 1), 0)
+
+
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1) -> None:
     """Encode every whole text, append ``end_id``, and write frames in ascending doc_id order.
 
-    Null ids come first; rows of one id stand in the order of their texts, so that reruns
-    agree. A null or empty text gives the end id alone. Columns other than doc_id and text
-    are not read.
+    Null ids come first. Rows of one id stand in the order of their frames, or, if they
+    fill several files, of their input partitions too. A null or empty text gives the end id
+    alone. Columns other than doc_id and text are not read.
     """
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    bounds = file_bounds(rows)
+    shared = docs.sparkSession.sparkContext.broadcast(np.array(bounds, np.int64))
 
     def encode(batches):
         enc, tail = encoder(tokenizer_path), np.array([end_id], np.uint32)
+        turn = TaskContext.get().partitionId()
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
+            parts = part_of(np.array([NO_ID if d is None else d for d in doc_ids], np.int64), shared.value, turn)
+            turn += len(parts)
             for a, b in slices(texts):
                 ids, at = enc.encode(texts[a:b])
                 made = [frame(payload_of(doc_ids[a + i], np.concatenate([ids[at[i] : at[i + 1]], tail])))[: -len(END)] for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["frame"])
+                yield pa.RecordBatch.from_arrays([pa.array(parts[a:b].astype(np.int32)), batch.column("doc_id")[a:b], pa.array(made, pa.binary())], ["part", "doc_id", "frame"])
+                del ids, at, made
+            del batch, texts
+        release()
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    framed = rows.mapInArrow(encode, "part int, doc_id long, frame binary")
+    dealt = framed.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "frame")
     # A cast of binary to string keeps the bytes, and the text writer writes them as they are.
-    ordered.mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", END.decode()).text(path)
+    dealt.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", END.decode()).text(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +144,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 out, start = [], 0
-                for row, (position, length, payload) in enumerate(frames(data.as_py())):
+                for row, (position, length, payload) in enumerate(frames(memoryview(data.as_buffer()))):
                     doc_id, ids = parse_payload(payload)
                     out.append((name.rsplit("/", 1)[-1], row, doc_id, position, length, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     start += len(ids)
@@ -119,6 +152,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                     names = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
                     kinds = [pa.string()] + [pa.int64()] * 7
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            batch = data = None
+        release()
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInArrow(scan, INDEX_SCHEMA)
@@ -128,8 +163,9 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     """Write the offset index beside the records, and return it with each frame's global token start."""
     read_index(spark, path).write.parquet(index_path)
     index = spark.read.parquet(index_path)
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
     totals = index.groupBy("file").agg(F.sum("n_tokens").alias("_total"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("file", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
     # One row per file.
     placed = index.join(F.broadcast(bases), "file")

@@ -19,7 +19,9 @@ WORD_END = "</w>"
 LATIN_PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 NOT_LATIN = re.compile(r"[^!-~À-ÖØ-öø-ÿ]")
 #: Words and pieces a memo holds before it starts anew; some 200 bytes each.
-MEMO_WORDS, MEMO_PIECES = 700_000, 500_000
+MEMO_WORDS, MEMO_PIECES = 700_000, 300_000
+#: Bytes of text that are encoded at a time; what this takes meanwhile is many times as much.
+SLICE_BYTES = 8_000_000
 
 
 def load_tokenizer(path: str):
@@ -46,11 +48,14 @@ class Pool:
 
     def __init__(self):
         self.slot: dict[str, int] = {}
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.ids, self.sizes, self.begins = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.slot.update(zip(keys, range(len(self.sizes), len(self.sizes) + len(keys)), strict=True))
-        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        if not keys:
+            return
+        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids, self.sizes, self.begins = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes]), np.concatenate([self.begins, begins])
 
     def slots(self, keys: list[str]) -> np.ndarray:
         return np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
@@ -59,8 +64,7 @@ class Pool:
         """(flat ids, offsets) of the lists at the slots."""
         sizes = self.sizes[slots]
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        begins = np.cumsum(self.sizes) - self.sizes
-        return self.ids[np.repeat(begins[slots] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+        return self.ids[np.repeat(self.begins[slots] - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
 
 class BatchEncoder:
@@ -135,7 +139,12 @@ def encoder(path: str) -> BatchEncoder:
     return BatchEncoder(path)
 
 
-def slices(texts: pa.Array, most_bytes: int = 8_000_000):
+def release() -> None:
+    """Give back what Arrow keeps for later in this worker; a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+
+
+def slices(texts: pa.Array, most_bytes: int = SLICE_BYTES):
     """Ranges of rows of a batch of about so many bytes of text, one row at least, to bound what numpy holds."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     begin, held = 0, 0

@@ -81,6 +81,30 @@ def test_records_round_trip(spark):
     assert records.encode_to_records(D.empty(spark), WORD)[1].count() == 0
 
 
+def test_an_id_of_many_rows_is_dealt_among_files_and_files_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(records, "FILE_BYTES", 40)
+    rows = [(7, "the same row again", None, None, None)] * 300 + [(None, f"no id {i % 3}", None, None, None) for i in range(60)] + [(i, f"row {i}", None, None, None) for i in range(-20, 120) if i != 7]
+    docs = D.make(spark, rows).repartition(5)
+    path, index = records.encode_to_records(docs, WORD)
+    got = index.orderBy("start").collect()
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0)
+    assert [key(r) for r in got] == sorted(map(key, got)) and len(got) == len(rows)
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+    assert len({r.file for r in got if r.doc_id == 7}) > 20
+    renamed = [f"part-{n:05d}-x-c000.txt" for n in (99_999, 100_000, 2)]
+    odd = [(f, 0, n, 0, 30, 0, 5, 0) for n, f in enumerate(renamed)]
+    spark.createDataFrame(odd, records.INDEX_SCHEMA).createOrReplaceTempView("odd_index")
+    monkeypatch.setattr(records, "read_index", lambda *_: spark.table("odd_index"))
+    placed = records.write_index(spark, path, f"{path}-odd").orderBy("start").collect()
+    assert [r.doc_id for r in placed] == [2, 0, 1]
+
+
+def test_parts_of_keys():
+    bounds = np.array([3, 5, 5, 5, 9])
+    got = records.part_of(np.array([1, 3, 4, 5, 5, 5, 5, 6, 9, 10]), bounds, 0)
+    assert got.tolist() == [0, 0, 1, 4, 1, 2, 3, 4, 4, 5] and records.part_of(np.array([4, 7]), np.zeros(0, np.int64), 3).tolist() == [0, 0]
+
+
 @given(st.binary(max_size=60), st.integers(0, 200))
 @settings(deadline=None)
 def test_a_changed_byte_is_noticed(payload, where):
