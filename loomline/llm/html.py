@@ -1,19 +1,23 @@
 """Main text of web pages by minimum-cut labelling of text blocks.
 
-A page is cut into blocks of text at block-level tags. A linear classifier scores each
-block; its score becomes a capacity from the source (evidence for content) or to the sink
+A page is cut into blocks of text at block-level tags. A logistic classifier scores each
+block; its log odds become a capacity from the source (evidence for content) or to the sink
 (evidence for boilerplate). Blocks next to each other on the page, and blocks that follow
-each other under one parent, are joined by smoothness capacities. The blocks on the source's
+each other in one element, are joined by smoothness capacities. The blocks on the source's
 side of a minimum cut are the main text: a short paragraph inside an article stays with its
 neighbours, a strong advert inside it does not.
+
+The classifier is fitted on a bounded sample of pages that mark their article with an
+``article`` or ``main`` element: blocks inside are content, those outside are not. Its prior
+are the weights below, which stand for themselves where no page marks anything.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +28,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: Their content is no markup and runs to their end tag.
 RAW = set("script style noscript iframe textarea".split())
 #: Elements whose content is no text of the page, if they have an end tag; the head ends by itself.
-NEVER_TEXT = set("template svg object canvas select button datalist math audio video".split())
+NEVER_TEXT = set("template svg object canvas select button datalist audio video".split())
 FOREIGN = {"svg", "math"}
 IN_HEAD = set("title base basefont bgsound link meta script style noscript template".split())
 BOILER_TAGS = set("nav footer aside form menu dialog".split())
@@ -34,7 +38,12 @@ BOILER_NAMES = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios consent contentinfo cookie cookies copyright discussion disqus foot footer gdpr legal login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay "
     "pager pagination popup print promo promoted promotion recommend recommended related reply replies respond rail search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar widget".split()
 )
-WEIGHTS = {"base": -0.4, "article": 3.0, "boiler": -9.0, "word": 0.08, "links": -4.0, "sentence": 0.5, "heading": 1.0, "notice": -2.0}
+#: What elements tell by themselves.
+WEIGHTS = {"article": 3.0, "boiler": -9.0}
+#: The classifier's prior: constant, words (up to LONG), part in links, ends like a sentence, heading, notice.
+PRIOR = (-0.4, 3.2, -4.0, 0.5, 1.0, -2.0)
+#: Pages of up to so many characters that it is fitted on; all their blocks count as so many cases against the prior.
+FIT_PAGES, FIT_CHARS, FIT_CASES = 1000, 100_000, 60.0
 NEXT, SAME_PARENT, SIBLING = 0.3, 0.7, 0.5
 #: Capacities fall to a half where two scores differ by so much.
 CONTRAST = 3.0
@@ -113,12 +122,12 @@ def tokens_of(page: str) -> tuple[list[tuple[int, int, bool, str, str]], set[int
     out: list[tuple[int, int, bool, str, str]] = []
     opened: dict[str, list[int]] = {n: [] for n in NEVER_TEXT}
     closed: set[int] = set()
-    head, at = False, 0
+    head, at, last_svg = False, 0, page.rfind("</svg")
     while m := TAG.search(page, at):
         shut, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         at, name = m.end(), (name or "").lower()
         alone = bool(name) and not shut and attributes.endswith("/")
-        foreign = bool(opened["svg"] or opened["math"])
+        foreign = bool(opened["svg"])
         if name and head and (name == "head" if shut else name not in IN_HEAD):
             head = False
         if name == "head" and not shut:
@@ -133,16 +142,27 @@ def tokens_of(page: str) -> tuple[list[tuple[int, int, bool, str, str]], set[int
             name = ""
         elif name in NEVER_TEXT:
             opened[name].append(len(out))
-        elif name in BLOCKS and not shut and foreign and not page.find("</svg", at) + page.find("</math", at) > -2:
+        elif name in BLOCKS and not shut and foreign and at > last_svg:
             opened["svg"].clear()
-            opened["math"].clear()
         out.append((m.start(), at, bool(shut), name, attributes or ""))
     return out, closed
 
 
-def blocks_of(page: str) -> list[tuple[str, float, int]]:
-    """(text, score, parent) of each text block in page order."""
-    out: list[tuple[str, float, int, int]] = []
+class Block:
+    """A text block: its text, the classifier's features, where it stands, and the wrapper it is in."""
+
+    __slots__ = ("text", "features", "article", "boiler", "own", "group", "wrapper")
+
+    def __init__(self, text: str, linked: int, name: str, article: bool, boiler: bool, own: int, group: int, wrapper: int):
+        words = text.count(" ") + 1
+        notice = not article and words < LONG and bool(NOTICE.search(text))
+        self.text, self.article, self.boiler, self.own, self.group, self.wrapper = text, article, boiler, own, group, wrapper
+        self.features = (1.0, min(words, LONG) / LONG, min(1.0, linked / len(text)), float(text[-1] in ".!?:;\"'”»"), float(name in ("h1", "h2", "h3")), float(notice))
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[float]]:
+    """(text blocks in page order, the evidence of each wrapper's names)."""
+    out: list[Block] = []
     wrappers = Wrappers()
     # Open elements: name, inside an article, inside a boilerplate element, number of the element, in a link, no text of the page, wrapper.
     stack: list[tuple[str, bool, bool, int, bool, bool, int]] = [("", False, False, 0, False, False, 0)]
@@ -153,12 +173,12 @@ def blocks_of(page: str) -> list[tuple[str, float, int]]:
         nonlocal linked
         whole = " ".join(html.unescape("".join(text)).split()) if text else ""
         if whole:
-            block = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCKS), 0)
+            open_blocks = (i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCKS)
+            own = next(open_blocks, 0)
             _, article, boiler, *_, wrapper = stack[-1]
-            words = whole.count(" ") + 1
             if not boiler and 2 * linked < len(whole):
-                wrappers.add(wrapper, words)
-            out.append((whole, score(whole, linked, stack[block][0], article, boiler), stack[max(0, block - 1)][3], 0 if boiler else wrapper))
+                wrappers.add(wrapper, whole.count(" ") + 1)
+            out.append(Block(whole, linked, stack[own][0], article, boiler, stack[own][3], stack[next(open_blocks, 0)][3], 0 if boiler else wrapper))
         text.clear()
         linked = 0
 
@@ -206,89 +226,151 @@ def blocks_of(page: str) -> list[tuple[str, float, int]]:
     if page[at:]:
         add(page[at:])
     flush()
-    named = wrappers.weights()
-    return [(whole, z + named[w], parent) for whole, z, parent, w in out]
+    return out, wrappers.weights()
+
 
+def scores_of(blocks: list[Block], named: list[float], weights: tuple[float, ...] = PRIOR) -> list[float]:
+    """Evidence that each block is content, in log odds: the classifier's, and what elements and names tell."""
+    return [sum(w * x for w, x in zip(weights, b.features, strict=True)) + WEIGHTS["article"] * b.article + WEIGHTS["boiler"] * b.boiler + named[b.wrapper] for b in blocks]
 
-def score(text: str, linked: int, name: str, article: bool, boiler: bool) -> float:
-    """Evidence that a block is content, in the classifier's log odds."""
-    w, words = WEIGHTS, text.count(" ") + 1
-    z = w["base"] + w["word"] * min(words, LONG) + w["links"] * min(1.0, linked / len(text))
-    z += w["article"] * article + w["boiler"] * boiler + w["heading"] * (name in ("h1", "h2", "h3"))
-    z += w["sentence"] * (text[-1] in ".!?:;\"'”»")
-    return z + w["notice"] * (not article and words < LONG and bool(NOTICE.search(text)))
 
+def fit(pages: list[str]) -> tuple[float, ...]:
+    """The classifier's weights, by Newton steps on the log-likelihood of the pages' blocks and a normal prior.
 
-def smoothness(scores: list[float], parents: list[int]) -> list[tuple[int, int, float]]:
-    """(i, j, capacity) between neighbours on the page and between blocks that follow each other under one parent."""
+    Only pages with blocks in an article count; blocks of an article under a wrapper of a telling
+    name belong to neither side. However many blocks there are, they count as FIT_CASES.
+    """
+    rows, labels = [], []
+    for page in pages:
+        blocks, named = blocks_of(page)
+        if any(b.article for b in blocks):
+            for b in blocks:
+                if not b.article or b.boiler or not named[b.wrapper]:
+                    rows.append(b.features)
+                    labels.append(b.article and not b.boiler)
+    w = prior = np.array(PRIOR)
+    if rows:
+        x, y = np.array(rows), np.array(labels, float)
+        # Both sides have the same weight, as pages differ in how much boilerplate they carry.
+        share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, len(y) - y.sum())) * FIT_CASES
+        for _ in range(25):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (share * (y - p)) - (w - prior))
+            w = w + step
+            if np.abs(step).max() < 1e-9:
+                break
+    return tuple(float(round(v, 6)) for v in w)
+
+
+def groups_of(blocks: list[Block]) -> list[int]:
+    """The element that each block is a child of; text beside child blocks is such a child itself."""
+    parents = {b.group for b in blocks}
+    return [b.own if b.own in parents else b.group for b in blocks]
+
+
+def smoothness(scores: list[float], groups: list[int]) -> list[tuple[int, int, float]]:
+    """(i, j, capacity) between neighbours on the page and between blocks that follow each other in one element, by j.
+
+    Elements lie inside or beside each other, so no two of these edges cross.
+    """
     edges, last = [], {}
     soft = lambda i, j: CONTRAST / (CONTRAST + abs(scores[i] - scores[j]))
-    for j, parent in enumerate(parents):
+    for j, group in enumerate(groups):
         if j:
-            edges.append((j - 1, j, (NEXT + SAME_PARENT * (parents[j - 1] == parent)) * soft(j - 1, j)))
-        if parent in last and last[parent] != j - 1:
-            edges.append((last[parent], j, SIBLING * soft(last[parent], j)))
-        last[parent] = j
+            edges.append((j - 1, j, (NEXT + SAME_PARENT * (groups[j - 1] == group)) * soft(j - 1, j)))
+        if group in last and last[group] != j - 1:
+            edges.append((last[group], j, SIBLING * soft(last[group], j)))
+        last[group] = j
     return edges
 
 
-def content_side(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Which nodes stand on the source's side of a minimum cut; augmenting paths by breadth-first search.
+def maximum_flow(scores: list[float], edges: list[tuple[int, int, float]]) -> tuple[float, list[bool]]:
+    """(value of a maximum flow, which nodes stand on the source's side of a minimum cut), in linear time.
 
-    A score is what is left of a node's two terminal capacities once the flow straight
-    through it is taken off. Nodes from which a surplus can still be pushed nowhere stay
-    with the source; nodes of score 0 out of reach go to the sink.
+    A score is a node's capacity from the source, or to the sink if it is negative. Edges
+    (i, j, capacity), i < j, in the order of j, run between neighbours or over the nodes
+    between their ends, and do not cross. So there is always a node with two neighbours at
+    most: the flow through it is settled at once, and what the node leaves behind are
+    terminal capacities of the two and an arc from one to the other. The last node's side
+    decides, in reverse order, those of all before. Ties go to the sink.
     """
-    around: list[list[list]] = [[] for _ in scores]
-    for i, j, c in edges:
-        there, back = [j, c, None], [i, c, None]
-        there[2], back[2] = back, there
-        around[i].append(there)
-        around[j].append(back)
-    left = list(scores)
-    while True:
-        sources = [i for i, s in enumerate(left) if s > 1e-9]
-        came: dict[int, list | None] = dict.fromkeys(sources)
-        queue, end = deque(sources), None
-        while queue and end is None:
-            i = queue.popleft()
-            for arc in around[i]:
-                if arc[1] > 1e-9 and arc[0] not in came:
-                    came[arc[0]] = arc
-                    if left[arc[0]] < -1e-9:
-                        end = arc[0]
-                        break
-                    queue.append(arc[0])
-        if end is None:
-            return [i in came for i in range(len(scores))]
-        path, k = [], end
-        while came[k] is not None:
-            path.append(came[k])
-            k = came[k][2][0]
-        flow = min(left[k], -left[end], *[arc[1] for arc in path])
-        left[k] -= flow
-        left[end] += flow
-        for arc in path:
-            arc[1] -= flow
-            arc[2][1] += flow
-
-
-def main_text(page: str | None) -> str:
+    left = [-s for s in scores]  # the cost of the source's side over the sink's
+    flow = sum(s for s in scores if s > 0)
+    ahead, back = [0.0] * len(scores), [0.0] * len(scores)  # arc capacities from and to the node before on the stack
+    settled: list[tuple[int, int, int, tuple[bool, ...]]] = []
+    stack: list[int] = []
+
+    def settle(a: int, p: int, b: int) -> None:
+        """Take out p, whose neighbours are a and b; b is -1 if there is none."""
+        nonlocal flow
+        ahead_b, back_b = (ahead[b], back[b]) if b >= 0 else (0.0, 0.0)
+        cost, side = [], []
+        for at_a in (0, 1):
+            for at_b in (0, 1):
+                sink = at_a * ahead[p] + at_b * back_b
+                source = left[p] + (1 - at_a) * back[p] + (1 - at_b) * ahead_b
+                side.append(source < sink - 1e-12)
+                cost.append(min(sink, source))
+        c00, c01, c10, c11 = cost
+        flow += c00
+        left[a] += c11 - c01 if b >= 0 else c10 - c00
+        if b >= 0:
+            left[b] += c01 - c00
+            ahead[b], back[b] = max(0.0, c01 + c10 - c00 - c11), 0.0
+        settled.append((p, a, b, tuple(side)))
+
+    k = 0
+    for j in range(len(scores)):
+        stack.append(j)
+        while k < len(edges) and edges[k][1] == j:
+            i, _, c = edges[k]
+            while stack[-2] != i:
+                settle(stack[-3], stack[-2], j)
+                del stack[-2]
+            ahead[j] += c
+            back[j] += c
+            k += 1
+    while len(stack) > 1:
+        settle(stack[-2], stack[-1], -1)
+        stack.pop()
+    kept = [False] * len(scores)
+    if stack:
+        kept[stack[0]] = left[stack[0]] < -1e-12
+        flow += min(0.0, left[stack[0]])
+    for p, a, b, side in reversed(settled):
+        kept[p] = side[2 * kept[a] + (b >= 0 and kept[b])]
+    return flow, kept
+
+
+def main_text(page: str | None, weights: tuple[float, ...] = PRIOR) -> str:
     """The content blocks of a page, one line each; empty for null, empty or all-boilerplate pages."""
-    found = blocks_of(page or "")
-    scores = [s for _, s, _ in found]
-    kept = content_side(scores, smoothness(scores, [p for _, _, p in found]))
-    return "\n".join(t for (t, _, _), k in zip(found, kept, strict=True) if k)
+    blocks, named = blocks_of(page or "")
+    scores = scores_of(blocks, named, weights)
+    _, kept = maximum_flow(scores, smoothness(scores, groups_of(blocks)))
+    return "\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
+
 
+def sample(pages: DataFrame) -> list[str]:
+    """Up to FIT_PAGES different pages of up to FIT_CHARS characters, those of the least hashes."""
+    some = pages.select("html").where(F.length("html").between(1, FIT_CHARS)).withColumn("_h", F.xxhash64("html"))
+    # Only hashes are ordered; then each of the FIT_PAGES pages comes to the driver once.
+    least = some.select("_h").distinct().orderBy("_h").limit(FIT_PAGES)
+    found = some.join(F.broadcast(least), "_h").groupBy("_h").agg(F.min("html").alias("html"))
+    return [r["html"] for r in sorted(found.collect())]
 
-def extract(pages: DataFrame) -> DataFrame:
-    """The pages with ``text`` (string) in place of ``html``; other columns but ``text`` are kept, repeated rows too."""
+
+def extract(pages: DataFrame, fitted: bool = True) -> DataFrame:
+    """The pages with ``text`` (string) in place of ``html``; other columns but ``text`` are kept, repeated rows too.
+
+    Unless told otherwise, the classifier is first fitted on a sample of the pages.
+    """
+    weights = fit(sample(pages)) if fitted else PRIOR
     rest = pages.drop("text")
     names = [n for n in rest.columns if n != "html"]
 
     def scan(batches):
         for batch in batches:
-            texts = pa.array([main_text(p.as_py()) for p in batch.column("html")], pa.string())
+            texts = pa.array([main_text(p.as_py(), weights) for p in batch.column("html")], pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], texts], [*names, "text"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest.schema if f.name != "html")
