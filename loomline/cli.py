@@ -120,13 +120,14 @@ def run_name_changes(args) -> int:
     from loomline.session import build_session
     from loomline.sources import games as source
 
-    tree = source.bundle_tree(args.raw_root, f"{args.league}/raw")
-    have = sorted(d for d in os.listdir(tree) if os.path.isdir(f"{tree}/{d}")) if os.path.isdir(tree) else []
+    spark = build_session()
+    tree = source.bundle_tree(spark, args.raw_root, f"{args.league}/raw")
+    have = source.folders(spark, tree)
     seasons = args.season or have
     if not have or set(seasons) - set(have):
         log.error("no raw tree for %s under %s", seasons or "any season", tree)
         return 2
-    bundles = source.read_bundles(build_session(), tree, seasons, args.limit)
+    bundles = source.read_bundles(spark, tree, seasons, args.limit)
     name_changes.changes(bundles).coalesce(1).write.mode("overwrite").parquet(args.out)
     bad = name_changes.unreadable(bundles).count()
     if bad:

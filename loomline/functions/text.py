@@ -87,9 +87,16 @@ def name_signatures(names: DataFrame, column: str = "name") -> DataFrame:
     return distinct.withColumn("signature", signature_of_folded(ascii_fold("name")))
 
 
+def case_folded(text: Column) -> Column:
+    """Full case folding: what differs in case alone becomes equal, so that ß is ss."""
+    # By way of upper case, which has one form for all; a dotless i has none, and a sigma at the end of a word two lower ones.
+    upper = F.translate(F.upper(F.translate(text, "ı", "\ue000")), "Σ", "\ue001")
+    return F.translate(F.lower(upper), "\ue000\ue001", "ıσ")
+
+
 def team_norm(team: Column) -> Column:
-    """White space collapsed, trimmed, lower case."""
-    return F.lower(F.trim(F.regexp_replace(team, r"(?U)\s+", " ")))
+    """White space collapsed, trimmed, case folded."""
+    return case_folded(F.trim(F.regexp_replace(team, r"(?U)\s+", " ")))
 
 
 def lineup_key(team: Column, signatures: Column) -> Column:
@@ -98,17 +105,21 @@ def lineup_key(team: Column, signatures: Column) -> Column:
     return F.when((F.size(signatures) > 0) & (team != ""), F.substring(F.md5(body.cast("binary")), 1, 16))
 
 
-def add_lineup_key(df: DataFrame, team: str, players: str, out: str, dim: DataFrame) -> DataFrame:
-    """Add a lineup key from an array column of names, through the dimension of signatures.
+def add_lineup_keys(df: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add a lineup key per entry: its name, and the columns of the team and of the array of players' names.
 
-    Keys are made once per distinct (team, array) pair and joined back.
+    All sides' distinct (team, array) pairs are one table: each name's signature and each
+    pair's key are made once, and joined back.
     """
-    distinct = df.select(F.col(team).alias("_team"), F.col(players).alias("_players")).where("_players is not null").distinct()
-    rows = distinct.select("*", F.explode("_players").alias("name")).join(dim, "name")
-    keys = rows.groupBy("_team", "_players").agg(F.collect_list("signature").alias("_signatures"))
-    keys = keys.select("_team", "_players", lineup_key(F.col("_team"), F.col("_signatures")).alias(out))
-    same = df[team].eqNullSafe(keys["_team"]) & (df[players] == keys["_players"])
-    return df.join(keys, same, "left").drop("_team", "_players")
+    each = F.explode(F.array(*[F.struct(F.col(team).alias("_team"), F.col(players).alias("_players")) for team, players in sides.values()]))
+    pairs = df.select(each.alias("_e")).select("_e.*").where("_players is not null").distinct()
+    rows = pairs.select("*", F.explode("_players").alias("name"))
+    keys = rows.join(name_signatures(rows), "name").groupBy("_team", "_players").agg(F.collect_list("signature").alias("_signatures"))
+    keys = keys.select("_team", "_players", lineup_key(F.col("_team"), F.col("_signatures")).alias("_key"))
+    for out, (team, players) in sides.items():
+        same = df[team].eqNullSafe(keys["_team"]) & (df[players] == keys["_players"])
+        df = df.join(keys, same, "left").drop("_team", "_players").withColumnRenamed("_key", out)
+    return df
 
 
 def display_code(name: Column) -> Column:
@@ -127,17 +138,25 @@ def lenient_date(text: Column | str) -> Column:
     return F.try_to_date(text, "MM/dd/yyyy")
 
 
+#: An option element with a numeric value, whatever its other attributes, quotes and case: groups 2 and 3 are value and text.
+OPTION = r"(?i)<option\b[^>]*?\svalue\s*=\s*([\"']?)([0-9]+)\1(?=[\s/>])[^>]*>\s*([^<]*[^<\s])\s*</option\b"
+#: A shot in a page's script, as its call describes it: groups 1 to 3 are player, team and player id.
+SHOT = r"addShot\s*\([^()]*:\s*m(?:ade|issed)\s+by\s+([^()]+)\(([^()]+)\)[^()]*\bplayer_([0-9]+)"
+
+
+def all_groups(page: Column, pattern: str, groups: dict[str, int]) -> Column:
+    """Every match of the pattern in page order, as structs of the named groups."""
+    return F.arrays_zip(*[F.regexp_extract_all(page, F.lit(pattern), F.lit(i)).alias(name) for name, i in groups.items()])
+
+
 def option_pairs(page: Column) -> Column:
-    """All (value, text) of option elements with a numeric value, in page order."""
-    pattern = F.lit(r'<option value="(\d+)"[^>]*>\s*([^<]+?)\s*</option>')
-    return F.arrays_zip(F.regexp_extract_all(page, pattern, F.lit(1)).alias("pid"), F.regexp_extract_all(page, pattern, F.lit(2)).alias("name"))
+    """All (pid, name) of option elements with a numeric value."""
+    return all_groups(page, OPTION, {"pid": 2, "name": 3})
 
 
 def shot_triples(page: Column) -> Column:
-    """All (name, team, pid) of made and missed shots in a page's script."""
-    pattern = F.lit(r"addShot\([^)]*?:\s*(?:made|missed) by ([^(]+)\(([^)]+)\)[^)]*?player_(\d+)")
-    groups = [F.regexp_extract_all(page, pattern, F.lit(i)).alias(n) for i, n in ((1, "name"), (2, "team"), (3, "pid"))]
-    return F.arrays_zip(*groups)
+    """All (name, team, pid) of made and missed shots."""
+    return all_groups(page, SHOT, {"name": 1, "team": 2, "pid": 3})
 
 
 def human_size(n: float) -> str:

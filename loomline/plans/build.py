@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import os
 import shutil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from loomline import publish, schemas, sinks
 from loomline.plans import coverage, datasets
 from loomline.registry import CATALOG, dataset, game_level
 from loomline.sources import games as source
+from loomline.sources import http
 
 log = logging.getLogger("loomline")
 CSV_ORDER = {"team_ids": ["team", "id"], "team_rosters": ["team", "name"], "rosters": ["team", "player"], "matchup_stints": ["contest_id", "game_stint_num"]}
@@ -21,7 +23,7 @@ class Season:
 
     def __init__(self, spark: SparkSession, season: int, root: str | None, league: str, crosswalk: DataFrame | None = None):
         self.spark, self.season, self.league, self.crosswalk = spark, season, league, crosswalk
-        self._root, self._games = root, None
+        self._root, self._games, self.kept = root, None, []
 
     @property
     def root(self) -> str:
@@ -31,14 +33,33 @@ class Season:
     def games(self) -> DataFrame | None:
         """Readable payloads of the season's contests, None without an index or payloads."""
         if self._games is None:
-            index = source.read_index(self.spark, self.root, self.league)
-            path = f"{self.root}/{self.league}/json"
-            if index is None or not source.path_exists(self.spark, f"{path}/*.json"):
+            found = self._fetched() if http.is_url(self.root) else self._listed()
+            if found is None:
                 return None
-            found, self._absent = source.split_by_presence(source.read_games(self.spark, path), source.season_ids(index, self.season))
             self._found, self._games = found, source.good(found).persist()
         return self._games
 
+    def _listed(self) -> DataFrame | None:
+        """The season's payload files, chosen by name before any is opened; the index has some thousands a season."""
+        index = source.read_index(self.spark, self.root, self.league)
+        path = f"{self.root}/{self.league}/json"
+        if index is None or not source.path_exists(self.spark, f"{path}/*.json"):
+            return None
+        ids = source.season_ids(index, self.season)
+        found, self._absent = source.split_by_presence(source.payload_paths(self.spark, path), ids)
+        files = [r["path"] for r in found.select("path").collect()]
+        return source.read_games(self.spark, files) if files else None
+
+    def _fetched(self) -> DataFrame | None:
+        """The season's payloads from an HTTP root, whose index is read on the driver and which has no league folder."""
+        index = http.read_index(self.spark, self.root, [n.format(league=self.league) for n in source.INDEX_NAMES])
+        if index is None:
+            return None
+        ids = [r["contest_id"] for r in source.season_ids(index, self.season).collect()]
+        payloads = http.read_payloads(self.spark, self.root, ids, os.environ.get(http.CACHE_ENV)).persist()
+        self._absent = payloads.where("payload is null").select("contest_id")
+        return source.parse_payloads(payloads) if ids else None
+
     def skipped(self) -> dict[str, int]:
         """How many contests of the season have no payload, and how many one that cannot be parsed."""
         if self.games is None:
@@ -64,7 +85,9 @@ def build(inputs: Season, name: str) -> DataFrame:
         return spark.createDataFrame([], {"schedule": schemas.SCHEDULE, "rosters": schemas.ROSTERS}.get(name, schemas.EMPTY_FAMILY))
     if spec.family:
         return datasets.family(inputs.games, spec.family, season)
-    return {"schedule": datasets.schedule, "rosters": datasets.rosters, "matchup_stints": datasets.matchup_stints}[name](inputs.games, season)
+    if name == "matchup_stints":
+        return datasets.matchup_stints(inputs.games, season, inputs.kept)
+    return {"schedule": datasets.schedule, "rosters": datasets.rosters}[name](inputs.games, season)
 
 
 def build_season(inputs: Season, name: str, base: str, *, release: bool = False, repo: str | None = None, dry_run: bool = False, prefix: str = "") -> DataFrame:
@@ -88,6 +111,8 @@ def build_season(inputs: Season, name: str, base: str, *, release: bool = False,
         return inputs.spark.read.parquet(path).where(f"season = {inputs.season}")
     finally:
         df.unpersist()
+        while inputs.kept:
+            inputs.kept.pop().unpersist()
 
 
 def build_all(inputs: Season, base: str, **kw) -> dict[str, int]:

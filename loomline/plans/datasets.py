@@ -41,8 +41,7 @@ def family(games: DataFrame, name: str, season: int) -> DataFrame:
 def flat_lineups(rows: DataFrame) -> DataFrame:
     """Nested stints as 77 flat columns less the tags: key, stint, both sides' statistics, and the rank in the team."""
     named = rows.withColumn("_names", F.array_sort(nested.player_names(F.col("players"))))
-    dim = text.name_signatures(named.select(F.explode("_names").alias("name")))
-    keyed = text.add_lineup_key(named.withColumn("_team_name", F.col("team.team.name")), "_team_name", "_names", "lineup_key", dim)
+    keyed = text.add_lineup_keys(named.withColumn("_team_name", F.col("team.team.name")), {"lineup_key": ("_team_name", "_names")})
     flat = keyed.select("_cid", "_pos", "lineup_key", *nested.lineup_columns(F.col("_names"))).withColumnsRenamed(nested.FLAT_NAMES)
     return ordinal_rank(flat, ["_cid", "team"], "start_min", ["_pos"], "stint_num")
 
@@ -76,12 +75,14 @@ def team_ids(crosswalk: DataFrame, season: int) -> DataFrame:
     return tagged(rows.withColumn("id", F.col("id").cast("string")), season)
 
 
-def matchup_stints(games: DataFrame, season: int) -> DataFrame:
+def matchup_stints(games: DataFrame, season: int, keep: list[DataFrame] | None = None) -> DataFrame:
     """Maximal runs of events of a game with the same ten players and period.
 
     Rows without all ten players are dropped before runs are formed, so points scored
     meanwhile go to the next run. A game in which a needed column has no value at all is
     skipped. Scores start from 0 and a run's points are the change of the running score.
+    Runs are read for their lineups' keys and again for themselves; given a list to ``keep``
+    them in, they are persisted there, for the caller to release.
     """
     events = nested.explode_family(games, "pbp", ["contest_id"])
     if not {*NEEDED_IN_A_GAME, *ON_COURT} <= set(events.columns):
@@ -110,10 +111,9 @@ def matchup_stints(games: DataFrame, season: int) -> DataFrame:
         "away_pts": F.col("end_away_score") - F.col("start_away_score"),
         "duration_seconds": F.col("end_seconds") - F.col("start_seconds"),
     })
-    names = runs.select(F.explode(F.concat("_hl", "_al")).alias("name"))
-    dim = text.name_signatures(names)
-    for side, players in (("home", "_hl"), ("away", "_al")):
-        runs = text.add_lineup_key(runs, side, players, f"{side}_lineup_key", dim)
-    keyed = runs.withColumn("matchup_key", F.concat("home_lineup_key", F.lit("_"), "away_lineup_key"))
+    if keep is not None:
+        keep.append(runs.persist())
+    keyed = text.add_lineup_keys(runs, {"home_lineup_key": ("home", "_hl"), "away_lineup_key": ("away", "_al")})
+    keyed = keyed.withColumn("matchup_key", F.concat("home_lineup_key", F.lit("_"), "away_lineup_key"))
     wide = keyed.select("*", *nested.padded(F.col("_hl"), "home_"), *nested.padded(F.col("_al"), "away_")).drop("_hl", "_al")
     return reorder(tagged(wide, season), STINT_FRONT).orderBy("contest_id", "game_stint_num")

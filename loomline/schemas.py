@@ -25,7 +25,7 @@ SIDE_STATS = (
     + ", ".join(f"{k}: {TOTAL}" for k in ("orb", "drb", "to", "stl", "blk", "assist", "foul"))
     + ">"
 )
-PLAYER = "struct<code: string, id: struct<name: string>, ncaa_id: string>"
+PLAYER = "struct<code: string, id: struct<name: string>>"
 SCORE = "struct<scored: bigint, allowed: bigint>"
 TEAM_YEAR = "struct<team: struct<name: string>, year: struct<value: bigint>>"
 

@@ -53,8 +53,14 @@ def pinned(schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_games(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All payloads below a directory: contest_id, the families as arrays, and the id of the file name.
+def payload_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(path, _cid) of the payload files below a directory; nothing of their content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select("path")
+    return files.withColumn("_cid", F.regexp_replace(F.url_decode(F.element_at(F.split("path", "/"), -1)), r"\.json$", ""))
+
+
+def read_games(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """All payloads below a directory, or those of the files listed: contest_id, the families as arrays, and the id of the file name.
 
     The schema is inferred over all files in one pass, so that columns of all games are
     united and mixed types become strings; columns the engine computes with are pinned.
@@ -96,6 +102,15 @@ def season_ids(index: DataFrame, season: int) -> DataFrame:
     return index.where(F.col("season") == str(season)).select("contest_id").distinct().orderBy("contest_id")
 
 
+def parse_payloads(payloads: DataFrame) -> DataFrame:
+    """Games from (contest_id, payload text), as ``read_games`` gives them; rows without a payload are left out."""
+    texts = payloads.where("payload is not null").persist()
+    spark = payloads.sparkSession
+    schema = pinned(spark.read.option("samplingRatio", 1.0).json(texts.rdd.map(lambda r: r["payload"])).schema)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return texts.select(F.from_json("payload", schema, options).alias("_g"), F.col("contest_id").alias("_cid")).select("_g.*", "_cid")
+
+
 def split_by_presence(games: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(payloads of the ids, by file name; ids without a payload)."""
     found = games.join(ids, games["_cid"] == ids["contest_id"], "left_semi")
@@ -130,9 +145,17 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MANIFEST).option("header", True).csv(path)
 
 
-def bundle_tree(root: str, tree: str) -> str:
-    """``root/tree`` if that is a directory, else the root itself."""
-    return f"{root}/{tree}" if os.path.isdir(f"{root}/{tree}") else root
+def bundle_tree(spark: SparkSession, root: str | None, tree: str) -> str:
+    """``root/tree`` if that exists, else the root itself; the root is the argument or the environment's."""
+    root = resolve_root(root)
+    return f"{root}/{tree}" if path_exists(spark, f"{root}/{tree}") else root
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order, on whatever file system it names; none if it does not exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*")
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return sorted(f.getPath().getName() for f in found or [] if f.isDirectory())
 
 
 def read_bundles(spark: SparkSession, tree: str, seasons: list[str], limit: int = 0) -> DataFrame:

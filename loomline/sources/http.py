@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import io
 import json
 import os
 import urllib.request
 from collections.abc import Callable, Iterator
 
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 TIMEOUT_SECONDS = 60
+#: The variable that names the folder in which payloads are kept; without it, none are.
+CACHE_ENV = "LOOMLINE_CACHE"
+
+
+def is_url(root: str) -> bool:
+    return root.startswith(("http://", "https://"))
 
 
 def fetch(url: str) -> bytes | None:
@@ -44,6 +52,15 @@ def fetch_cached(base: str, contest_id: str, cache: str | None, get: Callable[[s
     return text
 
 
+def read_index(spark: SparkSession, base: str, names: list[str], get: Callable[[str], bytes | None] = fetch) -> DataFrame | None:
+    """The schedule index, a small parquet file, by the first name under which the base has it; None if it has none."""
+    for name in names:
+        if body := get(f"{base.rstrip('/')}/{name}"):
+            rows = pq.read_table(io.BytesIO(body), columns=["contest_id", "season"])
+            return spark.createDataFrame(rows)
+    return None
+
+
 class IdChunk(InputPartition):
     def __init__(self, ids: list[str]):
         self.ids = ids

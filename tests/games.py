@@ -21,7 +21,7 @@ def stats(n):
 
 
 def lineup(start, names, opponent=True, team="Alder"):
-    player = lambda n: {"code": "x", "id": {"name": n}, "ncaa_id": None}
+    player = lambda n: {"code": "x", "id": {"name": n}}
     row = {
         "date": "2023-01-07", "location_type": "home", "start_min": start, "end_min": (start or 0) + 2.5, "duration_mins": 2.5,
         "score_info": {"start": {"scored": 0, "allowed": 0}, "end": {"scored": 4, "allowed": 2}, "start_diff": 0, "end_diff": 2},

@@ -182,6 +182,52 @@ def test_http_data_source_reads_from_its_cache(spark, tmp_path):
     assert {r.contest_id: r.payload is not None for r in got} == {**{str(i): True for i in range(5)}, "5": False}
 
 
+def test_a_season_reads_only_its_own_files(spark, tree):
+    one = build.Season(spark, 2023, tree, "wbb")
+    assert one.skipped() == {"missing": 1, "failed": 1}
+    assert sorted(os.path.basename(f) for f in one._found.inputFiles()) == ["101.json", "102.json", "103.json", "104.json"]
+    one.release()
+    assert build.Season(spark, 1999, tree, "wbb").games is None
+
+
+def test_a_season_from_an_http_root_is_that_of_the_files(spark, tree, inputs, tmp_path):
+    import functools
+    import shutil
+    import threading
+    from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
+
+    root = tmp_path / "wbb"
+    shutil.copytree(f"{tree}/wbb/json", root / "json")
+    shutil.copy(next(p for p in os.scandir(f"{tree}/wbb/schedule_master.parquet") if p.name.startswith("part-")).path, root / "schedule_master.parquet")
+
+    class Quiet(SimpleHTTPRequestHandler):
+        def log_message(self, *a):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(Quiet, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        there = build.Season(spark, 2023, f"http://127.0.0.1:{server.server_port}/wbb/", "wbb")
+        for name in ("pbp", "schedule", "rosters", "matchup_stints", "lineups", "shots"):
+            a, b = build.build(there, name), build.build(inputs, name)
+            assert sorted(a.columns) == sorted(b.columns) and sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), name
+        assert there.skipped() == {"missing": 2, "failed": 0}  # a malformed body counts as none
+    finally:
+        server.shutdown()
+
+
+def test_case_folding_and_page_patterns(spark):
+    letters = [chr(c) for c in [*range(0x20, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000), *range(0xFB00, 0xFB07)] if chr(c).isprintable()]
+    df = spark.createDataFrame([(f"a{c}b",) for c in letters], "t string")
+    wrong = [r.t for r in df.select("t", text.case_folded(F.col("t")).alias("f")).collect() if r.f != r.t.casefold()]
+    assert len(wrong) <= 0.02 * len(letters) and "aßb" not in wrong and "aςb" not in wrong and "aıb" not in wrong
+    page = """<option value="12" selected> A  B </option><OPTION data-x='1' value='7'>C</OPTION><option value=9>D</option><option value="x">no</option><option value="5"></option>
+    addShot(3, "l: made by Ana Berg(Alder) a player_12 b"); addShot (4,"(a)"); addShot("l: missed by Zoe (Birch St.) player_7"); addShot("l: blocked by No(One) player_8")"""
+    r = spark.createDataFrame([(page,)], "p string").select(text.option_pairs(F.col("p")).alias("o"), text.shot_triples(F.col("p")).alias("s")).first()
+    assert [tuple(x) for x in r.o] == [("12", "A  B"), ("7", "C"), ("9", "D")]
+    assert [(x.name.strip(), x.team, x.pid) for x in r.s] == [("Ana Berg", "Alder", "12"), ("Zoe", "Birch St.", "7")]
+
+
 def test_publishing(tmp_path):
     d, calls = registry.dataset("pbp"), []
     files = publish.staged(d, 2023, str(tmp_path), "wbb")
