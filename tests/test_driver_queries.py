@@ -4,8 +4,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from loomline.plans.driver_queries import ORACLES, QUERIES
+from loomline.plans import driver_queries, game_queries
 
+QUERIES, ORACLES = driver_queries.QUERIES | game_queries.QUERIES, driver_queries.ORACLES | game_queries.ORACLES
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
