@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from loomline.llm.common import cut
 
 #: The ring has so many cells; virtual nodes sit on cell borders. The counts per cell are all that the driver sees.
 CELL_BITS = 16
+#: Rows alike in the key are counted and ranked in so many lots.
+SALTS = 64
 
 
 def node_cells(shards: int, virtual: int) -> list[tuple[int, int]]:
@@ -27,15 +30,22 @@ def node_cells(shards: int, virtual: int) -> list[tuple[int, int]]:
     return sorted(taken.items())
 
 
-def bounded_pieces(counts: dict[int, int], shards: int, virtual: int) -> list[tuple[int, int, int, int]]:
-    """(cell, rows of the cell up to which this holds, shard, first slot) so that loads differ by one at most.
+def capacities(total: int, shards: int, slack: float) -> list[int]:
+    """Rows that each shard may hold: with slack 1 its exact share, else that many times the mean, rounded up."""
+    if slack < 1:
+        raise ValueError("the slack must be 1 or more")
+    return [total // shards + (s < total % shards) for s in range(shards)] if slack == 1 else [math.ceil(total * slack / shards)] * shards
+
+
+def bounded_pieces(counts: dict[int, int], shards: int, virtual: int, slack: float = 1.0) -> list[tuple[int, int, int, int]]:
+    """(cell, rows of the cell up to which this holds, shard, first slot) so that no shard exceeds its capacity.
 
     Cells are walked clockwise. A cell belongs to the first node at or after it. That
     shard takes the cell's rows while it has room; the rows beyond continue clockwise to the
-    next node whose shard has room. Capacities sum to the number of rows, so all get full.
+    next node whose shard has room. With slack 1 capacities sum to the number of rows, so all get full.
     """
     nodes, total = node_cells(shards, virtual), sum(counts.values())
-    room = [total // shards + (s < total % shards) for s in range(shards)]
+    room = capacities(total, shards, slack)
     used, over, out = [0] * shards, [], []
 
     def take(cell: int, done: int, left: int, shard: int) -> int:
@@ -62,21 +72,29 @@ def bounded_pieces(counts: dict[int, int], shards: int, virtual: int) -> list[tu
     return sorted(out)
 
 
-def assign_shards(docs: DataFrame, key: list[Column], shards: int = 40, virtual: int = 64) -> DataFrame:
-    """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard); row counts differ by one at most.
+def assign_shards(docs: DataFrame, key: list[Column], shards: int = 40, virtual: int = 64, slack: float = 1.0) -> DataFrame:
+    """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).
 
-    A row's place on the ring is a hash of ``key``; rows of one cell are ordered by that
-    hash and the key, so reruns agree. Rows alike in the key are interchangeable. Nulls
-    are keys like any other. An empty table gives an empty result.
+    With slack 1, row counts differ by one at most; a larger slack lets shards fill to that
+    many times the mean, and a further shard then moves fewer rows. A row's place on the ring is a
+    hash of ``key``; rows of one cell are ordered by that hash, so reruns agree. Rows
+    alike in the key are interchangeable and are ranked in salted lots. Nulls are keys like any other.
+    An empty table gives an empty result.
     """
-    cells = 1 << CELL_BITS
-    place = F.xxhash64(*key)
-    placed = cut(docs.withColumn("_place", place).withColumn("_cell", F.shiftrightunsigned("_place", 64 - CELL_BITS).cast("int")))
-    counts = {r["_cell"]: r["n"] for r in placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # cells rows at most
-    assert len(counts) <= cells
-    pieces = docs.sparkSession.createDataFrame(bounded_pieces(counts, shards, virtual), "_cell int, _until long, _shard int, _first long")
+    cell = F.shiftrightunsigned("_place", 64 - CELL_BITS).cast("int")
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))
+    named = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)])
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    placed = cut(docs.select(row.alias("_in"), named.alias("_key"), F.xxhash64(*key).alias("_place"), salt.alias("_salt")))
+    groups = placed.groupBy("_place", "_salt").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cell", cell)
+    counts = {r["_cell"]: r["n"] for r in groups.groupBy("_cell").agg(F.sum("_n").alias("n")).collect()}  # as many as the ring has cells, at most
+    pieces = docs.sparkSession.createDataFrame(bounded_pieces(counts, shards, virtual, slack), "_cell int, _until long, _shard int, _first long")
     lists = pieces.groupBy("_cell").agg(F.sort_array(F.collect_list(F.struct("_until", "_shard", "_first"))).alias("_pieces"))
-    ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy("_place", *key)).cast("long") - 1)
+    before = Window.partitionBy("_cell").orderBy("_place", "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    bases = groups.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_place", "_salt", "_cell", "_base")
+    in_lot = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_place", "_salt").orderBy("_key")) - 1)
+    ranked = in_lot.join(bases, ["_place", "_salt"]).withColumn("_rank", F.col("_base") + F.col("_row"))
     # As many rows as the ring has cells, at most, whatever the data.
     joined = ranked.join(F.broadcast(lists), "_cell").withColumn("_piece", F.filter("_pieces", lambda p: F.col("_rank") < p["_until"])[0])
-    return joined.withColumns({"shard": F.col("_piece._shard"), "slot": F.col("_piece._first") + F.col("_rank")}).drop("_place", "_cell", "_pieces", "_rank", "_piece")
+    kept = [F.col(f"_in.`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    return joined.select(*kept, F.col("_piece._shard").alias("shard"), (F.col("_piece._first") + F.col("_rank")).alias("slot"))
