@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,10 +18,13 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, as in local tests, a temporary folder is set as the checkpoint folder.
+    Where it is unset and the master is a local one, as in tests, a temporary folder is set
+    as the checkpoint folder. On a cluster, an unset folder is an error.
     """
     set_already = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or ""
     if not set_already:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         set_already = f"file://{tempfile.mkdtemp(prefix='loomline-')}"
         spark.sparkContext.setCheckpointDir(set_already)
     elif not spark.sparkContext.getCheckpointDir():
@@ -28,9 +32,19 @@ def shared_dir(spark: SparkSession) -> str:
     return set_already.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/loomline-{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path for written intermediate files in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for written intermediate files, in this application's part of the shared folder."""
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate files, once the results that read them are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

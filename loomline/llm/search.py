@@ -28,8 +28,8 @@ K1, B = 1.2, 0.75
 CHUNK_DOCS, CHUNK_WORDS, BLOCK = 4096, 2_000_000, 64
 #: Terms with the most (query, document) pairs, whose scores are added only where bounds allow.
 COMMON = 768
-#: Tasks among which the chunks are dealt; each gives k rows per query.
-SHARDS = 32
+#: Tasks among which the chunks are dealt, at least; each gives k rows per query. A shard has about so many words at most.
+SHARDS, SHARD_WORDS = 32, 100_000_000
 #: A block of queries holds so many queries and distinct (query, term) pairs at most; it is broadcast.
 BLOCK_QUERIES, BLOCK_PAIRS = 8192, 2_000_000
 #: Queries are scored together, so many with so many (query, posting) pairs at most, or one alone.
@@ -118,8 +118,7 @@ def chunks_of(batches):
 class QueryBlock:
     """Queries by term: for the v-th term, the queries that have it are rows[ends[v] - counts[v]:ends[v]]."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
-        found = [np.unique(term_hashes(t)) for t in texts]
+    def __init__(self, ids: list[int], found: list[np.ndarray]):
         rows = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in found])
         terms = np.concatenate(found) if found else np.zeros(0, np.uint64)
         order = np.argsort(terms, kind="stable")
@@ -140,7 +139,7 @@ class QueryBlock:
             self.has_common[self.rows[self.ends[v] - self.counts[v] : self.ends[v]], k] = True
 
 
-def document_frequencies(index: DataFrame, block: QueryBlock) -> np.ndarray:
+def document_frequencies(index: DataFrame, block: QueryBlock, shards: int) -> np.ndarray:
     """In how many documents of the whole index each of the block's terms occurs."""
     spark, size = index.sparkSession, 1 << 14
     terms = spark.sparkContext.broadcast(block.terms)
@@ -161,7 +160,7 @@ def document_frequencies(index: DataFrame, block: QueryBlock) -> np.ndarray:
                 sums[b] = sums.get(b, 0) + np.frombuffer(c, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
 
-    parts = index.select(*Chunk.READ).coalesce(SHARDS).mapInArrow(count, "block int, counts binary")
+    parts = index.select(*Chunk.READ).coalesce(shards).mapInArrow(count, "block int, counts binary")
     df = np.zeros(len(block.terms), np.int64)
     for r in parts.repartition("block").mapInArrow(add_up, "block int, counts binary").collect():  # one number per term of the block
         df[r["block"] * size : r["block"] * size + len(r["counts"]) // 8] = np.frombuffer(r["counts"], np.int64)
@@ -260,23 +259,37 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
 
 
 def query_blocks(queries: DataFrame):
-    """Blocks of queries, each bounded in queries and in terms; they pass through the driver one at a time."""
-    ids, texts, pairs = [], [], 0
-    for r in queries.select(F.col("doc_id").cast("long").alias("doc_id"), "text").orderBy("doc_id", "text").toLocalIterator():
-        size = len(set((r["text"] or "").split()))
-        if ids and (len(ids) >= BLOCK_QUERIES or pairs + size > BLOCK_PAIRS):
-            yield QueryBlock(ids, texts)
-            ids, texts, pairs = [], [], 0
+    """Blocks of queries, each bounded in queries and in distinct (query, term) pairs.
+
+    Texts become sorted term hashes where they are read; of those, a block at a time
+    passes through the driver, on its way to be broadcast. A query of more terms than a block has
+    is a block of its own.
+    """
+
+    def hashed(batches):
+        for batch in batches:
+            terms = [np.unique(term_hashes(t.as_py())).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(terms, pa.binary())], ["doc_id", "terms"])
+
+    rows = queries.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(hashed, "doc_id long, terms binary")
+    path = scratch(queries.sparkSession, "queries")
+    rows.write.parquet(path)
+    ids, found, pairs = [], [], 0
+    for r in queries.sparkSession.read.parquet(path).orderBy("doc_id", "terms").toLocalIterator():
+        terms = np.frombuffer(r["terms"], np.uint64)
+        if ids and (len(ids) >= BLOCK_QUERIES or pairs + len(terms) > BLOCK_PAIRS):
+            yield QueryBlock(ids, found)
+            ids, found, pairs = [], [], 0
         ids.append(r["doc_id"])
-        texts.append(r["text"])
-        pairs += size
+        found.append(terms)
+        pairs += len(terms)
     if ids:
-        yield QueryBlock(ids, texts)
+        yield QueryBlock(ids, found)
 
 
-def search_block(index: DataFrame, block: QueryBlock, n_docs: int, mean_length: float, k: int) -> DataFrame:
+def search_block(index: DataFrame, block: QueryBlock, n_docs: int, mean_length: float, k: int, shards: int) -> DataFrame:
     """(query_row, query_id, doc_id, score): the best k of each shard for each query of the block."""
-    block.weigh(document_frequencies(index, block), n_docs)
+    block.weigh(document_frequencies(index, block, shards), n_docs)
     shared = index.sparkSession.sparkContext.broadcast(block)
 
     def walk(batches):
@@ -286,7 +299,7 @@ def search_block(index: DataFrame, block: QueryBlock, n_docs: int, mean_length:
         doc = pa.array(best.doc, mask=best.doc == NO_ID)
         yield pa.RecordBatch.from_arrays([pa.array(best.row), pa.array(shared.value.ids[best.row]), doc, pa.array(best.score)], ["query_row", "query_id", "doc_id", "score"])
 
-    return index.select(*Chunk.READ).coalesce(SHARDS).mapInArrow(walk, "query_row long, query_id long, doc_id long, score double")
+    return index.select(*Chunk.READ).coalesce(shards).mapInArrow(walk, "query_row long, query_id long, doc_id long, score double")
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -302,11 +315,12 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     index = build_index(docs, scratch(spark, "index"))
     totals = index.agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).first()
     n_docs, mean_length = int(totals["docs"] or 0), max(1e-9, float(totals["words"] or 0) / max(1, totals["docs"] or 0))
+    shards = max(SHARDS, -(-int(totals["words"] or 0) // SHARD_WORDS))
     path = scratch(spark, "found")
     schema = "query_row long, query_id long, doc_id long, score double"
     spark.createDataFrame([], schema).write.parquet(f"{path}/block=-1")
     for number, block in enumerate(query_blocks(queries.where("doc_id is not null"))):
-        search_block(index, block, n_docs, mean_length, k).write.parquet(f"{path}/block={number}")
+        search_block(index, block, n_docs, mean_length, k, shards).write.parquet(f"{path}/block={number}")
     over = Window.partitionBy("block", "query_row").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     found = spark.read.schema(f"{schema}, block int").parquet(path).withColumn("rank", F.row_number().over(over))
     return found.where(F.col("rank") <= k).select("query_id", "doc_id", "score", "rank")

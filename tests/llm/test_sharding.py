@@ -1,10 +1,11 @@
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loomline.llm import sharding
+from loomline.llm import common, sharding
 from tests.llm import docs as D
 
 
@@ -72,3 +73,24 @@ def test_odd_rows(spark):
         slots = sorted(r.slot for r in got if r.shard == s)
         assert slots == list(range(len(slots)))
     assert sharding.assign_shards(D.empty(spark), [F.col("doc_id")]).count() == 0
+
+
+def test_intermediate_files_are_cleared_and_a_cluster_needs_a_shared_folder(spark):
+    import os
+
+    common.stored(spark.range(3), "some")
+    folder = common.own_folder(spark).removeprefix("file://")
+    assert os.listdir(folder)
+    common.clear(spark)
+    assert not os.path.exists(folder)
+
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, other: other)
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Cluster)
