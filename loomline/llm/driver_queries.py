@@ -8,7 +8,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from loomline.llm import counting, html, jaccard, mixing, packing, quality, records, search, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,4 +107,51 @@ def op6_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
     return corpus_pipeline.run(spark, sf_dir)
+
+
+WORDS_SQL = r"words AS (SELECT doc_id, source, text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)"
+
+ORACLES["quality_base_counts"] = rf"""
+WITH {WORDS_SQL},
+eights AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 6, 1))) AS i FROM words WHERE len(w) >= 8)),
+repeated AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM eights),
+covered AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM repeated, (SELECT unnest(range(8)) AS o) WHERE n > 1 GROUP BY doc_id),
+lines AS (SELECT doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM words)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(coalesce(text, ''), '[ 	-]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  len(w) < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * len(w) AS base_failed
+FROM words JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
+
+
+@query
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op3's judgement that do not depend on the fitted ratio."""
+    return op3_ratio_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+ORACLES["ring_loads"] = """
+SELECT CAST(shard AS INTEGER) AS shard, n // 40 + CASE WHEN shard < n % 40 THEN 1 ELSE 0 END AS n_rows, n // 40 + CASE WHEN shard < n % 40 THEN 1 ELSE 0 END - 1 AS last_slot
+FROM (SELECT count(*) AS n FROM documents), (SELECT unnest(range(40)) AS shard) WHERE n >= 40
+"""
+
+
+@query
+def ring_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law of op8: rows of each shard, and its last slot."""
+    return op8_bounded_ring(spark, sf_dir).groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"), F.max("slot").alias("last_slot"))
+
+
+ORACLES["mix_sizes"] = f"""
+WITH {WORDS_SQL} SELECT doc_id, CAST(len(w) AS BIGINT) AS size, CAST(sum(len(w)) OVER (PARTITION BY source) AS BIGINT) AS source_size, true AS within FROM words
+"""
+
+
+@query
+def mix_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op1 does not fit: sizes, and that no document is taken more than three times."""
+    mixed = op1_entropy_mix(spark, sf_dir)
+    return mixed.select("doc_id", "size", "source_size", F.col("taken").between(0, 3 * F.col("size")).alias("within"))

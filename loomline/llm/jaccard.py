@@ -367,7 +367,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     left = stored(left, "left")
     labels = relabelled(labels, left.join(linked(left), ["u", "v"]))
     named = firsts.join(labels, "node", "left").select("node", "_id", F.coalesce("label", "node").alias("label"))
-    least = named.groupBy("label").agg(F.min("_id").alias("component_id"))
+    least = stored(named.groupBy("label").agg(F.min("_id").alias("component_id")), "least")
     component = stored(named.select("node", "label").join(least, "label").select("node", "label", "component_id"), "components")
     out = digests.join(component, "node", "left")
     return out.select("doc_id", "text_hash", "n", "label", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
