@@ -13,10 +13,30 @@ from loomline.llm.tokens import encoder, release, slices
 PIECES = "doc_id long, piece long, start long, length long, ids binary, doc_tokens long"
 
 
-def binary_lengths(n: int, longest: int) -> list[int]:
-    """Lengths that add up to n: as many of the longest as fit, then the powers of two of the rest's binary digits, descending."""
-    rest = n % longest
-    return [longest] * (n // longest) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+def piece_lengths(sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths of the pieces of all documents in turn, pieces of each document).
+
+    A document's are as many of the longest as fit, then the powers of two of the rest's
+    binary digits, descending.
+    """
+    powers = np.arange(longest.bit_length() - 2, -1, -1)
+    full, digits = sizes // longest, (sizes % longest)[:, None] >> powers & 1
+    counts = full + digits.sum(1)
+    base = np.cumsum(counts) - counts
+    lengths = np.full(int(counts.sum()), longest, np.int64)
+    doc, digit = np.nonzero(digits)
+    lengths[base[doc] + full[doc] + digits.cumsum(1)[doc, digit] - 1] = 1 << powers[digit]
+    return lengths, counts
+
+
+def with_ends(flat: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in turn, each with the end id behind it; how many each has)."""
+    sizes = np.diff(at) + 1
+    ends = np.cumsum(sizes) - 1
+    ids, own = np.full(int(sizes.sum()), end_id, "<u4"), np.ones(int(sizes.sum()), bool)
+    own[ends] = False
+    ids[own] = flat[at[0] : at[-1]]
+    return ids, sizes
 
 
 def decompose(docs: DataFrame, tokenizer_path: str, end_id: int = 2, longest: int = 4096) -> DataFrame:
@@ -29,22 +49,22 @@ def decompose(docs: DataFrame, tokenizer_path: str, end_id: int = 2, longest: in
         raise ValueError("the longest length must be a power of two")
 
     def cut_up(batches):
-        enc, tail = encoder(tokenizer_path), np.array([end_id], np.uint32)
+        enc = encoder(tokenizer_path)
+        names = [x.split()[0] for x in PIECES.split(", ")]
         for batch in batches:
-            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
+            texts = batch.column("text")
             for a, b in slices(texts):
-                flat, at = enc.encode(texts[a:b])
-                out = []
-                for i in range(b - a):
-                    ids = np.concatenate([flat[at[i] : at[i + 1]], tail]).astype("<u4")
-                    start = 0
-                    for k, length in enumerate(binary_lengths(len(ids), longest)):
-                        out.append((doc_ids[a + i], k, start, length, ids[start : start + length].tobytes(), len(ids)))
-                        start += length
-                kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
-                names = [x.split()[0] for x in PIECES.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-                del flat, at, out
+                ids, sizes = with_ends(*enc.encode(texts[a:b]), end_id)
+                lengths, counts = piece_lengths(sizes, longest)
+                ends, doc = np.cumsum(lengths), np.repeat(np.arange(b - a), counts)
+                first = np.cumsum(counts) - counts
+                start = ends - lengths - (np.cumsum(sizes) - sizes)[doc]
+                # Pieces follow each other as the ids do, so the column is the ids with offsets.
+                cuts = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32))
+                pieces = pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, cuts, pa.py_buffer(ids)])
+                columns = [batch.column("doc_id")[a:b].take(pa.array(doc)), pa.array(np.arange(len(doc)) - first[doc]), pa.array(start), pa.array(lengths), pieces, pa.array(sizes[doc])]
+                yield pa.RecordBatch.from_arrays(columns, names)
+                del ids, pieces, columns, cuts
             del batch, texts
         release()
 

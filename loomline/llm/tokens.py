@@ -6,6 +6,7 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,8 @@ class Pool:
         self.ids, self.sizes, self.begins = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes]), np.concatenate([self.begins, begins])
 
     def slots(self, keys: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
+        """The slot of each key, -1 for one that is not known."""
+        return np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
 
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets) of the lists at the slots."""
@@ -97,21 +99,31 @@ class BatchEncoder:
         ends = np.flatnonzero(self.is_end[ids]) + 1
         self.pieces.add(new, ids, np.diff(ends, prepend=0))
 
-    def _learn(self, words: list[str]) -> None:
-        odd = [w for w in words if self.not_plain.search(w)]
-        if odd:
-            lists = self._encode(odd)
-            self.words.add(odd, np.fromiter((i for x in lists for i in x), np.uint32), np.fromiter(map(len, lists), np.int64))
-            strange = set(odd)
-            words = [w for w in words if w not in strange]
-        if not words:
-            return
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """Add new words, and return their slots."""
+        slots = np.zeros(len(words), np.int64)
+        strange = np.array([bool(self.not_plain.search(w)) for w in words])
+        for at, add in ((np.flatnonzero(strange), self._add_whole), (np.flatnonzero(~strange), self._add_plain)):
+            if len(at):
+                slots[at] = len(self.words.sizes) + np.arange(len(at))
+                add([words[i] for i in at])
+        return slots
+
+    def _add_whole(self, words: list[str]) -> None:
+        lists = self._encode(words)
+        self.words.add(words, np.fromiter((i for x in lists for i in x), np.uint32), np.fromiter(map(len, lists), np.int64))
+
+    def _add_plain(self, words: list[str]) -> None:
         found = LATIN_PIECES.findall("\n".join(words).lower() + "\n")
         if len(self.pieces.slot) > MEMO_PIECES or not self.pieces.slot:
             self.pieces = Pool()
             self.pieces.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-        self._learn_pieces([p for p in dict.fromkeys(found) if p not in self.pieces.slot])
         slots = self.pieces.slots(found)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            missing = [found[i] for i in new]
+            self._learn_pieces(list(dict.fromkeys(missing)))
+            slots[new] = self.pieces.slots(missing)
         ids, ends = self.pieces.gather(slots)
         self.words.add(words, ids, np.diff(ends[1:][slots == 0], prepend=0))
 
@@ -128,8 +140,11 @@ class BatchEncoder:
         known = coded.dictionary.to_pylist()
         if len(self.words.slot) + len(known) > MEMO_WORDS:
             self.words = Pool()
-        self._learn([w for w in known if w not in self.words.slot])
-        ids, ends = self.words.gather(self.words.slots(known)[np.asarray(coded.indices, dtype=np.int64)])
+        slots = self.words.slots(known)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = self._learn([known[i] for i in new])
+        ids, ends = self.words.gather(slots[np.asarray(coded.indices, dtype=np.int64)])
         return ids, ends[starts - starts[0]]
 
 

@@ -116,12 +116,17 @@ def test_a_changed_byte_is_noticed(payload, where):
         list(records.frames(bytes(broken)))
 
 
-@given(st.integers(1, 100_000))
-def test_binary_lengths(n):
-    lengths = packing.binary_lengths(n, 4096)
-    assert sum(lengths) == n and all(x & (x - 1) == 0 and x <= 4096 for x in lengths)
-    short = [x for x in lengths if x < 4096]
-    assert len(set(short)) == len(short) and lengths == sorted(lengths, reverse=True)
+@given(st.lists(st.integers(1, 20_000), max_size=6), st.sampled_from([1, 2, 64, 4096]))
+def test_piece_lengths(sizes, longest):
+    lengths, counts = packing.piece_lengths(np.array(sizes, np.int64), longest)
+    at = 0
+    for size, n in zip(sizes, counts, strict=True):
+        own = lengths[at : at + n].tolist()
+        at += n
+        assert sum(own) == size and all(x & (x - 1) == 0 and x <= longest for x in own)
+        short = [x for x in own if x < longest]
+        assert len(set(short)) == len(short) and own == sorted(own, reverse=True)
+    assert at == len(lengths)
 
 
 def test_packing_holds_every_token_once(spark):
