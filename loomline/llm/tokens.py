@@ -45,11 +45,12 @@ def splits_at_spaces(path: str) -> bool:
 
 
 class Pool:
-    """Id lists by slot, in one flat array."""
+    """Id lists by slot, in one flat array. Slots follow the order of the keys."""
 
     def __init__(self):
         self.slot: dict[str, int] = {}
         self.ids, self.sizes, self.begins = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.used = np.zeros(0, bool)
 
     def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.slot.update(zip(keys, range(len(self.sizes), len(self.sizes) + len(keys)), strict=True))
@@ -57,11 +58,27 @@ class Pool:
             return
         begins = len(self.ids) + np.cumsum(sizes) - sizes
         self.ids, self.sizes, self.begins = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes]), np.concatenate([self.begins, begins])
+        self.used = np.concatenate([self.used, np.zeros(len(keys), bool)])
 
     def slots(self, keys: list[str]) -> np.ndarray:
         """The slot of each key, -1 for one that is not known."""
         return np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
 
+    def met(self, keys: list[str]) -> np.ndarray:
+        """Like ``slots``, of keys that occur in a text."""
+        found = self.slots(keys)
+        self.used[found[found >= 0]] = True
+        return found
+
+    def renewed(self, most: int) -> Pool:
+        """A pool of the keys that were met after they were added, if those are at most so many; else an empty one."""
+        pool, at = Pool(), np.flatnonzero(self.used)
+        if 0 < len(at) <= most:
+            keys = list(self.slot)
+            ids, ends = self.gather(at)
+            pool.add([keys[i] for i in at], ids, np.diff(ends))
+        return pool
+
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets) of the lists at the slots."""
         sizes = self.sizes[slots]
@@ -77,8 +94,8 @@ class BatchEncoder:
     looked at. Such words are cut into the pieces the pre-tokenizer would cut, if they hold
     plain Latin letters only; new pieces go to the library many at a time, parted by
     spaces, and its end marks part their ids again. Any other word is encoded as it
-    stands. Other tokenizers encode each text directly. The memo is bounded and starts
-    anew when it is full.
+    stands. Other tokenizers encode each text directly. The memo is bounded: when it is full,
+    words that were met in one slice only are forgotten.
     """
 
     def __init__(self, path: str):
@@ -115,10 +132,12 @@ class BatchEncoder:
 
     def _add_plain(self, words: list[str]) -> None:
         found = LATIN_PIECES.findall("\n".join(words).lower() + "\n")
-        if len(self.pieces.slot) > MEMO_PIECES or not self.pieces.slot:
+        if len(self.pieces.slot) > MEMO_PIECES:
+            self.pieces = self.pieces.renewed(MEMO_PIECES // 2)
+        if "\n" not in self.pieces.slot:
             self.pieces = Pool()
             self.pieces.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-        slots = self.pieces.slots(found)
+        slots = self.pieces.met(found)
         new = np.flatnonzero(slots < 0)
         if len(new):
             missing = [found[i] for i in new]
@@ -139,8 +158,8 @@ class BatchEncoder:
         coded = words.flatten().dictionary_encode()
         known = coded.dictionary.to_pylist()
         if len(self.words.slot) + len(known) > MEMO_WORDS:
-            self.words = Pool()
-        slots = self.words.slots(known)
+            self.words = self.words.renewed(MEMO_WORDS // 2)
+        slots = self.words.met(known)
         new = np.flatnonzero(slots < 0)
         if len(new):
             slots[new] = self._learn([known[i] for i in new])

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from loomline.llm import counting, driver_queries, packing, records
+from loomline.llm import counting, driver_queries, packing, records, tokens
 from loomline.llm.tokens import BatchEncoder, load_tokenizer
 from tests.llm import docs as D
 
@@ -164,3 +165,17 @@ def test_registered_packing_writes_its_ids(spark, tmp_path):
                 assert len(b"".join(whole[5])) == 2 * 4 * (len(ids) + 1)
             else:
                 assert b"".join(whole[doc_id]) == np.array([*ids, 2], "<u4").tobytes()
+
+
+def test_small_memos_give_the_same_ids(monkeypatch):
+    """Words and pieces that are forgotten, kept or learned anew have the ids that the library gives."""
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 60)
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 20)
+    enc = BatchEncoder(WORD)
+    draw = random.Random(3)
+    stock = ["the", "The", "tree.", "garden,", "it's", "können", "ÉTÉ!!", "x7y", "日本", ""]
+    for _ in range(40):
+        made = ["".join(draw.choice("abcdeüß.1'") for _ in range(draw.randint(1, 6))) for _ in range(15)]
+        texts = [" ".join(draw.choice(stock + made) for _ in range(draw.randint(0, 12))) for _ in range(8)]
+        ids, at = enc.encode(pa.array(texts))
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == direct(WORD, texts)
