@@ -6,12 +6,16 @@ of 64. Document frequencies, the number of documents and their mean length are c
 over the whole index, so scores do not depend on how documents fell into shards.
 
 A shard is a run of chunks that one task walks, with the best k scores of every query of
-a block of queries so far. For a chunk, scores of rarer terms are summed from postings.
-The commonest terms are kept aside: a block of documents whose best rarer score and
-block maxima of the common terms cannot together reach a query's k-th score is
-skipped, as in block-max WAND; for the others the common terms are added. Survivors of
-a slack single-precision filter get their exact score in double precision, each sum in the
-same order, so that equal documents tie. The shards' lists are merged by score and doc_id.
+a block of queries so far. In a chunk, every term of a query has a maximum in each block of
+documents that it occurs in. A block whose maxima, summed over all the query's terms, cannot
+reach the query's k-th score is skipped with all its postings, as in block-max WAND; a task
+does so for a step of queries and all blocks of a chunk at a time, not for one document after
+the other. In the blocks left, the rarer terms' postings are scored. The commonest
+terms are kept aside: where best rarer score and maxima of the common terms cannot together
+reach the k-th score, the block is skipped too; for the others the common terms are added.
+Survivors of a slack single-precision filter get their exact score in double precision, each
+sum in the same order, so that equal documents tie. The shards' lists are merged by score and
+doc_id.
 """
 
 from __future__ import annotations
@@ -174,6 +178,7 @@ class TopK:
         self.k, self.row = k, np.zeros(0, np.int64)
         self.score, self.doc = np.zeros(0), np.zeros(0, np.int64)
         self.least = np.full(queries, -np.inf)
+        self.postings = self.skipped = 0  # of rarer terms: met by queries, and skipped with their blocks
 
     def add(self, row: np.ndarray, score: np.ndarray, doc: np.ndarray) -> None:
         row, score, doc = np.concatenate([self.row, row]), np.concatenate([self.score, score]), np.concatenate([self.doc, doc])
@@ -210,12 +215,19 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
     blocks = -(-n_docs // BLOCK)
     common = np.zeros((blocks * BLOCK, n_common))
     common[place[is_common], slot[is_common]] = gain[is_common]
-    del where, tf, slot, is_common
+    # Where a term has postings of one block after the other, these runs are its entries.
+    run = np.repeat(np.arange(len(mine)), sizes) * blocks + place // BLOCK
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    in_block, size_of = run[starts] % blocks, np.diff(starts, append=len(run))
+    most = np.maximum.reduceat(gain, starts) if len(starts) else np.zeros(0)
+    del where, tf, slot, is_common, run
     about_common = common.astype(np.float32)
     block_max = about_common.reshape(blocks, BLOCK, n_common).max(1)
     rare = block.slot[theirs] < 0
     term, t_sizes = theirs[rare], sizes[rare]
     posting_at = (np.cumsum(sizes) - sizes)[rare]
+    entry_at = np.searchsorted(starts, posting_at)
+    entries = np.searchsorted(starts, posting_at + t_sizes) - entry_at
     q_counts = block.counts[term]
     q_row = block.rows[ranges(block.ends[term] - q_counts, q_counts)]
     by_row = np.argsort(q_row, kind="stable")
@@ -224,13 +236,22 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
     weight = block.idf[term]
     for a, b, lo, hi in steps(q_row, t_sizes[q_term], len(block.ids)):
         rows, terms = q_row[lo:hi].astype(np.int64) - a, q_term[lo:hi]
-        expanded = t_sizes[terms]
-        at = ranges(posting_at[terms], expanded)
-        cell = np.repeat(rows * n_docs, expanded) + place[at]
-        rarer = np.bincount(cell, np.repeat(weight[terms], expanded) * gain[at], (b - a) * n_docs).astype(float, copy=False).reshape(b - a, n_docs)
-        del at, cell
         floor = best.least[a:b] * (1 - SLACK_PART) - SLACK
         dense = (block.has_common[a:b] * block.common_idf).astype(np.float32)
+        common_bound = dense @ block_max.T
+        per_term = entries[terms]
+        entry, row, idf = ranges(entry_at[terms], per_term), np.repeat(rows, per_term), np.repeat(weight[terms], per_term)
+        bound = np.bincount(row * blocks + in_block[entry], idf * most[entry], (b - a) * blocks).reshape(b - a, blocks)
+        alive = bound + common_bound > np.maximum(floor, 0)[:, None]
+        kept = alive[row, in_block[entry]]
+        entry, row, idf = entry[kept], row[kept], idf[kept]
+        expanded = size_of[entry]
+        at = ranges(starts[entry], expanded)
+        best.postings += int(t_sizes[terms].sum())
+        best.skipped += int(t_sizes[terms].sum()) - len(at)
+        cell = np.repeat(row * n_docs, expanded) + place[at]
+        rarer = np.bincount(cell, np.repeat(idf, expanded) * gain[at], (b - a) * n_docs).astype(float, copy=False).reshape(b - a, n_docs)
+        del at, cell, entry, row, idf, kept
         top_rarer = np.zeros((b - a, blocks * BLOCK), np.float32)
         top_rarer[:, :n_docs] = rarer
         top_rarer = top_rarer.reshape(b - a, blocks, BLOCK)
@@ -238,7 +259,7 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
             every = top_rarer.reshape(b - a, -1) + dense @ about_common.T
             kth = np.partition(every[:, :n_docs], n_docs - best.k, axis=1)[:, n_docs - best.k]
             floor = np.maximum(floor, kth * (1 - SLACK_PART) - SLACK)
-        alive = top_rarer.max(2) + dense @ block_max.T > np.maximum(floor, 0)[:, None]
+        alive &= top_rarer.max(2) + common_bound > np.maximum(floor, 0)[:, None]
         found = []
         for j in range(blocks):
             live = np.flatnonzero(alive[:, j])

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -379,6 +380,29 @@ def test_search_matches_brute_force(spark, monkeypatch):
     assert sorted((r.query_id, math.inf if r.doc_id is None else r.doc_id, r["rank"]) for r in got.collect()) == brute_search(rows, queries, 10)
 
 
+def test_blocks_that_cannot_reach_the_kth_score_are_skipped(spark, tmp_path, monkeypatch):
+    """Once the best are known, a chunk's blocks without the query's telling words are not scored, and nothing changes."""
+    monkeypatch.setattr(search, "COMMON", 2)
+    monkeypatch.setattr(search, "BLOCK", 4)
+    rows = [(i, " ".join([f"only{i // 8}"] * 3 + ["the", "of", f"some{i % 16}"])) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    chunks = [c.asDict() for c in search.build_index(docs, str(tmp_path / "index")).collect()]
+    assert len(chunks) == 1
+    chunk = search.Chunk({name: pa.scalar(bytes(chunks[0][name])) for name in search.Chunk.READ})
+    block = search.QueryBlock([rows[3][0], rows[90][0]], [np.unique(search.term_hashes(rows[i][1])) for i in (3, 90)])
+    df = np.array([sum(h in search.term_hashes(t) for _, t in rows) for h in block.terms])
+    block.weigh(df, len(rows))
+    best = search.TopK(2, 3)
+    search.score_chunk(chunk, block, 6.0, best)
+    assert best.postings and not best.skipped
+    first = best.score.copy()
+    again = search.TopK(2, 3)
+    again.least = best.least.copy()
+    search.score_chunk(chunk, block, 6.0, again)
+    assert 0 < again.skipped < again.postings == best.postings
+    assert again.score.tolist() == first.tolist() and again.doc.tolist() == best.doc.tolist()
+
+
 def test_search_odd_rows(spark):
     docs = D.make(spark)
     assert search.top_k(docs, docs, k=3).where("query_id = 2").count() == 0
