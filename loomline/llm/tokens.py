@@ -22,7 +22,7 @@ NOT_LATIN = re.compile(r"[^!-~À-ÖØ-öø-ÿ]")
 #: Words and pieces a memo holds before it starts anew; some 200 bytes each.
 MEMO_WORDS, MEMO_PIECES = 700_000, 300_000
 #: Bytes of text that are encoded at a time; what this takes meanwhile is many times as much.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 6_000_000
 
 
 def load_tokenizer(path: str):
