@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import html
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 #: The event grammar. Substrings that raise a flag, and patterns whose first group is a feature.
 EVENT_FLAGS = {
@@ -58,20 +55,38 @@ def event_features(events: DataFrame, column: str = "event_description") -> Data
     return events.withColumns(made)
 
 
-@F.pandas_udf(StringType())
-def ascii_fold(names: pd.Series) -> pd.Series:
-    """Compatibility decomposition without what is not ASCII, case folded."""
-    return names.map(lambda n: None if n is None else unicodedata.normalize("NFKD", n).encode("ascii", "ignore").decode().casefold())
+def decompositions(keep) -> tuple[str, str, dict[str, str]]:
+    """By rule, from Unicode's compatibility decompositions: (characters, what each becomes, those that become several).
+
+    ``keep`` tells which characters of a decomposition stay. Characters that become nothing
+    or stay as they are, are left out, and so are Hangul syllables, which only come apart.
+    """
+    ones, became, several = [], [], {}
+    for c in map(chr, (*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x30000))):
+        whole = unicodedata.normalize("NFKD", c)
+        if whole != c and (out := "".join(x for x in whole if keep(x))):
+            if len(out) == 1:
+                ones.append(c)
+                became.append(out)
+            else:
+                several[c] = out
+    return "".join(ones), "".join(became), several
+
+
+def decomposed(text: Column, table: tuple[str, str, dict[str, str]]) -> Column:
+    """The text with the table's characters replaced; one that is all ASCII is left as it is."""
+    ones, became, several = table
+    names = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    each = F.array_join(F.transform(F.split(F.translate(text, ones, became), ""), lambda c: F.when(c < "\x80", c).otherwise(F.coalesce(F.try_element_at(names, c), c))), "")
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(each)
 
 
-@F.pandas_udf(StringType())
-def unescape_unaccent(names: pd.Series) -> pd.Series:
-    """Character references decoded and combining marks removed; other letters survive."""
+TO_ASCII = decompositions(str.isascii)
 
-    def clean(n: str | None) -> str | None:
-        return None if n is None else "".join(c for c in unicodedata.normalize("NFKD", html.unescape(n)) if not unicodedata.combining(c))
 
-    return names.map(clean)
+def ascii_fold(text: Column) -> Column:
+    """Compatibility decomposition without what is not ASCII, in lower case."""
+    return F.lower(F.regexp_replace(decomposed(text, TO_ASCII), "[^\\x00-\\x7F]+", ""))
 
 
 def signature_of_folded(folded: Column) -> Column:
@@ -81,10 +96,15 @@ def signature_of_folded(folded: Column) -> Column:
     return F.array_join(F.array_sort(F.split(joined, "")), "")
 
 
+def signature(name: Column) -> Column:
+    """What forms of one name have in common, null for null; built-in functions only."""
+    return signature_of_folded(ascii_fold(name))
+
+
 def name_signatures(names: DataFrame, column: str = "name") -> DataFrame:
-    """(name, signature) for distinct names, so that Python sees each name once however often it occurs."""
+    """(name, signature) for distinct names."""
     distinct = names.select(F.col(column).alias("name")).where(F.col("name").isNotNull()).distinct()
-    return distinct.withColumn("signature", signature_of_folded(ascii_fold("name")))
+    return distinct.withColumn("signature", signature(F.col("name")))
 
 
 def case_folded(text: Column) -> Column:
@@ -106,26 +126,8 @@ def lineup_key(team: Column, signatures: Column) -> Column:
 
 
 def add_lineup_keys(df: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:
-    """Add a lineup key per entry: its name, and the columns of the team and of the array of players' names.
-
-    All sides' distinct (team, array) pairs are one table: each name's signature and each
-    pair's key are made once, and joined back.
-    """
-    each = F.explode(F.array(*[F.struct(F.col(team).alias("_team"), F.col(players).alias("_players")) for team, players in sides.values()]))
-    pairs = df.select(each.alias("_e")).select("_e.*").where("_players is not null").distinct()
-    rows = pairs.select("*", F.explode("_players").alias("name"))
-    keys = rows.join(name_signatures(rows), "name").groupBy("_team", "_players").agg(F.collect_list("signature").alias("_signatures"))
-    keys = keys.select("_team", "_players", lineup_key(F.col("_team"), F.col("_signatures")).alias("_key"))
-    for out, (team, players) in sides.items():
-        same = df[team].eqNullSafe(keys["_team"]) & (df[players] == keys["_players"])
-        df = df.join(keys, same, "left").drop("_team", "_players").withColumnRenamed("_key", out)
-    return df
-
-
-def display_code(name: Column) -> Column:
-    """``Ana  María`` as ``ANA.MARIA``."""
-    upper = F.upper(F.regexp_replace(unescape_unaccent(name), r"(?U)^\s+|\s+$", ""))
-    return F.regexp_replace(upper, r"(?U)\s+", ".")
+    """Add a lineup key per entry: its name, and the columns of the team and of the array of players' names."""
+    return df.withColumns({out: lineup_key(F.col(team), F.transform(players, signature)) for out, (team, players) in sides.items()})
 
 
 def season_label(season: int) -> str:
@@ -140,9 +142,6 @@ def lenient_date(text: Column | str) -> Column:
 
 #: An option element with a numeric value, whatever its other attributes, quotes and case: groups 2 and 3 are value and text.
 OPTION = r"(?i)<option\b[^>]*?\svalue\s*=\s*([\"']?)([0-9]+)\1(?=[\s/>])[^>]*>\s*([^<]*[^<\s])\s*</option\b"
-#: A shot in a page's script, as its call describes it: groups 1 to 3 are player, team and player id.
-SHOT = r"addShot\s*\([^()]*:\s*m(?:ade|issed)\s+by\s+([^()]+)\(([^()]+)\)[^()]*\bplayer_([0-9]+)"
-
 
 def all_groups(page: Column, pattern: str, groups: dict[str, int]) -> Column:
     """Every match of the pattern in page order, as structs of the named groups."""
@@ -154,11 +153,6 @@ def option_pairs(page: Column) -> Column:
     return all_groups(page, OPTION, {"pid": 2, "name": 3})
 
 
-def shot_triples(page: Column) -> Column:
-    """All (name, team, pid) of made and missed shots."""
-    return all_groups(page, SHOT, {"name": 1, "team": 2, "pid": 3})
-
-
 def human_size(n: float) -> str:
     """Bytes in the largest unit up to GB that leaves at least one."""
     for unit in ("B", "KB", "MB"):

@@ -75,14 +75,13 @@ def team_ids(crosswalk: DataFrame, season: int) -> DataFrame:
     return tagged(rows.withColumn("id", F.col("id").cast("string")), season)
 
 
-def matchup_stints(games: DataFrame, season: int, keep: list[DataFrame] | None = None) -> DataFrame:
+def matchup_stints(games: DataFrame, season: int, hot_rows: int | None = None) -> DataFrame:
     """Maximal runs of events of a game with the same ten players and period.
 
     Rows without all ten players are dropped before runs are formed, so points scored
     meanwhile go to the next run. A game in which a needed column has no value at all is
     skipped. Scores start from 0 and a run's points are the change of the running score.
-    Runs are read for their lineups' keys and again for themselves; given a list to ``keep``
-    them in, they are persisted there, for the caller to release.
+    With ``hot_rows``, contests of more events are segmented in slices.
     """
     events = nested.explode_family(games, "pbp", ["contest_id"])
     if not {*NEEDED_IN_A_GAME, *ON_COURT} <= set(events.columns):
@@ -105,14 +104,13 @@ def matchup_stints(games: DataFrame, season: int, keep: list[DataFrame] | None =
         distincts={"n_possessions": "poss_num"},
         count="n_events",
         starts={"start_home_score": "end_home_score", "start_away_score": "end_away_score"},
+        hot_rows=hot_rows,
     )
     runs = runs.withColumns({
         "home_pts": F.col("end_home_score") - F.col("start_home_score"),
         "away_pts": F.col("end_away_score") - F.col("start_away_score"),
         "duration_seconds": F.col("end_seconds") - F.col("start_seconds"),
     })
-    if keep is not None:
-        keep.append(runs.persist())
     keyed = text.add_lineup_keys(runs, {"home_lineup_key": ("home", "_hl"), "away_lineup_key": ("away", "_al")})
     keyed = keyed.withColumn("matchup_key", F.concat("home_lineup_key", F.lit("_"), "away_lineup_key"))
     wide = keyed.select("*", *nested.padded(F.col("_hl"), "home_"), *nested.padded(F.col("_al"), "away_")).drop("_hl", "_al")

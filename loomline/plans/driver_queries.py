@@ -32,6 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_runs(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    out = gaps_and_islands(
+        events,
+        partition=["user_id"],
+        order=["ts", "event_id"],
+        change=["event_type"],
+        segment="stint",
+        firsts={"event_type": "event_type", "first_event": "event_id"},
+        lasts={"last_event": "event_id", "end_value": "value"},
+        distincts={"n_props": "props"},
+        count="n_events",
+        deltas={"value_delta": "end_value"},
+        hot_rows=hot_rows,
+    )
+    return out.withColumn("value_delta", F.round("value_delta", 6))
+
+
 @query("""
 WITH marked AS (
   SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS brk
@@ -47,20 +64,27 @@ SELECT *, round(end_value - lag(end_value, 1, 0.0) OVER (PARTITION BY user_id OR
 """)
 def stints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of one event type per user, with first, last, count and the change of value."""
-    events = table(spark, sf_dir, "events")
-    out = gaps_and_islands(
-        events,
-        partition=["user_id"],
-        order=["ts", "event_id"],
-        change=["event_type"],
-        segment="stint",
-        firsts={"event_type": "event_type", "first_event": "event_id"},
-        lasts={"last_event": "event_id", "end_value": "value"},
-        distincts={"n_props": "props"},
-        count="n_events",
-        deltas={"value_delta": "end_value"},
-    )
-    return out.withColumn("value_delta", F.round("value_delta", 6))
+    return event_runs(table(spark, sf_dir, "events"))
+
+
+@query("""
+WITH hot AS (SELECT * REPLACE (CASE WHEN event_id % 10 < 9 THEN 0 ELSE user_id END AS user_id) FROM events),
+marked AS (
+  SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS brk
+  FROM hot WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+numbered AS (
+  SELECT *, CAST(sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS seg FROM marked),
+segs AS (
+  SELECT user_id, seg AS stint, arg_min(event_type, (ts, event_id)) AS event_type,
+         arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event,
+         arg_max(value, (ts, event_id)) AS end_value, count(*) AS n_events, count(DISTINCT props) AS n_props
+  FROM numbered GROUP BY user_id, seg)
+SELECT *, round(end_value - lag(end_value, 1, 0.0) OVER (PARTITION BY user_id ORDER BY stint), 6) AS value_delta FROM segs
+""")
+def stints_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same runs where one user has nine tenths of all events, segmented in slices of some thousand rows."""
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.when(F.col("event_id") % 10 < 9, F.lit(0)).otherwise(F.col("user_id")))
+    return event_runs(events, hot_rows=2000)
 
 
 @query("""

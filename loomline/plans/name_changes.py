@@ -5,23 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.functions.text import display_code, option_pairs, shot_triples
+from loomline.functions.pages import renamed_players
 
 
 def changes(bundles: DataFrame) -> DataFrame:
     """(season, team, name_game_time, name_current, n_games): files in which the change occurs.
 
-    Shots and options meet by player id within their file; of repeated ids, the last option counts.
+    Each page is walked once, where it is read: its shots and options meet by player id
+    there, and only its changes are shuffled.
     """
-    pages = bundles.where("not corrupt and box_score <> ''")
-    options = pages.select("season", "file", F.posexplode(option_pairs(F.col("box_score"))).alias("_at", "_o"))
-    current = options.groupBy("season", "file", F.col("_o.pid").alias("pid")).agg(F.max_by(F.col("_o.name"), "_at").alias("current"))
-    shots = pages.select("season", "file", F.explode(shot_triples(F.col("box_score"))).alias("_s")).select("season", "file", "_s.*")
-    met = shots.distinct().join(current, ["season", "file", "pid"]).where("current <> ''")
-    coded = met.select("season", "file", F.trim("team").alias("team"), display_code(F.col("name")).alias("name_game_time"), display_code(F.col("current")).alias("name_current"))
-    changed = coded.where("name_game_time <> '' and name_current <> '' and name_game_time <> name_current").distinct()
-    out = changed.groupBy("season", "team", "name_game_time", "name_current").agg(F.count(F.lit(1)).alias("n_games"))
-    return out.orderBy("season", "team", "name_game_time", "name_current")
+    found = renamed_players(bundles.where("not corrupt and box_score <> ''"))
+    return found.groupBy("season", "team", "name_game_time", "name_current").agg(F.count(F.lit(1)).alias("n_games")).orderBy("season", "team", "name_game_time", "name_current")
 
 
 def unreadable(bundles: DataFrame) -> DataFrame:

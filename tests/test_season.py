@@ -1,13 +1,14 @@
 import gzip
 import json
 import os
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomline import cli, publish, registry, schemas, sinks
-from loomline.functions import text
-from loomline.plans import build, coverage, datasets, name_changes
+from loomline.functions import pages, text
+from loomline.plans import build, coverage, datasets, game_queries, name_changes
 from loomline.sources import games as source
 from loomline.sources import http
 from loomline.streaming import arrivals
@@ -223,9 +224,40 @@ def test_case_folding_and_page_patterns(spark):
     assert len(wrong) <= 0.02 * len(letters) and "aßb" not in wrong and "aςb" not in wrong and "aıb" not in wrong
     page = """<option value="12" selected> A  B </option><OPTION data-x='1' value='7'>C</OPTION><option value=9>D</option><option value="x">no</option><option value="5"></option>
     addShot(3, "l: made by Ana Berg(Alder) a player_12 b"); addShot (4,"(a)"); addShot("l: missed by Zoe (Birch St.) player_7"); addShot("l: blocked by No(One) player_8")"""
-    r = spark.createDataFrame([(page,)], "p string").select(text.option_pairs(F.col("p")).alias("o"), text.shot_triples(F.col("p")).alias("s")).first()
-    assert [tuple(x) for x in r.o] == [("12", "A  B"), ("7", "C"), ("9", "D")]
-    assert [(x.name.strip(), x.team, x.pid) for x in r.s] == [("Ana Berg", "Alder", "12"), ("Zoe", "Birch St.", "7")]
+    pages_of = spark.createDataFrame([(1, page), (2, None), (3, "")], "file long, p string")
+    r = pages_of.select(text.option_pairs(F.col("p")).alias("o")).first()
+    assert [tuple(x) for x in r.o] == [("12", "A  B"), ("7", "C"), ("9", "D")] == list(pages.options(page))
+    found = pages.walk(pages_of, ["file"], "p").collect()
+    assert {r.file for r in found} == {1}
+    assert [(r.name.strip(), r.team, r.pid) for r in found if r.kind == "shot"] == [("Ana Berg", "Alder", "12"), ("Zoe", "Birch St.", "7")]
+    assert [(r.pid, r.name, r.team) for r in found if r.kind == "option"] == [("12", "A  B", None), ("7", "C", None), ("9", "D", None)]
+
+
+def test_shots_of_invented_pages():
+    """Calls with nested parentheses, other colons, no id, an id of another call, and no end."""
+    shots = lambda page: list(pages.shots(page))
+    assert shots('addShot(1, "q: 3: made by Ana Berg(Alder) x player_1")') == [("Ana Berg", "Alder", "1")]
+    assert shots('addShot(f(1), "made by Ana(Alder) player_1")') == []
+    assert shots('addShot("q: made by Ana(Alder (N)) player_1")') == []
+    assert shots('addShot("q: made by Ana(Alder) nothing"); addShot("q: missed by Bo(Birch) player_2 player_3")') == [("Bo", "Birch", "2")]
+    assert shots('addShot("q: made by Ana(Alder) player_ player_x player_44b") addShot("q: made by Ana(Alder) player_5') == [("Ana", "Alder", "44"), ("Ana", "Alder", "5")]
+    assert shots('addShot("q: saved by Ana(Alder) player_1"); addShot "q: made by Ana(Alder) player_1"; addShot("q: made by (Alder) player_1"); addShot("q: made by Ana() player_1")') == []
+    assert shots("") == [] and shots('addShot("q: made by Ana') == []
+
+
+def test_folding_to_ascii_is_the_decomposition(spark):
+    letters = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x30000)) if unicodedata.category(chr(c)) != "Cn"]
+    df = spark.createDataFrame([(f"A{c}z",) for c in letters], "t string").repartition(8)
+    want = lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().casefold()
+    assert [r.t for r in df.select("t", text.ascii_fold(F.col("t")).alias("f")).collect() if r.f != want(r.t)] == []
+
+
+def test_python_and_scans_of_plans(spark, sf_dir):
+    """Names are folded without Python, stints are made from two scans of the events, and pages are walked once."""
+    plan = lambda name: game_queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan("season_lineups") + plan("season_matchup_stints") and "Arrow" not in plan("season_lineups") + plan("season_matchup_stints")
+    assert plan("season_matchup_stints").count("Scan parquet") <= 3
+    assert plan("player_name_changes").count("MapInArrow") == 1 and "ArrowEval" not in plan("player_name_changes")
 
 
 def test_publishing(tmp_path):
