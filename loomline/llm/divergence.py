@@ -16,39 +16,65 @@ All arithmetic is on integers; shares are divided as decimals of 38 digits.
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.common import stored
 from loomline.llm.selection import largest
 
-#: Letters: A-Z, a-z and what is not ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Terms are runs of A-Z, a-z and what is not ASCII; every other byte below 128 parts them, and A-Z become a-z.
+TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+#: Entries that a task counts before it hands them on.
+HELD = 500_000
 #: The scale of a share, and what is added to every count.
 SCALE, ADDED = 1_000_000_000, 5
 #: Differences of shares are at most SCALE + 1.
 VALUE_BITS = 31
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z in lower case, all else as it is."""
-    # Built-in lower case does no more than that to a text that is all ASCII.
-    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-
-
 def share(count: str, total: str, kept: str) -> Column:
     """The smoothed share of a count, in units of 1 / SCALE, plus one."""
     return F.expr(f"1 + (cast({count} as decimal(28, 0)) + {ADDED}) * {SCALE} div (cast({total} as decimal(28, 0)) + {ADDED} * {kept})")
 
 
+def partial_counts(texts: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences and documents of each term, counted where texts are read, in tables of about HELD entries."""
+    names = ["lang", "source", "term", "n", "docs"]
+
+    def handed_on(groups):
+        for (lang, source), (counts, docs) in groups.items():
+            # Both saw a document's new terms in one go, but not in the same order.
+            terms = list(counts)
+            same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(terms), np.int32))) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64(), size=len(terms)), pa.array(map(docs.__getitem__, terms), pa.int64(), size=len(terms))], names)
+
+    def scan(batches):
+        groups, held = {}, 0
+        for batch in batches:
+            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                words = text.translate(TABLE).split()
+                if not words:
+                    continue
+                counts, docs = groups.get((lang, source)) or groups.setdefault((lang, source), (Counter(), Counter()))
+                held -= len(counts)
+                counts.update(words)
+                docs.update(set(words))
+                held += len(counts)
+                if held > HELD:
+                    yield from handed_on(groups)
+                    groups, held = {}, 0
+        yield from handed_on(groups)
+
+    return texts.mapInArrow(scan, "lang string, source string, term string, n long, docs long")
+
+
 def kept_counts(texts: DataFrame, least_docs: int) -> DataFrame:
     """(lang, source, term, n, lang_n): occurrences of each kept term in each source that has it, and in the language."""
-    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0))
-    # Every occurrence, and then each term of the document once more to count documents.
-    each = F.concat(F.transform("words", lambda w: F.struct(w.alias("term"), F.lit(0).alias("first"))), F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("first"))))
-    rows = texts.select("lang", "source", words.alias("words")).select("lang", "source", F.explode(each).alias("e"))
-    counts = rows.groupBy("lang", "source", F.col("e.term").alias("term")).agg((F.count(F.lit(1)) - F.sum("e.first")).alias("n"), F.sum("e.first").alias("docs"))
+    counts = partial_counts(texts).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     # A term has a row for each source of the language at most.
     over = Window.partitionBy("lang", "term")
     whole = counts.withColumns({"lang_n": F.sum("n").over(over), "lang_docs": F.sum("docs").over(over)})

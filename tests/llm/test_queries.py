@@ -23,7 +23,13 @@ COLUMNS = {
     "op8_bounded_ring": "doc_id size text_crc32 law shard slot grown_shard",
     "op9_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op10_vertical_jaccard": "doc_id n_shingles component_id",
+    "op11_source_divergence": "lang source part item value rank",
+    "op12_importance_resampling": "doc_id n_features weight score rank",
+    "op13_learned_partitions": "query_id rank vec_id score",
+    "pipeline": "doc_id start length ids_crc32 doc_tokens sequence_id offset ids",
 }
+#: Queries that do not give a row for each row of their table.
+OTHER_GRAIN = ("op5_power_of_two_packing", "op6_block_max_search", "op11_source_divergence", "op13_learned_partitions", "pipeline")
 
 
 @pytest.fixture(scope="module")
@@ -33,19 +39,35 @@ def tiny(spark, tmp_path_factory):
     spark.createDataFrame([(1, 1, 1), (4, 1, 0), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     page = "<nav>m</nav><article><p>One article of some words, and of more than a few of them.</p></article>"
     spark.createDataFrame([(1, "u", page), (1, "u", page), (2, None, None), (None, "v", "")], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([(1, "the quick brown fox"), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [0.5, 0.5], None), (None, [1.0, 1.0], 1), (2, None, 1), (2, [float("nan"), 1.0], 1)], "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
+@pytest.fixture(scope="module")
+def nothing(spark, tiny, tmp_path_factory):
+    """The same tables without rows."""
+    folder = str(tmp_path_factory.mktemp("nothing"))
+    for name in ("documents", "labels", "pages", "benchmark", "embeddings"):
+        spark.read.parquet(f"{tiny}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", sorted(driver_queries.QUERIES))
+def test_registered_queries_on_empty_tables(spark, nothing, name):
+    assert driver_queries.QUERIES[name](spark, nothing).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_registered_queries_on_odd_rows(spark, tiny, name):
     got = driver_queries.QUERIES[name](spark, tiny)
     assert set(COLUMNS[name].split()) <= set(got.columns)
     found = got.collect()
-    if name not in ("op5_power_of_two_packing", "op6_block_max_search"):
+    if name not in OTHER_GRAIN:
         assert len(found) == (4 if name.startswith("op2_") else len(D.ROWS))
 
 
-@pytest.mark.parametrize("name", ["quality_base_counts", "ring_loads", "mix_sizes"])
+@pytest.mark.parametrize("name", ["quality_base_counts", "ring_loads", "mix_sizes", "op11_source_divergence", "op12_importance_resampling"])
 def test_queries_match_sql(spark, sf_dir, name):
     import pandas as pd
 
