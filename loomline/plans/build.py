@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 import os
-import shutil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,21 +22,24 @@ class Season:
 
     def __init__(self, spark: SparkSession, season: int, root: str | None, league: str, crosswalk: DataFrame | None = None):
         self.spark, self.season, self.league, self.crosswalk = spark, season, league, crosswalk
-        self._root, self._games = root, None
+        self._root, self._payloads, self._missing, self._opened = root, None, 0, False
 
     @property
     def root(self) -> str:
         return source.resolve_root(self._root)
 
+    @property
+    def payloads(self) -> source.Payloads | None:
+        """The payloads of the season's contests, None without an index or payloads."""
+        if not self._opened:
+            texts = self._fetched() if http.is_url(self.root) else self._listed()
+            self._payloads, self._opened = None if texts is None else source.Payloads(texts), True
+        return self._payloads
+
     @property
     def games(self) -> DataFrame | None:
-        """Readable payloads of the season's contests, None without an index or payloads."""
-        if self._games is None:
-            found = self._fetched() if http.is_url(self.root) else self._listed()
-            if found is None:
-                return None
-            self._found, self._games = found, source.good(found).persist()
-        return self._games
+        """The readable ones, with all their families."""
+        return None if self.payloads is None else self.payloads.games()
 
     def _listed(self) -> DataFrame | None:
         """The season's payload files, chosen by name before any is opened; the index has some thousands a season."""
@@ -46,9 +48,10 @@ class Season:
         if index is None or not source.path_exists(self.spark, f"{path}/*.json"):
             return None
         ids = source.season_ids(index, self.season)
-        found, self._absent = source.split_by_presence(source.payload_paths(self.spark, path), ids)
-        files = [r["path"] for r in found.select("path").collect()]
-        return source.read_games(self.spark, files) if files else None
+        files = source.payload_paths(self.spark, path)
+        found = [r["path"] for r in ids.join(files, ids["contest_id"] == files["_cid"], "left").select("path").collect()]
+        self._missing = found.count(None)
+        return source.payload_texts(self.spark, [p for p in found if p]) if self._missing < len(found) else None
 
     def _fetched(self) -> DataFrame | None:
         """The season's payloads from an HTTP root, whose index is read on the driver and which has no league folder."""
@@ -56,20 +59,21 @@ class Season:
         if index is None:
             return None
         ids = [r["contest_id"] for r in source.season_ids(index, self.season).collect()]
-        payloads = http.read_payloads(self.spark, self.root, ids, os.environ.get(http.CACHE_ENV)).persist()
-        self._absent = payloads.where("payload is null").select("contest_id")
-        return source.parse_payloads(payloads) if ids else None
+        if not ids:
+            return None
+        payloads = http.read_payloads(self.spark, self.root, ids, os.environ.get(http.CACHE_ENV))
+        return payloads.withColumnRenamed("contest_id", "_cid")
 
     def skipped(self) -> dict[str, int]:
-        """How many contests of the season have no payload, and how many one that cannot be parsed."""
-        if self.games is None:
-            return {"missing": 0, "failed": 0}
-        return {"missing": self._absent.count(), "failed": self._found.where(source.is_corrupt("contest_id")).count()}
+        """How many contests of the season have no payload, and how many one that cannot be parsed; both were counted on the way."""
+        if self.payloads is None:
+            return {"missing": self._missing, "failed": 0}
+        return {"missing": self._missing + self._payloads.absent, "failed": self._payloads.failed}
 
     def release(self) -> None:
-        if self._games is not None:
-            self._games.unpersist()
-            self._games = None
+        if self._payloads is not None:
+            self._payloads.release()
+        self._payloads, self._opened = None, False
 
 
 def build(inputs: Season, name: str) -> DataFrame:
@@ -81,34 +85,38 @@ def build(inputs: Season, name: str) -> DataFrame:
         return datasets.team_ids(inputs.crosswalk, season)
     if name == "team_rosters":
         return datasets.team_rosters(source.read_roster_files(spark, inputs.root, inputs.league, season), season)
-    if inputs.games is None:
+    if inputs.payloads is None:
         return spark.createDataFrame([], {"schedule": schemas.SCHEDULE, "rosters": schemas.ROSTERS}.get(name, schemas.EMPTY_FAMILY))
     if spec.family:
-        return datasets.family(inputs.games, spec.family, season)
-    return {"schedule": datasets.schedule, "rosters": datasets.rosters, "matchup_stints": datasets.matchup_stints}[name](inputs.games, season)
+        return datasets.family(inputs.payloads.family(spec.family), spec.family, season)
+    make, reads = {"schedule": (datasets.schedule, "pbp"), "rosters": (datasets.rosters, "player_box"), "matchup_stints": (datasets.matchup_stints, "pbp")}[name]
+    return make(inputs.payloads.family(reads), season)
 
 
 def build_season(inputs: Season, name: str, base: str, *, release: bool = False, repo: str | None = None, dry_run: bool = False, prefix: str = "") -> DataFrame:
-    """Build, write parquet and manifest, and if asked stage csv.gz and parquet and publish them; an empty table writes nothing."""
+    """Build, commit parquet and manifest row, and if asked stage csv.gz and parquet and publish them; an empty table writes nothing.
+
+    Rows are counted by the write itself.
+    """
     spec = dataset(name)
-    df = build(inputs, name).persist()
+    df = build(inputs, name)
+    staging = release or dry_run
+    if staging:
+        df = df.persist()
     try:
-        rows = df.count()
-        if not rows:
+        if not sinks.commit_season(df, spec, inputs.season, base, inputs.league):
             log.warning("%s %s: no rows, nothing written", name, inputs.season)
             return df
-        path = sinks.write_season(df, spec, inputs.season, base, inputs.league)
-        if release or dry_run:
+        if staging:
             files = publish.staged(spec, inputs.season, base, inputs.league, prefix)
             sinks.write_csv_gz(df, files["csv.gz"], CSV_ORDER.get(name, [c for c in ("contest_id", "stint_num", "period", "game_seconds") if c in df.columns]))
-            shutil.rmtree(files["parquet"], ignore_errors=True)
             df.coalesce(1).write.mode("overwrite").parquet(files["parquet"])
-        sinks.upsert_manifest(inputs.spark, spec, inputs.season, rows, base, inputs.league)
-        if repo and (release or dry_run):
-            publish.publish(spec, inputs.season, base, inputs.league, repo, prefix=prefix, dry_run=dry_run)
-        return inputs.spark.read.parquet(path).where(f"season = {inputs.season}")
+            if repo:
+                publish.publish(spec, inputs.season, base, inputs.league, repo, prefix=prefix, dry_run=dry_run)
+        return inputs.spark.read.parquet(f"{sinks.dataset_root(spec, base, inputs.league)}/parquet").where(f"season = {inputs.season}")
     finally:
-        df.unpersist()
+        if staging:
+            df.unpersist()
 
 
 def build_all(inputs: Season, base: str, **kw) -> dict[str, int]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,15 +85,19 @@ def matchup_stints(games: DataFrame, season: int, hot_rows: int | None = None) -
     skipped. Scores start from 0 and a run's points are the change of the running score.
     With ``hot_rows``, contests of more events are segmented in slices.
     """
+    names = games.schema["pbp"].dataType.elementType.names
+    if not {*NEEDED_IN_A_GAME, *ON_COURT} <= set(names):
+        games = games.limit(0)
+    else:
+        # Told by the game's own list, before it is taken apart.
+        some = lambda c: F.exists("pbp", lambda e: e[c].isNotNull())
+        games = games.where(reduce(lambda a, b: a & b, map(some, NEEDED_IN_A_GAME)))
     events = nested.explode_family(games, "pbp", ["contest_id"])
-    if not {*NEEDED_IN_A_GAME, *ON_COURT} <= set(events.columns):
-        events = events.limit(0).withColumns({c: F.lit(None).cast(schemas.EVENT[c]) for c in [*NEEDED_IN_A_GAME, *ON_COURT] if c not in events.columns})
-    for optional in ("game_date", "poss_num"):
-        if optional not in events.columns:
-            events = events.withColumn(optional, F.lit(None).cast(schemas.EVENT[optional]))
-    has_all = events.groupBy("contest_id").agg(*[F.count(c).alias(c) for c in NEEDED_IN_A_GAME]).where(" and ".join(f"{c} > 0" for c in NEEDED_IN_A_GAME)).select("contest_id")
+    for c in ("game_date", "poss_num", *NEEDED_IN_A_GAME, *ON_COURT):
+        if c not in names:
+            events = events.withColumn(c, F.lit(None).cast(schemas.EVENT[c]))
     five = lambda side: F.array_sort(F.array(*[f"{side}_{i}" for i in range(1, 6)]))
-    usable = events.join(has_all, "contest_id", "left_semi").dropna(how="any", subset=ON_COURT).withColumns({"_hl": five("home"), "_al": five("away")})
+    usable = events.dropna(how="any", subset=ON_COURT).withColumns({"_hl": five("home"), "_al": five("away")})
     lined = usable.withColumns({"home_lineup": F.array_join("_hl", "|"), "away_lineup": F.array_join("_al", "|")})
     runs = gaps_and_islands(
         lined,

@@ -6,14 +6,14 @@ Nothing here touches Spark's data path, and every call out is injectable.
 from __future__ import annotations
 
 import logging
-import os
 import re
 import subprocess
 from collections.abc import Callable, Iterable
 
 from loomline.functions.text import human_size
 from loomline.registry import Dataset
-from loomline.sinks import local, to_rds
+from loomline.sinks import to_rds
+from loomline.storage import is_local, store_for
 
 log = logging.getLogger("loomline")
 METADATA_TIMEOUT, UPLOAD_TIMEOUT = 180, 1800
@@ -61,39 +61,39 @@ def complete_seasons(names: Iterable[str], stem: str) -> set[int]:
 
 
 def built_seasons(dataset: Dataset, base: str, league: str) -> set[int]:
-    path = f"{local(base)}/{league}/{dataset.name}/parquet"
-    names = os.listdir(path) if os.path.isdir(path) else []
+    names = store_for(base).names(f"{base}/{league}/{dataset.name}/parquet")
     return {int(m[1]) for n in names if (m := re.fullmatch(r"season=(\d+)", n))}
 
 
 def staged(dataset: Dataset, season: int, base: str, league: str, prefix: str = "") -> dict[str, str]:
     """Paths of a unit's staged assets by kind."""
-    stem = f"{local(base)}/{league}/_release_build/{dataset.name}/{dataset.stem(prefix)}_{season}"
+    stem = f"{base}/{league}/_release_build/{dataset.name}/{dataset.stem(prefix)}_{season}"
     return {kind: f"{stem}.{kind}" for kind in ("parquet", "csv.gz", "rds")}
 
 
 def publish(dataset: Dataset, season: int, base: str, league: str, repo: str, *, prefix: str = "", dry_run: bool = False, runner: Callable[[list[str]], object] | None = None, exists: Callable[[str, str], bool] | None = None, make_rds: Callable[[str, str], None] | None = to_rds) -> dict:
     """Upload what is staged of a unit, making the release if it is missing; a failed rds only warns.
 
-    An rds is made anew if it is missing or older than the parquet.
+    An rds is made anew if it is missing or older than the parquet, and only on a local base.
+    Assets of other file systems are fetched to be uploaded.
     """
     files, tag = staged(dataset, season, base, league, prefix), dataset.stem(prefix)
-    parquet, rds = files["parquet"], files["rds"]
-    stale = os.path.exists(parquet) and (not os.path.exists(rds) or os.path.getmtime(rds) < os.path.getmtime(parquet))
-    if make_rds and stale:
+    parquet, rds, store = files["parquet"], files["rds"], store_for(base)
+    stale = store.exists(parquet) and (not store.exists(rds) or store.modified(rds) < store.modified(parquet))
+    if make_rds and stale and is_local(base):
         try:
             make_rds(parquet, rds)
         except (RuntimeError, OSError) as e:
             log.warning("%s %s: no rds: %s", dataset.name, season, e)
-    present = [f for f in files.values() if os.path.exists(f)]
+    present = [f for f in files.values() if store.exists(f)]
     call = runner or run_gh
     if not dry_run and not (exists or release_exists)(tag, repo):
         call(["release", "create", tag, "--repo", repo, "--title", tag, "--notes", tag])
     uploaded = 0
     for f in present:
-        log.info("%s %s (%s)", "would upload" if dry_run else "upload", f, human_size(os.path.getsize(f)))
+        log.info("%s %s (%s)", "would upload" if dry_run else "upload", f, human_size(store.size(f)))
         if not dry_run:
-            upload = ["release", "upload", tag, f, "--repo", repo, "--clobber"]
+            upload = ["release", "upload", tag, store.fetch(f), "--repo", repo, "--clobber"]
             call(upload) if runner else run_gh(upload, timeout=UPLOAD_TIMEOUT)
             uploaded += 1
     return {"tag": tag, "files": present, "uploaded": uploaded}

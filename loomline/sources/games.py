@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,19 +60,81 @@ def payload_paths(spark: SparkSession, path: str) -> DataFrame:
     return files.withColumn("_cid", F.regexp_replace(F.url_decode(F.element_at(F.split("path", "/"), -1)), r"\.json$", ""))
 
 
-def read_games(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """All payloads below a directory, or those of the files listed: contest_id, the families as arrays, and the id of the file name.
+def from_variants(described: str) -> T.DataType:
+    """The type that ``schema_of_variant_agg`` describes as text, for columns: decimals are doubles, mixed types and those never seen are text."""
 
-    The schema is inferred over all files in one pass, so that columns of all games are
-    united and mixed types become strings; columns the engine computes with are pinned.
-    Malformed files stay as rows with ``_corrupt_record`` set.
+    def settled(k: T.DataType) -> T.DataType:
+        if isinstance(k, T.StructType):
+            return T.StructType([T.StructField(f.name, settled(f.dataType)) for f in k])
+        if isinstance(k, T.ArrayType):
+            return T.ArrayType(settled(k.elementType))
+        if isinstance(k, (T.VariantType, T.NullType)):
+            return T.StringType()
+        return T.DoubleType() if isinstance(k, (T.DecimalType, T.FloatType)) else k
+
+    return settled(T.StructType.fromDDL("x " + re.sub(r"\bOBJECT<", "STRUCT<", described))["x"].dataType)
+
+
+class Payloads:
+    """Payload texts, parsed once to variants that are kept in memory; families are cast from those when they are asked for.
+
+    One job parses, unites the schemas of all payloads, and counts those that are absent (null) or cannot be parsed.
+    Columns of all games are united and mixed types become text; columns the engine computes
+    with are pinned, so a value of another kind is null. A payload is malformed if it is no JSON object.
     """
-    reader = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json")
-    if schema is None:
-        schema = pinned(reader.option("samplingRatio", 1.0).json(path).schema)
-    games = reader.schema(schema).json(path)
+
+    def __init__(self, texts: DataFrame):
+        """``texts`` has _cid and payload."""
+        self.texts, value = texts, F.try_parse_json("payload")
+        # Of a payload that is no object nothing can be taken.
+        whole = F.when(F.schema_of_variant(value).startswith("OBJECT<"), value)
+        self.variants = texts.select("_cid", F.col("payload").isNull().alias("absent"), whole.alias("v")).persist()
+        of = {n: F.try_variant_get("v", f"$.{n}", "variant") for n in FAMILIES}
+        first = {n: F.schema_of_variant(F.try_variant_get("v", f"$.{n}[0]", "variant")).startswith("OBJECT<") for n in FAMILIES}
+        described = [F.schema_of_variant_agg(F.when(first[n], of[n])).alias(n) for n in FAMILIES]
+        seen = self.variants.agg(*described, F.count_if("absent").alias("absent"), F.count_if(F.col("v").isNull()).alias("empty")).first()
+        self.absent, self.failed, found = seen["absent"], seen["empty"] - seen["absent"], {n: seen[n] for n in FAMILIES if seen[n]}
+        # A game whose list holds more than objects says nothing of the family's columns.
+        mixed = [n for n, d in found.items() if not d.startswith("ARRAY<OBJECT<")]
+        if mixed:
+            found |= self.variants.agg(*[F.schema_of_variant_agg(F.when(F.schema_of_variant(of[n]).startswith("ARRAY<OBJECT<"), of[n])).alias(n) for n in mixed]).first().asDict()
+        self.schema = pinned(T.StructType([T.StructField(n, from_variants(d)) for n, d in found.items() if d]))
+        self._cast: dict[str, DataFrame] = {}
+
+    def games(self, *families: str) -> DataFrame:
+        """contest_id, the families (all if none is named) as arrays, and the id of the file name, of the payloads that could be parsed."""
+        fields = [F.try_variant_get("v", f"$.{n}", ddl(self.schema[n].dataType)).alias(n) for n in ("contest_id", *(families or FAMILIES))]
+        return self.variants.where("v is not null").select(*fields, "_cid")
+
+    def family(self, name: str) -> DataFrame:
+        """The games with one family, cast once and kept in memory for all that ask for it."""
+        if name not in self._cast:
+            self._cast[name] = self.games(name).persist()
+        return self._cast[name]
+
+    def release(self) -> None:
+        for df in (self.variants, *self._cast.values()):
+            df.unpersist()
+        self._cast = {}
+
+
+def ddl(kind: T.DataType) -> str:
+    """A type as text in which every field's name is quoted."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {ddl(f.dataType)}" for f in kind) + ">"
+    return f"array<{ddl(kind.elementType)}>" if isinstance(kind, T.ArrayType) else kind.simpleString()
+
+
+def payload_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(_cid, payload) of the JSON files below a directory, or of those listed: the id of the file name, and the whole text."""
+    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return games.withColumn("_cid", F.regexp_replace(F.url_decode(name), r"\.json$", ""))
+    return texts.select(F.regexp_replace(F.url_decode(name), r"\.json$", "").alias("_cid"), F.col("value").alias("payload"))
+
+
+def read_games(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The readable payloads below a directory, or of the files listed; their variants stay in memory with the session."""
+    return Payloads(payload_texts(spark, path)).games()
 
 
 def is_corrupt(beside: str) -> Column:
@@ -83,9 +146,9 @@ def is_corrupt(beside: str) -> Column:
     return F.col("_corrupt_record").isNotNull() & (F.length(F.concat_ws("", "_corrupt_record", beside)) >= 0)
 
 
-def good(games: DataFrame, beside: str = "contest_id") -> DataFrame:
-    """Payloads that could be parsed."""
-    return games.where(~F.coalesce(is_corrupt(beside), F.lit(False))).drop("_corrupt_record")
+def good(files: DataFrame, beside: str) -> DataFrame:
+    """Rows of JSON files that could be parsed."""
+    return files.where(~F.coalesce(is_corrupt(beside), F.lit(False))).drop("_corrupt_record")
 
 
 def read_index(spark: SparkSession, root: str, league: str) -> DataFrame | None:
@@ -102,15 +165,6 @@ def season_ids(index: DataFrame, season: int) -> DataFrame:
     return index.where(F.col("season") == str(season)).select("contest_id").distinct().orderBy("contest_id")
 
 
-def parse_payloads(payloads: DataFrame) -> DataFrame:
-    """Games from (contest_id, payload text), as ``read_games`` gives them; rows without a payload are left out."""
-    texts = payloads.where("payload is not null").persist()
-    spark = payloads.sparkSession
-    schema = pinned(spark.read.option("samplingRatio", 1.0).json(texts.rdd.map(lambda r: r["payload"])).schema)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return texts.select(F.from_json("payload", schema, options).alias("_g"), F.col("contest_id").alias("_cid")).select("_g.*", "_cid")
-
-
 def split_by_presence(games: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(payloads of the ids, by file name; ids without a payload)."""
     found = games.join(ids, games["_cid"] == ids["contest_id"], "left_semi")

@@ -39,10 +39,11 @@ def test_catalog():
 def test_games_of_a_season_and_the_missing(spark, tree):
     index = source.read_index(spark, tree, "wbb")
     ids = source.season_ids(index, 2023)
-    found, missing = source.split_by_presence(source.read_games(spark, f"{tree}/wbb/json"), ids)
+    found, missing = source.split_by_presence(source.payload_texts(spark, f"{tree}/wbb/json"), ids)
     assert sorted(r["_cid"] for r in found.collect()) == ["101", "102", "103", "104"]
     assert [r[0] for r in missing.collect()] == ["105"]
-    assert source.good(found).count() == 3
+    payloads = source.Payloads(found)
+    assert sorted(r["_cid"] for r in payloads.games().collect()) == ["101", "102", "103"] and (payloads.absent, payloads.failed) == (0, 1)
     assert source.read_index(spark, tree, "none") is None
 
 
@@ -119,9 +120,8 @@ def test_build_all_and_masters(spark, tree, inputs, tmp_path):
 def test_writing_a_season_keeps_the_others(spark, tmp_path):
     d = registry.dataset("schedule")
     one = spark.createDataFrame([("1", 5)], "contest_id string, home_score long")
-    sinks.write_season(one, d, 2022, str(tmp_path), "wbb")
-    sinks.write_season(one, d, 2023, str(tmp_path), "wbb")
-    sinks.write_season(one.union(one), d, 2023, str(tmp_path), "wbb")
+    for season, df in ((2022, one), (2023, one), (2023, one.union(one))):
+        assert sinks.commit_season(df, d, season, str(tmp_path), "wbb") == df.count()
     got = source.read_committed(spark, str(tmp_path), "wbb", "schedule")
     assert dict(got.dtypes)["season"] == "bigint" and {r.season: r["count"] for r in got.groupBy("season").count().collect()} == {2022: 1, 2023: 2}
     target = str(tmp_path / "x" / "a.csv.gz")
@@ -186,7 +186,7 @@ def test_http_data_source_reads_from_its_cache(spark, tmp_path):
 def test_a_season_reads_only_its_own_files(spark, tree):
     one = build.Season(spark, 2023, tree, "wbb")
     assert one.skipped() == {"missing": 1, "failed": 1}
-    assert sorted(os.path.basename(f) for f in one._found.inputFiles()) == ["101.json", "102.json", "103.json", "104.json"]
+    assert sorted(os.path.basename(f) for f in one.payloads.texts.inputFiles()) == ["101.json", "102.json", "103.json", "104.json"]
     one.release()
     assert build.Season(spark, 1999, tree, "wbb").games is None
 
@@ -323,8 +323,7 @@ def test_sweep_builds_what_is_missing_and_goes_on_after_failures():
 
 
 def test_streams_run_the_same_plans(spark, tree, tmp_path, sf_dir):
-    static = source.read_games(spark, f"{tree}/wbb/json")
-    schema = static.drop("_cid").schema
+    schema = source.Payloads(source.payload_texts(spark, f"{tree}/wbb/json")).schema
     query = arrivals.append_families(arrivals.stream_games(spark, f"{tree}/wbb/json", schema), 2023, str(tmp_path / "out"), str(tmp_path / "ck"), {"schedule": datasets.schedule})
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "schedule")).count() == 3
