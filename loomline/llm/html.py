@@ -8,8 +8,13 @@ side of a minimum cut are the main text: a short paragraph inside an article sta
 neighbours, a strong advert inside it does not.
 
 The classifier is fitted on a bounded sample of pages that mark their article with an
-``article`` or ``main`` element: blocks inside are content, those outside are not. Its prior
+``article`` or ``main`` element: blocks inside are content, those outside are not. What
+elements, names and repeated items tell are features like all others. Its prior
 are the weights below, which stand for themselves where no page marks anything.
+
+Reader comments are told by elements that are named as such and no more (``comments``,
+``comment-list``, but not ``has-comments``), wherever they stand and however much they hold, and, outside
+of a marked article, by repeated items that most have a byline, after some prose.
 """
 
 from __future__ import annotations
@@ -35,13 +40,18 @@ BOILER_TAGS = set("nav footer aside form menu dialog".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Words in class, id or role that tell boilerplate, whole or as a part set off by - _ or case.
 BOILER_NAMES = set(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios consent contentinfo cookie cookies copyright discussion disqus foot footer gdpr legal login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay "
+    "ad ads adv advert adverts advertisement advertising banner bottom breadcrumb breadcrumbs colophon comment comments comentarios consent contentinfo cookie cookies copyright disqus foot footer gdpr impressum imprint legal login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay "
     "pager pagination popup print promo promoted promotion recommend recommended related reply replies respond rail search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar widget".split()
 )
-#: What elements tell by themselves.
-WEIGHTS = {"article": 3.0, "boiler": -9.0}
-#: The classifier's prior: constant, words (up to LONG), part in links, ends like a sentence, heading, notice.
-PRIOR = (-0.4, 3.2, -4.0, 0.5, 1.0, -2.0)
+#: Words that name reader comments; and those that may stand beside them, or beside ``header`` for a site's header, in one name.
+COMMENT_NAMES = set("comment comments commentaires comentarios kommentar kommentare disqus reply replies respond".split())
+BESIDE = set("all area article author blog block body box children container content count entry facebook fb form group holder inner item items list main meta news outer page panel post reader readers section site story text thread threads title user users view widget wrap wrapper".split())
+HEADER_BESIDE = set("app blog global main page site sticky top".split())
+#: The classifier's features and their prior weights. Lengths count up to LONG words; ``named`` is the part to which a wrapper's name is believed.
+PRIORS = {"constant": -0.4, "words": 3.2, "linked": -4.0, "sentence": 0.5, "heading": 1.0, "notice": -2.0, "list item": 1.0, "boiler element": -9.0, "named": -9.0, "comment item": -9.0, "call": -9.0}
+FEATURES, PRIOR = {n: i for i, n in enumerate(PRIORS)}, tuple(PRIORS.values())
+#: What standing in an article or main element tells; these elements are the labels, so it is not fitted.
+ARTICLE = 3.0
 #: Pages of up to so many characters that it is fitted on; all their blocks count as so many cases against the prior.
 FIT_PAGES, FIT_CHARS, FIT_CASES = 1000, 100_000, 60.0
 NEXT, SAME_PARENT, SIBLING = 0.3, 0.7, 0.5
@@ -50,6 +60,9 @@ CONTRAST = 3.0
 LONG = 40
 #: Words from which an unlinked block counts as prose, when a wrapper's name is weighed.
 PROSE = 10
+#: Siblings of one element name and class that make them items, the part of them with a byline that makes them comments, and the longest byline and call in words.
+ITEMS, BYLINED, BYLINE_WORDS, CALL_WORDS = 3, 0.6, 12, 25
+ITEM_TAGS = set("li div article section dd tr blockquote".split())
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S
@@ -60,12 +73,40 @@ RAW_END = {n: re.compile(rf".*?</{n}\b[^>]*(?:>|\Z)|.*?(?=</head\b)|.*", re.S |
 TITLE_END = re.compile(r"(?:(?!</head\b|<title\b).)*?</title\s*>|[^<]*", re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: What alike siblings may differ in: numbers, and words of odd and even rows.
+PLAIN = re.compile(r"\d+|\b(?:odd|even|first|last|alt)\b")
 NOTICE = re.compile(r"©|\(c\)|all rights reserved|cookies?\b|privacy policy|terms of (?:use|service)|subscribe|sign up", re.I)
+#: What parts the links of a bar, twice or more.
+PARTED = re.compile(r"\s[|·•]\s")
+#: How calls to the reader begin, also inside an article, and what bylines hold.
+CALL = re.compile(r"\W*(?:(?:please )?(?:subscribe|sign up|register now|follow us|like us|share this|join our|get our|advertisement|sponsored|read (?:more|also|next)\s*:)|abonn(?:ez|ieren)|newsletter|jetzt anmelden|folgen sie uns|anzeige\b|suivez-nous|publicité|inscrivez|suscr[ií]b|síguenos|publicidad|(?:this|our) (?:web)?site uses cookies|we use cookies|diese (?:web)?seite verwendet cookies|ce site utilise des cookies|este sitio (?:web )?utiliza cookies)", re.I)
+BYLINE = re.compile(r"\b(?:ago|says|said|wrote|writes|repl(?:y|ied)|antworten|schrieb|schreibt|sagt|répondre|a écrit|responder|respondió|permalink|upvotes?|likes?)\b|\bvor \d|\bil y a \d|\bhace \d|\d{1,2}:\d{2}|\b\d{4}-\d{2}-\d{2}|\b\d{1,2}[./]\d{1,2}[./]\d{2,4}", re.I)
+JOINED = re.compile(rf"({'|'.join(sorted(COMMENT_NAMES, key=len, reverse=True))})({'|'.join(sorted(BESIDE, key=len, reverse=True))})?")
+
+
+def names_of(attributes: str) -> list[list[str]]:
+    """The words of each name in class, id and role."""
+    return [[p.lower() for p in PARTS.findall(name)] for m in NAMES.findall(attributes) for name in " ".join(m).split()]
+
+
+def told_boiler(names: list[list[str]]) -> frozenset[str]:
+    """The words that tell boilerplate."""
+    return frozenset(w for name in names for w in name if w in BOILER_NAMES)
+
+
+def only(names: list[list[str]], told: set[str], beside: set[str]) -> bool:
+    """Whether a name holds one of some words, and else only words that may stand beside it."""
+    return any(told.intersection(name) and all(w in told or w in beside for w in name) for name in names)
+
+
+def of_comments(names: list[list[str]]) -> bool:
+    """Whether an element is named as one of reader comments and no more."""
 
+    def parted(word: str) -> list[str]:
+        joined = JOINED.fullmatch(word)
+        return [w for w in joined.groups() if w] if joined else [word]
 
-def told_boiler(attributes: str) -> frozenset[str]:
-    """The words in class, id and role that tell boilerplate."""
-    return frozenset(w for m in NAMES.findall(attributes) for p in PARTS.findall(" ".join(m)) if (w := p.lower()) in BOILER_NAMES)
+    return only([[w for word in name for w in parted(word)] for name in names], COMMENT_NAMES, BESIDE)
 
 
 class Wrappers:
@@ -80,28 +121,31 @@ class Wrappers:
     def __init__(self):
         self.of: dict[tuple[int, frozenset[str]], int] = {}
         self.parents, self.own, self.prose, self.begun, self.around = [0], [0], [0], [0], [0]
-        self.total = 0
+        self.total, self.path = 0, 0  # words so far, and those of the open wrappers themselves
 
     def enter(self, parent: int, words: frozenset[str]) -> int:
-        if (parent, words) not in self.of:
-            self.of[parent, words] = len(self.own)
-            around, k = self.own[0], parent
-            while k:
-                around, k = around + self.own[k], self.parents[k]
+        k = self.of.get((parent, words))
+        if k is None:
+            k = self.of[parent, words] = len(self.own)
             self.parents.append(parent)
             self.own.append(0)
             self.prose.append(0)
             self.begun.append(self.total)
-            self.around.append(around)
-        return self.of[parent, words]
+            self.around.append(self.path)
+        self.path += self.own[k]
+        return k
+
+    def leave(self, wrapper: int) -> None:
+        self.path -= self.own[wrapper]
 
     def add(self, wrapper: int, words: int) -> None:
         self.own[wrapper] += words
         self.prose[wrapper] += words * (words >= PROSE)
         self.total += words
+        self.path += words
 
-    def weights(self) -> list[float]:
-        """The evidence that each wrapper's name and those around it give."""
+    def beliefs(self) -> list[float]:
+        """To what part each wrapper's name, or one around it, is believed."""
         inside, around, out = self.prose[:], [0], [0.0]
         for k in range(len(inside) - 1, 0, -1):
             inside[self.parents[k]] += inside[k]
@@ -110,7 +154,7 @@ class Wrappers:
             around.append(around[p] + self.own[p])
             outside = self.begun[k] + around[k] - self.around[k]
             share = 2 * outside / (outside + inside[k]) if inside[k] >= LONG else 1.0
-            out.append(min(out[p], WEIGHTS["boiler"] * min(1.0, share)))
+            out.append(max(out[p], min(1.0, share)))
         return out
 
 
@@ -151,41 +195,107 @@ def tokens_of(page: str) -> tuple[list[tuple[int, int, bool, str, str]], set[int
 class Block:
     """A text block: its text, the classifier's features, where it stands, and the wrapper it is in."""
 
-    __slots__ = ("text", "features", "article", "boiler", "own", "group", "wrapper")
+    __slots__ = ("text", "features", "article", "own", "group", "wrapper", "element", "words", "linked")
+
+    def __init__(self, text: str, linked: int, name: str, article: bool, boiler: bool, own: int, group: int, wrapper: int, element: int):
+        self.text, self.article, self.own, self.group, self.wrapper, self.element = text, article, own, group, wrapper, element
+        self.words, self.linked = text.count(" ") + 1, min(1.0, linked / len(text))
+        notice = not article and self.words < LONG and (bool(NOTICE.search(text)) or len(PARTED.findall(text)) > 1)
+        call = self.words <= CALL_WORDS and name not in ("h1", "h2") and bool(CALL.match(text))
+        listed = name in ("li", "dd", "dt") and self.linked < 0.2
+        sentence = text[-1] in ".!?:;\"'”»"
+        self.features = [1.0, min(self.words, LONG) / LONG, self.linked, float(sentence), float(name in ("h1", "h2", "h3")), float(notice), float(listed), float(boiler), 0.0, 0.0, float(call)]
+
+    def set(self, feature: str, value: float) -> None:
+        self.features[FEATURES[feature]] = value
+
 
-    def __init__(self, text: str, linked: int, name: str, article: bool, boiler: bool, own: int, group: int, wrapper: int):
-        words = text.count(" ") + 1
-        notice = not article and words < LONG and bool(NOTICE.search(text))
-        self.text, self.article, self.boiler, self.own, self.group, self.wrapper = text, article, boiler, own, group, wrapper
-        self.features = (1.0, min(words, LONG) / LONG, min(1.0, linked / len(text)), float(text[-1] in ".!?:;\"'”»"), float(name in ("h1", "h2", "h3")), float(notice))
+class Elements:
+    """The page's elements by number: of which each is a child, and which are alike siblings."""
 
+    def __init__(self):
+        self.parents, self.alike = [0], [0]
+        self.of: dict[tuple[int, str, str], int] = {}
+        self.sizes = [0]
+
+    def add(self, parent: int, name: str, attributes: str) -> int:
+        group = 0
+        if name in ITEM_TAGS:
+            told = NAMES.search(attributes) if attributes else None
+            key = (parent, name, PLAIN.sub("", " ".join(filter(None, told.groups()))) if told else "")
+            group = self.of.setdefault(key, len(self.sizes))
+            if group == len(self.sizes):
+                self.sizes.append(0)
+            self.sizes[group] += 1
+        self.parents.append(parent)
+        self.alike.append(group)
+        return len(self.parents) - 1
+
+    def items(self) -> list[int]:
+        """The innermost element of ITEMS alike siblings or more that each element is in, itself included; 0 is none."""
+        out = [0]
+        for k in range(1, len(self.parents)):
+            out.append(k if self.sizes[self.alike[k]] >= ITEMS and self.alike[k] else out[self.parents[k]])
+        return out
 
-def blocks_of(page: str) -> tuple[list[Block], list[float]]:
-    """(text blocks in page order, the evidence of each wrapper's names)."""
+
+def mark_comment_items(blocks: list[Block], elements: Elements) -> None:
+    """Set the feature of blocks in items like which most have a byline, outside of a marked article and after LONG words of prose."""
+    inside = elements.items()
+    bylined: dict[int, set[int]] = {}
+    begins: dict[int, int] = {}
+    prose = 0
+    for b in blocks:
+        item = inside[b.element]
+        if item and not b.article:
+            begins.setdefault(elements.alike[item], prose)
+            if b.words <= BYLINE_WORDS and BYLINE.search(b.text):
+                bylined.setdefault(elements.alike[item], set()).add(item)
+        prose += b.words * (b.words >= PROSE and b.linked < 0.5)
+    comments = {g for g, items in bylined.items() if len(items) >= BYLINED * elements.sizes[g] and begins[g] >= LONG}
+    for b in blocks:
+        if not b.article and elements.alike[inside[b.element]] in comments:
+            b.set("comment item", 1.0)
+
+
+def blocks_of(page: str) -> list[Block]:
+    """The text blocks in page order. Takes time in proportion to the page, however many elements stay open."""
     out: list[Block] = []
-    wrappers = Wrappers()
+    wrappers, elements = Wrappers(), Elements()
     # Open elements: name, inside an article, inside a boilerplate element, number of the element, in a link, no text of the page, wrapper.
     stack: list[tuple[str, bool, bool, int, bool, bool, int]] = [("", False, False, 0, False, False, 0)]
+    # Where in the stack elements of each name, and block elements, stand.
+    places: dict[str, list[int]] = {}
+    open_blocks: list[int] = []
     text: list[str] = []
-    linked, number, at = 0, 0, 0
+    linked, at = 0, 0
 
     def flush() -> None:
         nonlocal linked
         whole = " ".join(html.unescape("".join(text)).split()) if text else ""
         if whole:
-            open_blocks = (i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCKS)
-            own = next(open_blocks, 0)
-            _, article, boiler, *_, wrapper = stack[-1]
+            own, around = stack[open_blocks[-1]] if open_blocks else stack[0], stack[open_blocks[-2]] if len(open_blocks) > 1 else stack[0]
+            _, article, boiler, element, *_, wrapper = stack[-1]
             if not boiler and 2 * linked < len(whole):
                 wrappers.add(wrapper, whole.count(" ") + 1)
-            out.append(Block(whole, linked, stack[own][0], article, boiler, stack[own][3], stack[next(open_blocks, 0)][3], 0 if boiler else wrapper))
+            out.append(Block(whole, linked, own[0], article, boiler, own[3], around[3], 0 if boiler else wrapper, element))
         text.clear()
         linked = 0
 
+    def drop(place: int) -> None:
+        """Close the element at a place of the stack and all in it."""
+        while len(stack) > place:
+            name, *_, wrapper = stack.pop()
+            places[name].pop()
+            if open_blocks and open_blocks[-1] == len(stack):
+                open_blocks.pop()
+            if wrapper != stack[-1][6]:
+                wrappers.leave(wrapper)
+
     def add(part: str) -> None:
         nonlocal linked
         if stack[-1][0] == "head" and not part.isspace():
-            stack.pop()
+            drop(len(stack) - 1)
         if not stack[-1][5]:
             text.append(part)
             linked += len(part) * stack[-1][4]
@@ -196,7 +306,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[float]]:
             add(page[at:start])
         at = end
         if not closing and name and stack[-1][0] == "head" and name not in IN_HEAD:
-            stack.pop()
+            drop(len(stack) - 1)
         # What is dropped neither parts the text around it nor ends a paragraph.
         block = name in BLOCKS and not stack[-1][5] and k not in closed
         if block:
@@ -204,50 +314,53 @@ def blocks_of(page: str) -> tuple[list[Block], list[float]]:
         elif name in ("br", "wbr", "img", "", "head") or name in NEVER_TEXT:
             text.append(" ")
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            if places.get(name):
+                drop(places[name][-1])
         elif name and name not in VOID:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][5]:
-                    break
-                if stack[i][0] in CLOSES.get(name, ()) or (block and stack[i][0] == "p"):
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
-            _, article, boiler, _, link, hidden, wrapper = stack[-1]
-            number += 1
-            bad = name in BOILER_TAGS or (name == "header" and not article)
-            if attributes and name not in ("body", "html", "article", "main") and (told := told_boiler(attributes)):
+            if open_blocks and not stack[-1][5]:
+                inner = stack[open_blocks[-1]][0]
+                if inner in CLOSES.get(name, ()) or (block and inner == "p"):
+                    drop(open_blocks[-1])
+            _, article, boiler, parent, link, hidden, wrapper = stack[-1]
+            named = names_of(attributes) if attributes else []
+            bad = name in BOILER_TAGS or (name == "header" and not article) or (named and name not in ("body", "html", "main") and of_comments(named))
+            bad = bad or (named and not article and name not in ("body", "html", "main", "article") and only(named, {"header"}, HEADER_BESIDE))
+            if named and name not in ("body", "html", "article", "main") and (told := told_boiler(named)):
                 wrapper = wrappers.enter(wrapper, told)
-            stack.append((name, article or name in ("article", "main"), boiler or bad, number, link or name == "a", hidden or name == "head" or k in closed, wrapper))
+            if name in BLOCKS:
+                open_blocks.append(len(stack))
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, article or name in ("article", "main"), boiler or bool(bad), elements.add(parent, name, attributes), link or name == "a", hidden or name == "head" or k in closed, wrapper))
     if page[at:]:
         add(page[at:])
     flush()
-    return out, wrappers.weights()
+    beliefs = wrappers.beliefs()
+    for b in out:
+        b.set("named", beliefs[b.wrapper])
+    mark_comment_items(out, elements)
+    return out
 
 
-def scores_of(blocks: list[Block], named: list[float], weights: tuple[float, ...] = PRIOR) -> list[float]:
-    """Evidence that each block is content, in log odds: the classifier's, and what elements and names tell."""
-    return [sum(w * x for w, x in zip(weights, b.features, strict=True)) + WEIGHTS["article"] * b.article + WEIGHTS["boiler"] * b.boiler + named[b.wrapper] for b in blocks]
+def scores_of(blocks: list[Block], weights: tuple[float, ...] = PRIOR) -> list[float]:
+    """Evidence that each block is content, in log odds."""
+    return [sum(w * x for w, x in zip(weights, b.features, strict=True)) + ARTICLE * b.article for b in blocks]
 
 
 def fit(pages: list[str]) -> tuple[float, ...]:
     """The classifier's weights, by Newton steps on the log-likelihood of the pages' blocks and a normal prior.
 
-    Only pages with blocks in an article count; blocks of an article under a wrapper of a telling
-    name belong to neither side. However many blocks there are, they count as FIT_CASES.
+    Only pages with blocks in an article count; blocks of an article that an element, a name or their
+    own words tell against belong to neither side. However many blocks there are, they count as FIT_CASES.
     """
     rows, labels = [], []
+    against = [FEATURES[n] for n in ("boiler element", "named", "comment item", "call")]
     for page in pages:
-        blocks, named = blocks_of(page)
+        blocks = blocks_of(page)
         if any(b.article for b in blocks):
             for b in blocks:
-                if not b.article or b.boiler or not named[b.wrapper]:
+                if not b.article or not any(b.features[i] for i in against):
                     rows.append(b.features)
-                    labels.append(b.article and not b.boiler)
+                    labels.append(b.article)
     w = prior = np.array(PRIOR)
     if rows:
         x, y = np.array(rows), np.array(labels, float)
@@ -344,8 +457,8 @@ def maximum_flow(scores: list[float], edges: list[tuple[int, int, float]]) -> tu
 
 def main_text(page: str | None, weights: tuple[float, ...] = PRIOR) -> str:
     """The content blocks of a page, one line each; empty for null, empty or all-boilerplate pages."""
-    blocks, named = blocks_of(page or "")
-    scores = scores_of(blocks, named, weights)
+    blocks = blocks_of(page or "")
+    scores = scores_of(blocks, weights)
     _, kept = maximum_flow(scores, smoothness(scores, groups_of(blocks)))
     return "\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -121,8 +122,8 @@ def test_weights_are_fitted_on_marked_pages_and_are_the_prior_without_any():
     assert html.fit([]) == html.fit(["<p>No article here.</p>", ""]) == html.PRIOR
     article = "<nav><a href=x>Menu</a></nav><article><h2>A title</h2>" + "<p>" + "plain words of an article, " * 4 + "and an end.</p>" * 3 + "</article><div>Buy now</div>"
     w = html.fit([article] * 20)
-    x = np.array([b.features for b in html.blocks_of(article)[0]])
-    y = np.array([float(b.article) for b in html.blocks_of(article)[0]])
+    x = np.array([b.features for b in html.blocks_of(article)])
+    y = np.array([float(b.article) for b in html.blocks_of(article)])
 
     def loss(v):
         z = x @ v
@@ -175,6 +176,56 @@ def test_articles_under_wrappers_of_any_name_and_with_formulas_are_whole():
     assert html.main_text(formula) == "The sum a+b is what all of this is about, as we will see below."
 
 
+def comment(rng, name):
+    tag, cls = rng.choice([("li", "comment"), ("div", "comment-body"), ("article", "comment"), ("div", "")])
+    who = f"<b>{rng.choice(['Ann', 'Bo', 'Cy'])}</b> {rng.randint(1, 23)} hours ago"
+    return f"<{tag} class='{cls if name else 'c-item'}'><div class=meta>{who}</div><p>{prose(rng, rng.randint(5, 60))}</p></{tag}>" if name else f"<div class='c-item'><div>{who}</div><p>{prose(rng, rng.randint(5, 60))}</p></div>"
+
+
+@pytest.mark.parametrize("n", [1, 3, 8, 30, 100])
+def test_reader_comments_are_left_out(n):
+    """However many there are, inside and outside of article and main, by their own names or by their bylines."""
+    rng = random.Random(n)
+    common = got = want = 0
+    for _ in range(20):
+        for place in ("beside", "article", "main", "bare"):
+            for name in ("<section id='comments'>%s</section>", "<div class='comments'>%s</div>", "<div id='comment-list'>%s</div>", "<ol class='commentlist'>%s</ol>", "<div id=respond>%s</div>", "<div class='post-comments wide'>%s</div>", None):
+                if name is None and (n < 3 or place in ("article", "main")):
+                    continue
+                title, body = prose(rng, 6)[:-1], [prose(rng, rng.randint(20, 60)) for _ in range(3)]
+                inner = f"<h1>{title}</h1>" + "".join(f"<p>{t}</p>" for t in body)
+                comments = (name or "<div class='feed'>%s</div>") % "".join(comment(rng, name) for _ in range(n))
+                page = {"beside": f"<article>{inner}</article>{comments}", "article": f"<article>{inner}{comments}</article>", "main": f"<main>{inner}{comments}</main>", "bare": f"<div>{inner}</div>{comments}"}[place]
+                a, b = Counter(html.main_text(f"<html><body>{page}</body></html>").split()), Counter([*title.split(), *" ".join(body).split()])
+                common, got, want = common + (a & b).total(), got + a.total(), want + b.total()
+    assert 2 * common / (got + want) > 0.97
+
+
+def test_headers_notices_and_lists():
+    body = "".join(f"<p>{prose(random.Random(i), 40)}</p>" for i in range(3))
+    text = html.main_text(f"<article>{body}</article>")
+    assert text.count("\n") == 2
+    for around in (
+        "<div class='site-header'>The daily site, every day anew</div>%s", "%s<div class='bottom'>Contact us | Imprint | Terms</div>", "%s<p>Contact us | Imprint | Terms | Jobs</p>",
+        "<div id=header><h2>The daily site</h2></div>%s", "%s<div class='cookie-banner'><p>We use cookies to make this better.</p></div>",
+    ):
+        for wrap in ("<article>%s</article>", "<div>%s</div>"):
+            assert html.main_text(f"<html><body>{around % (wrap % body)}</body></html>") == text, (around, wrap)
+    for notice in ("Subscribe to our newsletter for more of this.", "Advertisement", "Abonnieren Sie unseren Newsletter!", "Read more: another text of ours", "We use cookies to make this better."):
+        assert html.main_text(f"<article>{body}<div>{notice}</div></article>") == text, notice
+    listed = f"<div><h1>A title of some words</h1>{body}<ul><li>the first thing of three</li><li>a second one</li><li>the third and last of them</li></ul></div>"
+    assert html.main_text(f"<html><body><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul>{listed}</body></html>") == f"A title of some words\n{text}\nthe first thing of three\na second one\nthe third and last of them"
+    # A scientific article's own discussion, and headings of an article's header, stay.
+    assert html.main_text(f"<main><header><h1>Of rivers and of stones</h1></header>{body}<section id='discussion'>{body}</section></main>") == f"Of rivers and of stones\n{text}\n{text}"
+
+
+@pytest.mark.parametrize("part", ["<b>", "<span>word ", "<svg>", "<button>", "<div></i>", "<p>x", "<li>", "<div class=ad>x", "<div class='comments'>y ", "<table><td>z", "<a href=x>w", "<head>", "<div class=item><p>x</p>"])
+def test_open_elements_take_time_in_proportion(part):
+    begin = time.process_time()
+    html.main_text(part * 100_000)
+    assert time.process_time() - begin < 5
+
+
 def test_extract(spark):
     page = "<article><h1>T</h1><p>" + "word " * 50 + "</p></article><footer>f</footer>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "v", ""), (4, "w", "<p>" * 5000 + "x y. " * 40_000)]
