@@ -17,8 +17,9 @@ appears only when its task commits, a lost executor's task is simply run again,
 file system that Spark knows will do. Files follow each other in ascending doc_id order, by the
 number in their names.
 
-Texts are encoded where they are read, and only frames are dealt out and sorted. There are
-as many files as make each hold the frames of about FILE_BYTES of text.
+Texts are encoded where they are read, and only frames are dealt out and sorted. Files are
+cut by running sums of bytes, so that each holds the frames of FILE_BYTES of text and those
+of one more document at most, wherever long documents stand.
 """
 
 from __future__ import annotations
@@ -33,14 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import scratch
+from loomline.llm.common import cut, scratch
 from loomline.llm.tokens import encoder, release, slices
 
 MASK_DELTA = 0xA282EAD8
 HEAD, TAIL, LEAD = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
 END = b"\n"
-#: Bytes of text whose frames make a file; ids take about half of that. A file is read as a whole.
-FILE_BYTES = 64 << 20
+#: Bytes of text whose frames make a file, but for its last document; ids take about half of that. A file is read as a whole.
+FILE_BYTES = 32 << 20
+#: What a frame has besides its ids.
+FRAME_BYTES = HEAD.size + LEAD.size + TAIL.size + len(END)
 #: Where null ids stand in the order.
 NO_ID = -(1 << 63)
 INDEX_SCHEMA = "file string, row long, doc_id long, position long, length long, start_in_file long, n_tokens long, ids_crc32 long"
@@ -90,13 +93,35 @@ def read_frame(data: bytes, at: int = 0) -> tuple[int, bytes]:
     return HEAD.size + size + TAIL.size + len(END), payload
 
 
-def file_bounds(docs: DataFrame) -> list[int]:
-    """Ids that cut the documents into parts of about equal numbers, one part for FILE_BYTES of text or for each shuffle partition."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
-    shares = [i / parts for i in range(1, parts)]
-    # One number per file.
-    return docs.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(NO_ID)), shares, 10 * parts)).first()[0] or [] if shares else []
+def file_bounds(docs: DataFrame, file_bytes: int) -> list[int]:
+    """Ids that end a file: each file is of ``file_bytes`` of text, or less so that every shuffle partition has one, and of its last document's.
+
+    Ids and sizes alone are put in order, in ranges; the ranges' sums, one a partition, come to
+    the driver, and then each range tells at which ids the running sum passes the end of a file. An id
+    that passes several ends is given for each. One number a file is all that is kept.
+    """
+    ids = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), (F.coalesce(F.octet_length("text"), F.lit(0)) + FRAME_BYTES).cast("long").alias("n"))
+    # An id that many rows have is one row here; the checkpoint fixes what is in which range.
+    ranges = cut(cut(ids.groupBy("id").agg(F.sum("n").alias("n"))).repartitionByRange("id").sortWithinPartitions("id"))
+
+    def sums(batches):
+        total = sum(int(b.column("n").to_numpy().sum()) for b in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total], pa.int64())], ["part", "n"])
+
+    found = sorted(map(tuple, ranges.mapInArrow(sums, "part long, n long").collect()))
+    total = sum(n for _, n in found)
+    size = max(1, min(file_bytes, -(-total // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    before = dict(zip([p for p, _ in found], np.cumsum([0] + [n for _, n in found])[:-1].tolist(), strict=True))
+
+    def ends(batches):
+        at = before[TaskContext.get().partitionId()]
+        for batch in batches:
+            after = at + np.cumsum(batch.column("n").to_numpy())
+            passed = np.diff(after // size, prepend=at // size)
+            at = int(after[-1]) if len(after) else at
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy(), passed))], ["id"])
+
+    return sorted(r["id"] for r in ranges.mapInArrow(ends, "id long").collect())
 
 
 def part_of(keys: np.ndarray, bounds: np.ndarray, turn: int) -> np.ndarray:
@@ -105,7 +130,7 @@ def part_of(keys: np.ndarray, bounds: np.ndarray, turn: int) -> np.ndarray:
     return low + np.where(high - low > 1, (turn + np.arange(len(keys))) % (high - low + 1), 0)
 
 
-def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1) -> None:
+def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, file_bytes: int | None = None) -> None:
     """Encode every whole text, append ``end_id``, and write frames in ascending doc_id order.
 
     Null ids come first. Rows of one id stand in the order of their frames, or, if they
@@ -113,7 +138,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     alone. Columns other than doc_id and text are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    bounds = file_bounds(rows)
+    bounds = file_bounds(rows, file_bytes or FILE_BYTES)
     shared = docs.sparkSession.sparkContext.broadcast(np.array(bounds, np.int64))
 
     def encode(batches):
@@ -194,9 +219,9 @@ def read_shuffled(spark: SparkSession, path: str, index: DataFrame, seed: int =
     return found.repartition(deal).sortWithinPartitions(deal).drop("position")
 
 
-def encode_to_records(docs: DataFrame, tokenizer_path: str, end_id: int = 1, path: str | None = None) -> tuple[str, DataFrame]:
+def encode_to_records(docs: DataFrame, tokenizer_path: str, end_id: int = 1, path: str | None = None, file_bytes: int | None = None) -> tuple[str, DataFrame]:
     """Write records and index, and return (records path, index with global starts)."""
     spark = docs.sparkSession
     path = path or scratch(spark, "records")
-    write_records(docs, path, tokenizer_path, end_id)
+    write_records(docs, path, tokenizer_path, end_id, file_bytes)
     return path, write_index(spark, path, f"{path}-index")

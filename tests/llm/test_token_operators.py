@@ -106,6 +106,22 @@ def test_parts_of_keys():
     assert got.tolist() == [0, 0, 1, 4, 1, 2, 3, 4, 4, 5] and records.part_of(np.array([4, 7]), np.zeros(0, np.int64), 3).tolist() == [0, 0]
 
 
+def test_files_are_bounded_by_bytes(spark):
+    """Long documents at the end of the order, one longer than a file, and an id with a third of all rows."""
+    size = 100_000
+    rows = [(i, "w " * 50) for i in range(900)] + [(900 + i, "long " * 20_000) for i in range(10)] + [(950, "huge " * 80_000), (None, "x")] + [(400, "same " * 100)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, index = records.encode_to_records(docs, WORD, file_bytes=size)
+    text_bytes = {d: len(t) for d, t in rows}
+    files = defaultdict(list)
+    for r in index.collect():
+        files[r.file].append(text_bytes[r.doc_id])
+    assert sum(map(len, files.values())) == len(rows)
+    assert max(sum(x) - max(x) for x in files.values()) <= 1.2 * size
+    order = [r.doc_id for r in index.orderBy("start").collect()]
+    assert order == sorted(order, key=lambda d: (d is not None, d or 0))
+
+
 @given(st.binary(max_size=60), st.integers(0, 200))
 @settings(deadline=None)
 def test_a_changed_byte_is_noticed(payload, where):
