@@ -1,7 +1,11 @@
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
@@ -58,7 +62,39 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert [r for r in docs.select(F.max("length")).first()][0] <= 4096
 
 
+def test_columns_whose_names_clash_keep_their_values(spark, tmp_path):
+    rows, labels = corpus()
+    clashing = ["size", "n_words", "kept", "toxicity", "toxic_spans", "target", "copies", "source_size", "_hash", "_bin", "_copy", "_rank", "_rest", "_q", "_stays", "quality_score", "label", "node", "odd `name`-1", "c0"]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in clashing})
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), docs.schema)
+        assert docs.columns == columns and docs.count()
+        for r in docs.collect():
+            assert [r[c] for c in clashing] == [f"{c}:{r.doc_id}" for c in clashing]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, spark.createDataFrame([], SCHEMA), str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("absent", ["loomline.llm", "xxhash", "public_tokenizers", "corpus_pipeline"])
+def test_other_queries_are_there_without_what_the_operators_need(absent):
+    """In a process of its own, in which a module cannot be imported."""
+    code = f"""import sys
+sys.modules[{absent!r}] = None
+import __spark_entry__ as e
+print(len(e.queries()), "pipeline" in e.queries(), sum(n.startswith("op") for n in e.queries()), len(e.oracle_sql()))"""
+    folder = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    n, pipeline, operators, oracles = subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True, check=True).stdout.split()
+    assert int(n) >= 40 and pipeline == "False" and int(oracles) >= 40 and (int(operators) == 0) == (absent != "corpus_pipeline")
+
+
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
