@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from loomline.llm.common import cut, word_count
 
-#: Within a group of documents alike in source and size, ranks are taken in so many salted bins.
-BINS = 64
+#: Within a group of documents alike in source and size, ranks are taken in so many salted bins, or more, of about so many rows at most.
+BINS, BIN_ROWS = 64, 16_384
+#: Steps that make up for what is missing of a target.
+FILLS = 8
 ITERATIONS, TOLERANCE = 40, 1e-7
 
 
@@ -89,29 +91,34 @@ def copies_per_group(hist: DataFrame, sources: DataFrame, multipliers: DataFrame
     """(r, size, n, copies): whole copies of all documents of a source and size together.
 
     Running sums of rates in descending size are rounded down, which never takes more
-    than the target. What is then missing is made up greedily, each time by the largest
-    size that still fits and has room, so less than the smallest such size stays missing.
-    The greedy pass walks a source's distinct sizes, not its documents.
+    than the target and leaves less than the largest size missing. That is made up, FILLS times, by
+    the largest size that fits and has room, which halves what is missing, or comes far nearer
+    where sizes are many, or uses a size up. All of it is windows over a source's distinct sizes, one row each.
     """
     w = hist.join(sources.select("r", "mean", "target"), "r").join(multipliers, "r").withColumn("w", rate(float(cap)))
-    running = F.sum(F.col("n") * F.col("w")).over(Window.partitionBy("r").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    floors = w.withColumn("_upto", F.floor(running + 1e-6))
-    before = F.lag("_upto", 1, 0).over(Window.partitionBy("r").orderBy(F.col("size").desc()))
-    most = F.col("n") * cap
-    base = floors.withColumn("_base", F.least(F.col("_upto") - before, most))
-    missing = (F.max("target") - F.sum(F.col("_base") * F.col("size"))).cast("long")
-    room = F.sort_array(F.collect_list(F.when((F.col("size") > 0) & (F.col("_base") < most), F.struct("size", (most - F.col("_base")).alias("room")))), asc=False)
-    per_source = base.groupBy("r").agg(missing.alias("_missing"), room.alias("_room"))
-    start = F.struct(F.col("_missing").alias("left"), F.expr("cast(array() as array<struct<size:bigint,more:bigint>>)").alias("added"))
-
-    def take(state: Column, x: Column) -> Column:
-        more = F.greatest(F.least(F.floor(state["left"] / x["size"]), x["room"]), F.lit(0))
-        added = F.when(more > 0, F.concat(state["added"], F.array(F.struct(x["size"].alias("size"), more.cast("long").alias("more"))))).otherwise(state["added"])
-        return F.struct((state["left"] - more * x["size"]).cast("long").alias("left"), added.alias("added"))
-
-    added = per_source.select("r", F.explode(F.aggregate("_room", start, take)["added"]).alias("_a")).select("r", F.col("_a.size").alias("size"), F.col("_a.more").alias("_more"))
-    out = base.join(added, ["r", "size"], "left")
-    return out.select("r", "size", "n", (F.col("_base") + F.coalesce("_more", F.lit(0))).cast("long").alias("copies"))
+    down = Window.partitionBy("r").orderBy(F.col("size").desc())
+    whole = Window.partitionBy("r")
+    floors = w.withColumn("_upto", F.floor(F.sum(F.col("n") * F.col("w")).over(down.rowsBetween(Window.unboundedPreceding, 0)) + 1e-6))
+    filled = floors.withColumn("copies", F.least(F.col("_upto") - F.lag("_upto", 1, 0).over(down), F.col("n") * cap))
+
+    for _ in range(FILLS):
+        left = (F.max("target").over(whole) - F.sum(F.col("copies") * F.col("size")).over(whole)).cast("long")
+        filled = filled.withColumns({"_left": left, "_room": F.when(F.col("size") > 0, F.col("n") * cap - F.col("copies")).otherwise(0)})
+        filled = filled.withColumn("_largest", F.max(F.when((F.col("_room") > 0) & (F.col("size") <= F.col("_left")), F.col("size"))).over(whole))
+        more = F.least(F.floor(F.col("_left") / F.nullif("size", F.lit(0))), F.col("_room"))
+        filled = filled.withColumn("copies", F.col("copies") + F.when(F.col("size") == F.col("_largest"), more).otherwise(0))
+    return filled.select("r", "size", "n", F.col("copies").cast("long").alias("copies"))
+
+
+def rank_bins(sized: DataFrame, hist: DataFrame) -> DataFrame:
+    """The rows with ``_hash`` and ``_bin``: a group alike in source and size is ranked in BINS bins, one of over BIN_ROWS rows a bin in as many as it needs."""
+    hashed = sized.withColumn("_hash", F.xxhash64("doc_id"))
+    large = hist.where(F.col("n") > BINS * BIN_ROWS).select(F.col("source").alias("_s"), F.col("size").alias("_z"), F.ceil(F.col("n") / BIN_ROWS).alias("_bins"))
+    if large.isEmpty():
+        return hashed.withColumn("_bin", F.pmod("_hash", F.lit(BINS)))
+    # There is at most one such group for BINS * BIN_ROWS documents.
+    met = hashed.join(F.broadcast(large), hashed["source"].eqNullSafe(large["_s"]) & (hashed["size"] == large["_z"]), "left")
+    return met.withColumn("_bin", F.pmod("_hash", F.coalesce("_bins", F.lit(BINS)))).drop("_s", "_z", "_bins")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
@@ -130,7 +137,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) ->
     ranked_hist = cut(hist.join(sources.select("source", "r"), same_source).select("r", "size", "n"))
     per_group = copies_per_group(ranked_hist, sources, solve(ranked_hist, sources, float(cap)), cap)
     plan = cut(per_group.join(sources, "r").select(F.col("source").alias("_source"), F.col("size").alias("_size"), "n", F.col("copies").alias("_copies"), "source_size", "target"))
-    placed = sized.drop("source_size", "target", "copies", "_bin", "_rank").withColumn("_hash", F.xxhash64("doc_id")).withColumn("_bin", F.pmod("_hash", F.lit(BINS)))
+    placed = rank_bins(sized.drop("source_size", "target", "copies", "_bin", "_rank"), hist)
     in_bin = placed.withColumn("_rank", F.row_number().over(Window.partitionBy("source", "size", "_bin").orderBy("_hash", "doc_id")))
     bins = placed.groupBy("source", "size", "_bin").agg(F.count(F.lit(1)).alias("_rows"))
     upto = F.sum("_rows").over(Window.partitionBy("source", "size").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
