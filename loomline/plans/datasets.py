@@ -17,6 +17,16 @@ STINT_FRONT = [
     "season", "contest_id", "game_date", "game_stint_num", "matchup_key", "home", "away", "home_lineup_key", "away_lineup_key",
     "home_lineup", "away_lineup", "period", "start_seconds", "end_seconds", "duration_seconds",
 ]
+#: What a stint is, for segments in batch and on a stream.
+STINT_RUNS = {
+    "change": ["home_lineup", "away_lineup", "period"],
+    "segment": "game_stint_num",
+    "firsts": {c: c for c in ("game_date", "home", "away", "period", "home_lineup", "away_lineup", "_hl", "_al")} | {"start_seconds": "game_seconds"},
+    "lasts": {"end_seconds": "game_seconds", "end_home_score": "home_score", "end_away_score": "away_score"},
+    "distincts": {"n_possessions": "poss_num"},
+    "count": "n_events",
+    "starts": {"start_home_score": "end_home_score", "start_away_score": "end_away_score"},
+}
 NEEDED_IN_A_GAME = ["period", "game_seconds", "home_score", "away_score", "home", "away"]
 
 
@@ -96,22 +106,19 @@ def matchup_stints(games: DataFrame, season: int, hot_rows: int | None = None) -
     for c in ("game_date", "poss_num", *NEEDED_IN_A_GAME, *ON_COURT):
         if c not in names:
             events = events.withColumn(c, F.lit(None).cast(schemas.EVENT[c]))
+    runs = gaps_and_islands(on_court(events), partition=["contest_id"], order=["_pos"], **STINT_RUNS, hot_rows=hot_rows)
+    return keyed_stints(runs, season).orderBy("contest_id", "game_stint_num")
+
+
+def on_court(events: DataFrame) -> DataFrame:
+    """Events with all ten players, and both lineups as sorted arrays and as text."""
     five = lambda side: F.array_sort(F.array(*[f"{side}_{i}" for i in range(1, 6)]))
     usable = events.dropna(how="any", subset=ON_COURT).withColumns({"_hl": five("home"), "_al": five("away")})
-    lined = usable.withColumns({"home_lineup": F.array_join("_hl", "|"), "away_lineup": F.array_join("_al", "|")})
-    runs = gaps_and_islands(
-        lined,
-        partition=["contest_id"],
-        order=["_pos"],
-        change=["home_lineup", "away_lineup", "period"],
-        segment="game_stint_num",
-        firsts={c: c for c in ("game_date", "home", "away", "period", "home_lineup", "away_lineup", "_hl", "_al")} | {"start_seconds": "game_seconds"},
-        lasts={"end_seconds": "game_seconds", "end_home_score": "home_score", "end_away_score": "away_score"},
-        distincts={"n_possessions": "poss_num"},
-        count="n_events",
-        starts={"start_home_score": "end_home_score", "start_away_score": "end_away_score"},
-        hot_rows=hot_rows,
-    )
+    return usable.withColumns({"home_lineup": F.array_join("_hl", "|"), "away_lineup": F.array_join("_al", "|")})
+
+
+def keyed_stints(runs: DataFrame, season: int) -> DataFrame:
+    """Runs as stints: points, duration, keys of both lineups and of the matchup, players as columns."""
     runs = runs.withColumns({
         "home_pts": F.col("end_home_score") - F.col("start_home_score"),
         "away_pts": F.col("end_away_score") - F.col("start_away_score"),
@@ -120,4 +127,4 @@ def matchup_stints(games: DataFrame, season: int, hot_rows: int | None = None) -
     keyed = text.add_lineup_keys(runs, {"home_lineup_key": ("home", "_hl"), "away_lineup_key": ("away", "_al")})
     keyed = keyed.withColumn("matchup_key", F.concat("home_lineup_key", F.lit("_"), "away_lineup_key"))
     wide = keyed.select("*", *nested.padded(F.col("_hl"), "home_"), *nested.padded(F.col("_al"), "away_")).drop("_hl", "_al")
-    return reorder(tagged(wide, season), STINT_FRONT).orderBy("contest_id", "game_stint_num")
+    return reorder(tagged(wide, season), STINT_FRONT)
