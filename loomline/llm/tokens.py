@@ -20,9 +20,9 @@ WORD_END = "</w>"
 LATIN_PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 NOT_LATIN = re.compile(r"[^!-~À-ÖØ-öø-ÿ]")
 #: Words and pieces a memo holds before it starts anew; some 200 bytes each.
-MEMO_WORDS, MEMO_PIECES = 700_000, 300_000
+MEMO_WORDS, MEMO_PIECES = 500_000, 300_000
 #: Bytes of text that are encoded at a time; what this takes meanwhile is many times as much.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 4_000_000
 
 
 def load_tokenizer(path: str):
