@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from loomline import publish, schemas, sinks
-from loomline.plans import coverage, datasets
+from loomline.plans import coverage, datasets, presence
 from loomline.registry import CATALOG, dataset, game_level
 from loomline.sources import games as source
 from loomline.sources import http
@@ -131,8 +131,10 @@ def build_all(inputs: Season, base: str, **kw) -> dict[str, int]:
 def build_masters(spark: SparkSession, base: str, root: str, league: str) -> list[str]:
     """Write the coverage index, the games present, and the coverage per season."""
     index = source.read_index(spark, source.resolve_root(root), league)
-    committed = {n: df for n in game_level() if (df := source.read_committed(spark, base, league, n, None if n == "schedule" else ["contest_id"])) is not None}
-    full = coverage.build_index(index, committed).persist()
+    numbers, bitmaps, read = presence.renew(spark, coverage.denominator(index), base, league, game_level())
+    log.info("seasons read for their presence: %s", read)
+    schedule = source.read_committed(spark, base, league, "schedule")
+    full = coverage.build_index(index, {} if schedule is None else {"schedule": schedule}, (numbers, bitmaps)).persist()
     try:
         log.info("flags: %s", coverage.flag_totals(full).first())
         return sinks.write_masters(full, coverage.present_games(full), coverage.coverage(full), base, league)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.text import lenient_date
-from loomline.operators.relational import any_flag, ensure_flags, keep_first, presence_flags, reorder, require_column, share
+from loomline.operators.bitmaps import bitmap_flags, bitmaps_of, number_keys
+from loomline.operators.relational import any_flag, ensure_flags, keep_first, reorder, require_column, share
 from loomline.registry import flag_columns
 
 DETAIL = ["game_date", "home", "away", "home_score", "away_score"]
@@ -21,11 +22,16 @@ def denominator(index: DataFrame | None) -> DataFrame:
 
 
 def stamp(index: DataFrame, committed: dict[str, DataFrame]) -> DataFrame:
-    """A flag per dataset: whether any committed season of it holds the contest."""
+    """A flag per dataset: whether any committed season of it holds the contest; each dataset's ids are read as a bitmap over the index's contests."""
     for name, df in committed.items():
         require_column(df, "contest_id", "string", name)
-    flags = {f"in_{name}": df.select("contest_id") for name, df in committed.items()}
-    return ensure_flags(presence_flags(index, "contest_id", flags), flag_columns())
+    numbers = number_keys(index, "contest_id")
+    return stamp_from(index, numbers, {name: bitmaps_of(df, numbers, "contest_id") for name, df in committed.items()})
+
+
+def stamp_from(index: DataFrame, numbers: DataFrame, bitmaps: dict[str, DataFrame]) -> DataFrame:
+    """The flags from bitmaps that are there already."""
+    return ensure_flags(bitmap_flags(index, numbers, "contest_id", {f"in_{name}": df for name, df in bitmaps.items()}), flag_columns())
 
 
 def add_detail(index: DataFrame, schedule: DataFrame | None) -> DataFrame:
@@ -39,9 +45,13 @@ def add_detail(index: DataFrame, schedule: DataFrame | None) -> DataFrame:
     return index.join(first, ["season", "contest_id"], "left")
 
 
-def build_index(index: DataFrame | None, committed: dict[str, DataFrame]) -> DataFrame:
-    """The full index with flags and detail, lead columns first and the rest in alphabetical order."""
-    full = add_detail(stamp(denominator(index), committed), committed.get("schedule"))
+def build_index(index: DataFrame | None, committed: dict[str, DataFrame], presence: tuple[DataFrame, dict[str, DataFrame]] | None = None) -> DataFrame:
+    """The full index with flags and detail, lead columns first and the rest in alphabetical order.
+
+    ``presence`` are numbers and bitmaps, if they are kept; then only the schedule of the committed tables is read.
+    """
+    contests = denominator(index)
+    full = add_detail(stamp(contests, committed) if presence is None else stamp_from(contests, *presence), committed.get("schedule"))
     return reorder(full, ["season", "contest_id"], rest_sorted=True).orderBy("season", "contest_id")
 
 
