@@ -39,6 +39,7 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--raw-root")
     w.add_argument("--crosswalk")
     w.add_argument("--repo", required=True)
+    w.add_argument("--parallel", type=int, default=1, help="seasons at a time")
     m = sub.add_parser("master", help="write the coverage tables")
     m.add_argument("--base", default=".")
     m.add_argument("--raw-root")
@@ -85,25 +86,29 @@ def run_check(args, lister=publish.list_assets) -> int:
 
 
 def run_sweep(args, lister=publish.list_assets, build_unit=None) -> int:
-    """Every unit that is not live, season by season; a failed unit does not stop the others. 1 if any failed, 2 if the live ones cannot be told."""
+    """Every unit that is not live, newest season first; a season's games are parsed once for all its datasets.
+
+    A failed unit does not stop the others. 1 if any failed, 2 if the live ones cannot be told.
+    """
     try:
         live = {(name, s) for name, spec in CATALOG.items() for s in publish.complete_seasons(lister(spec.stem(), args.repo) or set(), spec.stem())}
     except publish.ListingUnavailable as e:
         log.error("cannot tell what is published: %s", e)
         return 2
-    units = [(name, season) for season in range(args.last, args.first - 1, -1) for name in CATALOG]
-    failed = 0
-    for name, season in publish.pending_units(units, live):
-        try:
-            (build_unit or sweep_unit)(args, name, season)
-        except Exception:  # noqa: BLE001 -- whatever ails one unit, the sweep goes on and tells
-            log.exception("%s %s failed", name, season)
-            failed += 1
-    return 1 if failed else 0
+    from loomline.plans import sweep
 
+    units = publish.pending_units([(name, season) for season in range(args.last, args.first - 1, -1) for name in CATALOG], live)
+    seasons = sweep.by_season(units)
+    if build_unit:
+        return 1 if sweep.run_units(seasons, lambda name, season: build_unit(args, name, season), args.parallel) else 0
+    from loomline.plans.build import Season, build_season
+    from loomline.session import build_session
 
-def sweep_unit(args, name: str, season: int) -> None:
-    run_build(argparse.Namespace(**{**vars(args), "dataset": name, "season": season, "publish": True, "dry_run": False}))
+    spark = build_session(**{"spark.scheduler.mode": "FAIR"})
+    crosswalk = spark.read.parquet(args.crosswalk) if args.crosswalk else None
+    inputs = {season: Season(spark, season, args.raw_root, args.league, crosswalk) for season in seasons}
+    build = lambda name, season: build_season(inputs[season], name, args.base, release=True, repo=args.repo)
+    return 1 if sweep.run_units(seasons, build, args.parallel, lambda season: inputs[season].release()) else 0
 
 
 def run_master(args) -> int:
