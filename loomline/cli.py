@@ -47,7 +47,7 @@ def parser() -> argparse.ArgumentParser:
     n.add_argument("--season", action="append")
     n.add_argument("--limit", type=int, default=0)
     n.add_argument("--out", required=True)
-    n.add_argument("--raw-root", required=True)
+    n.add_argument("--raw-root", help="else the environment's, else a sibling folder that ends in -raw")
     return p
 
 

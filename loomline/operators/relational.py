@@ -27,6 +27,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_first", F.row_number().over(over)).where("_first = 1").drop("_first")
 
 
+def first_per_group(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
+    """The first n rows of each key in an explicit order; Spark limits each task's rows of a key before they are shuffled."""
+    over = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_place", F.row_number().over(over)).where(F.col("_place") <= n).drop("_place")
+
+
 def relaxed_union(frames: list[DataFrame]) -> DataFrame:
     """Union by name: absent columns are null, and where types differ and are not both numbers, all become strings."""
     kinds: dict[str, set[str]] = {}

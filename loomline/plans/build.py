@@ -15,6 +15,8 @@ from loomline.sources import http
 
 log = logging.getLogger("loomline")
 CSV_ORDER = {"team_ids": ["team", "id"], "team_rosters": ["team", "name"], "rosters": ["team", "player"], "matchup_stints": ["contest_id", "game_stint_num"]}
+#: The family that a derived dataset is made of.
+READS = {"schedule": "pbp", "rosters": "player_box", "matchup_stints": "pbp"}
 
 
 class Season:
@@ -87,9 +89,12 @@ def build(inputs: Season, name: str) -> DataFrame:
         return datasets.team_rosters(source.read_roster_files(spark, inputs.root, inputs.league, season), season)
     if inputs.payloads is None:
         return spark.createDataFrame([], {"schedule": schemas.SCHEDULE, "rosters": schemas.ROSTERS}.get(name, schemas.EMPTY_FAMILY))
+    reads = spec.family or READS[name]
+    if refused := inputs.payloads.refused[reads]:
+        log.warning("%s %s: %d games failed to extract", name, season, refused)
     if spec.family:
-        return datasets.family(inputs.payloads.family(spec.family), spec.family, season)
-    make, reads = {"schedule": (datasets.schedule, "pbp"), "rosters": (datasets.rosters, "player_box"), "matchup_stints": (datasets.matchup_stints, "pbp")}[name]
+        return datasets.family(inputs.payloads.family(reads), reads, season)
+    make = {"schedule": datasets.schedule, "rosters": datasets.rosters, "matchup_stints": datasets.matchup_stints}[name]
     return make(inputs.payloads.family(reads), season)
 
 

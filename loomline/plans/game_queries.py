@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline import schemas
-from loomline.functions import text
-from loomline.plans import coverage, datasets, name_changes
+from loomline.functions import nested, text
+from loomline.operators import relational
+from loomline.plans import coverage, datasets, name_changes, sweep
+from loomline.sources import games as games_source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,6 +177,52 @@ def season_lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("contest_id", "season", "lineup_key", "stint_num", "team", "opponent", "start_min", "end_min", "player_1", "player_5", "players_in", "players_out", "start_scored", "poss", "fga", "fgm", "tp_ast", "orb", "stl", "opp_pts", "opp_ast")
 
 
+#: Where each column of a flat lineup comes from in the nested one, and its value by an event's columns.
+LINEUP_VALUES = {
+    "date": "game_date", "location_type": "CASE event_id % 3 WHEN 0 THEN 'home' WHEN 1 THEN 'away' END", "start_min": "CAST(event_id % 40 AS DOUBLE)", "end_min": "CAST(event_id % 40 + 2 AS DOUBLE)",
+    "duration_mins": "CAST(2 AS DOUBLE)", "team.team.name": "home", "team.year.value": "CAST(2020 + event_id % 5 AS BIGINT)", "opponent.team.name": "away", "lineup_id.value": "CASE WHEN event_id % 7 > 0 THEN 'L' || CAST(event_id AS VARCHAR(20)) END",
+    "score_info.start.scored": "home_score", "score_info.start.allowed": "away_score", "score_info.end.scored": "home_score + 2", "score_info.end.allowed": "away_score + 1",
+    "score_info.start_diff": "home_score - away_score", "score_info.end_diff": "CAST(event_id % 23 AS BIGINT) - 11", "player_count_error": "CASE WHEN event_id % 4 = 0 THEN CAST(1 AS BIGINT) END",
+}
+SIDE_VALUES = {prefix: {path: f"CAST((event_id * {a + k} + {k}) % {m + k % 7} AS BIGINT)" for k, path in enumerate(nested.STATS.values())} for prefix, a, m in (("team_stats", 3, 5), ("opponent_stats", 4, 6))}
+FLAT_LINEUP = {
+    "date": "date", "location_type": "location_type", "team": "team.team.name", "team_year": "team.year.value", "opponent": "opponent.team.name", "lineup_id": "lineup_id.value", "start_min": "start_min", "end_min": "end_min", "duration_mins": "duration_mins",
+    "start_scored": "score_info.start.scored", "start_allowed": "score_info.start.allowed", "end_scored": "score_info.end.scored", "end_allowed": "score_info.end.allowed", "start_diff": "score_info.start_diff", "end_diff": "score_info.end_diff", "player_count_error": "player_count_error",
+}
+
+
+def nested_sql(values: dict[str, str]) -> str:
+    """A named_struct of dotted paths and their expressions."""
+    heads: dict[str, dict[str, str]] = {}
+    for path, value in values.items():
+        head, _, rest = path.partition(".")
+        heads.setdefault(head, {})[rest] = value
+    return "named_struct(" + ", ".join(f"'{head}', {inner[''] if '' in inner else nested_sql(inner)}" for head, inner in heads.items()) + ")"
+
+
+WIDE = {
+    **{name: LINEUP_VALUES[path] for name, path in FLAT_LINEUP.items()},
+    **{name: SIDE_VALUES["team_stats"][path] for name, path in nested.STATS.items()},
+    **{f"opp_{name}": f"CASE WHEN event_id % 2 = 0 THEN {SIDE_VALUES['opponent_stats'][path]} END" for name, path in nested.STATS.items()},
+    **{f"player_{i}": f"names[{i}]" for i in range(1, 6)},
+    "players_in": "CASE WHEN event_id % 6 < 3 THEN concat_ws(' | ', home_2, home_4) END", "players_out": "home_5",
+}
+
+
+@query(f"""WITH {EV}, rows AS (SELECT *, {NAMES} AS names FROM ev WHERE event_id % 5 = 0)
+SELECT contest_id, CAST({SEASON} AS BIGINT) AS season, {key_sql("home", "names")} AS lineup_key, row_number() OVER (PARTITION BY contest_id, home ORDER BY event_id % 40, pos) AS stint_num, {", ".join(f"{e} AS {n}" for n, e in WIDE.items())} FROM rows""")
+def season_lineups_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 77 columns of the lineups dataset, from stints of which every statistic is set."""
+    rows = table(spark, sf_dir, "events").selectExpr("ts", "user_id", *[f"{e} AS {n}" for n, e in EVENT.items()]).where("event_id % 5 = 0")
+    person = lambda c: f"named_struct('id', named_struct('name', {c}))"
+    stint = nested_sql(LINEUP_VALUES).removesuffix(")") + f""", 'players', array({", ".join(person(f"home_{i}") for i in range(1, 6))}),
+      'players_in', CASE WHEN event_id % 6 < 3 THEN array({person("home_2")}, {person("home_4")}) END, 'players_out', array({person("''")}, {person("home_5")}),
+      'team_stats', {nested_sql(SIDE_VALUES["team_stats"])}, 'opponent_stats', CASE WHEN event_id % 2 = 0 THEN {nested_sql(SIDE_VALUES["opponent_stats"])} END)"""
+    listed = rows.groupBy("contest_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", F.expr(f"to_json({stint})").alias("lineup")))).alias("r"))
+    games = listed.select("contest_id", F.col("contest_id").alias("_cid"), F.transform("r", lambda x: F.from_json(x["lineup"], schemas.LINEUP)).alias("lineups"))
+    return datasets.family(games, "lineups", SEASON)
+
+
 def coverage_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The coverage index of contests that are orders, with committed datasets drawn from lines and events."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
@@ -246,3 +294,61 @@ def season_team_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "nation").join(players, F.col("c_nationkey") == F.col("n_nationkey"))
     files = files.select(F.when(F.col("n_nationkey") % 4 > 0, F.col("n_nationkey").cast("string")).alias("team_id"), F.col("n_name").alias("team"), "players")
     return datasets.team_rosters(files, SEASON).select("team_id", "team", "name", "player_id", "season")
+
+
+@query("SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS contest_id FROM orders WHERE year(o_orderdate) = 1996")
+def season_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contests of a season by the index, in which an order is a contest twice."""
+    index = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("contest_id"), F.year("o_orderdate").cast("string").alias("season"))
+    return games_source.season_ids(index.union(index), 1996)
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS contest_id, false AS found FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber < 3)
+  UNION ALL SELECT DISTINCT CAST(l_orderkey AS VARCHAR), true FROM lineitem WHERE l_linenumber < 3 AND l_orderkey IN (SELECT o_orderkey FROM orders)""")
+def index_and_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contests of the index with and without a payload file; an order with a line of a low number has one."""
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("contest_id"))
+    files = table(spark, sf_dir, "lineitem").where("l_linenumber < 3").select(F.col("l_orderkey").cast("string").alias("_cid")).distinct()
+    found, missing = games_source.split_by_presence(files, ids)
+    return found.select(F.col("_cid").alias("contest_id"), F.lit(True).alias("found")).unionByName(missing.select("contest_id", F.lit(False).alias("found")))
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS contest_id, CAST(2024 AS BIGINT) AS season, event_id, CASE WHEN user_id % 2 = 0 THEN CAST(event_id % 9 AS VARCHAR) ELSE 'L' || event_id % 8 END AS label,
+  CASE WHEN user_id % 5 = 0 THEN event_id % 7 END AS extra, CASE WHEN event_id % 6 > 0 THEN event_id % 4 END AS period, round(CASE WHEN event_id % 3 = 0 THEN event_id ELSE event_id + 0.5 END, 3)::DOUBLE AS clock FROM events WHERE user_id % 10 <> 3""")
+def payload_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of payload texts whose columns differ in presence and type from game to game; a tenth of the texts are cut off."""
+    event = lambda label, more="": f"to_json(named_struct('event_id', event_id, 'label', {label}, 'period', CASE WHEN event_id % 6 > 0 THEN CAST(event_id % 4 AS STRING) ELSE 'soon' END{more}))"
+    number, word, extra = "event_id % 9", "'L' || event_id % 8", ", 'extra', event_id % 7"
+    text_of = f"CASE WHEN user_id % 10 = 0 THEN {event(number, extra)} WHEN user_id % 5 = 0 THEN {event(word, extra)} WHEN user_id % 2 = 0 THEN {event(number)} ELSE {event(word)} END"
+    # Whole and broken numbers in one column.
+    clock = "concat(', \"clock\": ', event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE '.5' END, '}')"
+    rows = table(spark, sf_dir, "events").selectExpr("user_id", "ts", f"concat(regexp_replace({text_of}, '[}}]$', ''), {clock}) AS e")
+    listed = rows.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "e"))), lambda x: x["e"]), ",").alias("e"))
+    whole = F.concat(F.lit('{"pbp": ['), "e", F.when(F.col("user_id") % 10 == 3, F.lit("")).otherwise(F.lit("]}")))
+    payloads = games_source.Payloads(listed.select(F.col("user_id").cast("string").alias("_cid"), whole.alias("payload")))
+    return datasets.family(payloads.games("pbp"), "pbp", SEASON).select("contest_id", "season", "event_id", "label", "extra", "period", "clock")
+
+
+@query(f"""WITH lineups AS ({ORACLES["season_lineups"]}), stints AS ({ORACLES["season_matchup_stints"]})
+SELECT l.contest_id, l.lineup_key, count(*) AS n_pairs, count(DISTINCT s.game_stint_num) AS n_stints, CAST(sum(s.n_events) AS BIGINT) AS n_events FROM lineups l JOIN stints s ON s.contest_id = l.contest_id AND s.home_lineup_key = l.lineup_key GROUP BY ALL""")
+def lineups_of_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineups met by stints of the same five in the same contest, by the key that both datasets carry."""
+    lineups, stints = season_lineups(spark, sf_dir), season_matchup_stints(spark, sf_dir)
+    met = lineups.join(stints, (lineups["contest_id"] == stints["contest_id"]) & (lineups["lineup_key"] == stints["home_lineup_key"]))
+    return met.groupBy(lineups["contest_id"], "lineup_key").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_distinct("game_stint_num").alias("n_stints"), F.sum("n_events").alias("n_events"))
+
+
+@query("""SELECT year(o_orderdate) AS season, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey DESC) <= 3""")
+def first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first files of each season, as a limited scan of page bundles takes them; an order is a file, the last ones first."""
+    files = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("long").alias("season"), "o_orderkey")
+    return relational.first_per_group(files, ["season"], [F.col("o_orderkey").desc()], 3)
+
+
+@query("""SELECT DISTINCT o_orderpriority AS dataset, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS season FROM orders
+  EXCEPT SELECT o_orderpriority, year(o_orderdate) * 100 + month(o_orderdate) FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 40 = 0""")
+def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of a sweep that are not live; a unit is a priority and a month of orders."""
+    season = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("long")
+    units = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dataset"), season.alias("season"), "o_orderstatus", "o_custkey")
+    return sweep.missing_units(units, units.where("o_orderstatus = 'F' and o_custkey % 40 = 0"))

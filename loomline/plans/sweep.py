@@ -16,7 +16,12 @@ POOL = "spark.scheduler.pool"
 def pending(spark: SparkSession, units: Iterable[tuple[str, int]], live: Iterable[tuple[str, int]]) -> DataFrame:
     """(dataset, season) of the units that are not live."""
     schema = "dataset string, season long"
-    return spark.createDataFrame(list(units), schema).join(spark.createDataFrame(list(live), schema), ["dataset", "season"], "left_anti")
+    return missing_units(spark.createDataFrame(list(units), schema), spark.createDataFrame(list(live), schema))
+
+
+def missing_units(units: DataFrame, live: DataFrame) -> DataFrame:
+    """Distinct (dataset, season) of one table that the other lacks."""
+    return units.select("dataset", "season").distinct().join(live.select("dataset", "season").distinct(), ["dataset", "season"], "left_anti")
 
 
 def by_season(units: Iterable[tuple[str, int]]) -> dict[int, list[str]]:

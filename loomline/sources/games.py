@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline import schemas
+from loomline.operators.relational import first_per_group
+from loomline.storage import is_local, local, store_for
 
 ROOT_ENV = "LOOMLINE_RAW_ROOT"
 FAMILIES = ("pbp", "lineups", "player_box", "team_box", "shots", "possessions")
@@ -78,7 +80,8 @@ def from_variants(described: str) -> T.DataType:
 class Payloads:
     """Payload texts, parsed once to variants that are kept in memory; families are cast from those when they are asked for.
 
-    One job parses, unites the schemas of all payloads, and counts those that are absent (null) or cannot be parsed.
+    One job parses, unites the schemas of all payloads, and counts those that are absent (null) or
+    cannot be parsed, and for each family those in which it is no list of objects (``refused``).
     Columns of all games are united and mixed types become text; columns the engine computes
     with are pinned, so a value of another kind is null. A payload is malformed if it is no JSON object.
     """
@@ -92,8 +95,11 @@ class Payloads:
         of = {n: F.try_variant_get("v", f"$.{n}", "variant") for n in FAMILIES}
         first = {n: F.schema_of_variant(F.try_variant_get("v", f"$.{n}[0]", "variant")).startswith("OBJECT<") for n in FAMILIES}
         described = [F.schema_of_variant_agg(F.when(first[n], of[n])).alias(n) for n in FAMILIES]
-        seen = self.variants.agg(*described, F.count_if("absent").alias("absent"), F.count_if(F.col("v").isNull()).alias("empty")).first()
+        # A family that is there but no list of objects cannot be taken apart.
+        odd = [F.count_if(F.when(first[n], False).otherwise(of[n].isNotNull() & ~F.is_variant_null(of[n]) & (F.schema_of_variant(of[n]) != "ARRAY<VOID>"))).alias(f"odd_{n}") for n in FAMILIES]
+        seen = self.variants.agg(*described, *odd, F.count_if("absent").alias("absent"), F.count_if(F.col("v").isNull()).alias("empty")).first()
         self.absent, self.failed, found = seen["absent"], seen["empty"] - seen["absent"], {n: seen[n] for n in FAMILIES if seen[n]}
+        self.refused = {n: seen[f"odd_{n}"] for n in FAMILIES}
         # A game whose list holds more than objects says nothing of the family's columns.
         mixed = [n for n, d in found.items() if not d.startswith("ARRAY<OBJECT<")]
         if mixed:
@@ -199,8 +205,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MANIFEST).option("header", True).csv(path)
 
 
-def bundle_tree(spark: SparkSession, root: str | None, tree: str) -> str:
-    """``root/tree`` if that exists, else the root itself; the root is the argument or the environment's."""
+def bundle_tree(spark: SparkSession, root: str | None, tree: str, beside: str = ".") -> str:
+    """``root/tree`` if that exists, else the root itself; the root is the argument or the environment's.
+
+    Without either, the first folder beside ``beside`` whose name ends in -raw and that holds the tree.
+    """
+    if not root and not os.environ.get(ROOT_ENV):
+        around = os.path.dirname(os.path.abspath(local(beside))) if is_local(beside) else os.path.dirname(beside.rstrip("/"))
+        found = [f"{around}/{name}/{tree}" for name in store_for(around, spark).names(around) if name.endswith("-raw") and path_exists(spark, f"{around}/{name}/{tree}")]
+        if found:
+            return found[0]
     root = resolve_root(root)
     return f"{root}/{tree}" if path_exists(spark, f"{root}/{tree}") else root
 
@@ -218,9 +232,4 @@ def read_bundles(spark: SparkSession, tree: str, seasons: list[str], limit: int
     read = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json.gz")
     parts = [read.json(f"{tree}/{s}").select(F.lit(s).alias("season"), F.col("_metadata.file_path").alias("file"), F.col("pages.box_score").alias("box_score"), is_corrupt("pages.box_score").alias("corrupt")) for s in seasons]
     out = reduce(lambda a, b: a.unionByName(b), parts)
-    if limit:
-        from pyspark.sql import Window
-
-        first = F.row_number().over(Window.partitionBy("season").orderBy("file")) <= limit
-        out = out.withColumn("_first", first).where("_first").drop("_first")
-    return out
+    return first_per_group(out, ["season"], ["file"], limit) if limit else out

@@ -130,6 +130,7 @@ def test_payloads_as_variants(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(body)
     payloads = source.Payloads(source.payload_texts(spark, str(tmp_path)))
     assert (payloads.absent, payloads.failed) == (0, 3)  # Spark does not list files without a byte
+    assert payloads.refused == {"pbp": 1, "lineups": 0, "player_box": 0, "team_box": 0, "shots": 0, "possessions": 0}
     got = {r["_cid"]: r for r in payloads.games().collect()}
     assert sorted(got) == ["1", "2", "3"] and [got[i].contest_id for i in "123"] == ["1", "2", "3"]
     kinds = {f.name: f.dataType for f in payloads.schema["pbp"].dataType.elementType}
@@ -141,3 +142,21 @@ def test_payloads_as_variants(spark, tmp_path):
     payloads.release()
     assert source.Payloads(spark.createDataFrame([("1", None)], "_cid string, payload string")).absent == 1
     assert source.Payloads(spark.createDataFrame([], "_cid string, payload string")).games().count() == 0
+
+
+def test_one_game_of_another_kind_leaves_a_family_its_columns(spark):
+    bodies = ['{"shots": [{"x": 1}, 5]}', '{"shots": [{"x": 2, "y": "a"}]}', '{"shots": [3]}', '{"shots": "none"}', '{"shots": []}', '{"shots": null}', "{}"]
+    payloads = source.Payloads(spark.createDataFrame(list(enumerate(bodies)), "_cid string, payload string"))
+    assert payloads.refused["shots"] == 2 and payloads.schema["shots"].dataType.elementType.names == ["x", "y"]
+    got = {r["_cid"]: r.shots for r in payloads.games("shots").collect()}
+    assert [tuple(s) for s in got["1"]] == [(2, "a")] and got["0"][0].x == 1 and got["3"] is None and got["4"] == [] and got["6"] is None
+
+
+def test_the_raw_tree_is_found_beside(spark, tmp_path, monkeypatch):
+    monkeypatch.delenv(source.ROOT_ENV, raising=False)
+    for name in ("a-raw/other", "b-raw/wbb/raw/2023", "data"):
+        (tmp_path / name).mkdir(parents=True)
+    assert source.bundle_tree(spark, None, "wbb/raw", f"{tmp_path}/data") == f"{tmp_path}/b-raw/wbb/raw"
+    assert source.bundle_tree(spark, f"{tmp_path}/b-raw", "wbb/raw") == f"{tmp_path}/b-raw/wbb/raw" and source.bundle_tree(spark, f"{tmp_path}/data", "wbb/raw") == f"{tmp_path}/data"
+    with pytest.raises(ValueError):
+        source.bundle_tree(spark, None, "wbb/none", f"{tmp_path}/data")
