@@ -38,6 +38,8 @@ SHARDS, SHARD_WORDS = 32, 100_000_000
 BLOCK_QUERIES, BLOCK_PAIRS = 8192, 2_000_000
 #: Queries are scored together, so many with so many (query, posting) pairs at most, or one alone.
 STEP_QUERIES, STEP_POSTINGS, STEP_EXACT = 256, 1_000_000, 2048
+#: Blocks are bounded by all terms' maxima before their postings are scored every so many chunks, and in those between while that skips such a part of the postings.
+PROBE, PAYS = 8, 0.25
 #: Single precision filters with so much to spare, absolute and as a part of the score.
 SLACK, SLACK_PART = 1e-3, 1e-4
 NO_ID = -(1 << 63)
@@ -178,7 +180,15 @@ class TopK:
         self.k, self.row = k, np.zeros(0, np.int64)
         self.score, self.doc = np.zeros(0), np.zeros(0, np.int64)
         self.least = np.full(queries, -np.inf)
-        self.postings = self.skipped = 0  # of rarer terms: met by queries, and skipped with their blocks
+        self.chunks = self.met = self.skipped = 0  # chunks seen; postings of rarer terms that queries met where blocks were bounded, and those skipped
+
+    def bounds(self) -> bool:
+        """Whether to bound the next chunk's blocks before their postings are scored: every PROBE chunks, and always while that skips enough."""
+        self.chunks += 1
+        if self.chunks % PROBE == 2:
+            self.met = self.skipped = 0
+            return True
+        return self.skipped > PAYS * self.met
 
     def add(self, row: np.ndarray, score: np.ndarray, doc: np.ndarray) -> None:
         row, score, doc = np.concatenate([self.row, row]), np.concatenate([self.score, score]), np.concatenate([self.doc, doc])
@@ -234,24 +244,30 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
     q_row, q_term = q_row[by_row], np.repeat(np.arange(len(term), dtype=np.int32), q_counts)[by_row]
     del by_row
     weight = block.idf[term]
+    bounding = best.bounds()
     for a, b, lo, hi in steps(q_row, t_sizes[q_term], len(block.ids)):
         rows, terms = q_row[lo:hi].astype(np.int64) - a, q_term[lo:hi]
         floor = best.least[a:b] * (1 - SLACK_PART) - SLACK
         dense = (block.has_common[a:b] * block.common_idf).astype(np.float32)
         common_bound = dense @ block_max.T
-        per_term = entries[terms]
-        entry, row, idf = ranges(entry_at[terms], per_term), np.repeat(rows, per_term), np.repeat(weight[terms], per_term)
-        bound = np.bincount(row * blocks + in_block[entry], idf * most[entry], (b - a) * blocks).reshape(b - a, blocks)
-        alive = bound + common_bound > np.maximum(floor, 0)[:, None]
-        kept = alive[row, in_block[entry]]
-        entry, row, idf = entry[kept], row[kept], idf[kept]
-        expanded = size_of[entry]
-        at = ranges(starts[entry], expanded)
-        best.postings += int(t_sizes[terms].sum())
-        best.skipped += int(t_sizes[terms].sum()) - len(at)
+        if bounding:
+            per_term = entries[terms]
+            entry, row, idf = ranges(entry_at[terms], per_term), np.repeat(rows, per_term), np.repeat(weight[terms], per_term)
+            bound = np.bincount(row * blocks + in_block[entry], idf * most[entry], (b - a) * blocks).reshape(b - a, blocks)
+            alive = bound + common_bound > np.maximum(floor, 0)[:, None]
+            kept = alive[row, in_block[entry]]
+            entry, row, idf = entry[kept], row[kept], idf[kept]
+            first, expanded = starts[entry], size_of[entry]
+            best.met += int(t_sizes[terms].sum())
+            best.skipped += int(t_sizes[terms].sum() - expanded.sum())
+            del entry, kept
+        else:
+            alive, row, idf = np.ones((b - a, blocks), bool), rows, weight[terms]
+            first, expanded = posting_at[terms], t_sizes[terms]
+        at = ranges(first, expanded)
         cell = np.repeat(row * n_docs, expanded) + place[at]
         rarer = np.bincount(cell, np.repeat(idf, expanded) * gain[at], (b - a) * n_docs).astype(float, copy=False).reshape(b - a, n_docs)
-        del at, cell, entry, row, idf, kept
+        del at, cell, row, idf
         top_rarer = np.zeros((b - a, blocks * BLOCK), np.float32)
         top_rarer[:, :n_docs] = rarer
         top_rarer = top_rarer.reshape(b - a, blocks, BLOCK)
