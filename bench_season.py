@@ -43,18 +43,18 @@ def game(task: tuple[str, int]) -> None:
         json.dump({"contest_id": str(i), "pbp": rows, "lineups": stints, "player_box": box, "team_box": [], "shots": [], "possessions": []}, f)
 
 
-def main(games: int, root: str) -> dict:
-    from pyspark.sql import SparkSession
-
-    from loomline.plans import build
-
+def write_season(games: int, root: str) -> None:
+    """The payloads, unless they are there."""
     if not os.path.isdir(f"{root}/wbb/json"):
         os.makedirs(f"{root}/wbb/json")
         with Pool(os.cpu_count()) as pool:
             pool.map(game, [(f"{root}/wbb/json", i) for i in range(games)], chunksize=32)
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "16g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "32").config("spark.sql.session.timeZone", "UTC").config("spark.sql.files.openCostInBytes", "65536").getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+
+
+def build_season(spark, games: int, root: str) -> tuple[dict[str, float], dict[str, int]]:
+    """(seconds, rows) of each dataset, built one after the other from one parse."""
+    from loomline.plans import build
+
     ids = spark.range(games).selectExpr("cast(id as string) as contest_id", "'2023' as season")
     ids.coalesce(1).write.mode("overwrite").parquet(f"{root}/wbb/schedule_master.parquet")
     seconds, rows, inputs, begin = {}, {}, build.Season(spark, 2023, root, "wbb"), time.time()
@@ -64,7 +64,19 @@ def main(games: int, root: str) -> dict:
         begin = time.time()
         rows[name] = build.build_season(inputs, name, f"{root}/out").count()
         seconds[name] = time.time() - begin
-    return {"metric": "season_seconds", "value": round(sum(seconds.values()), 1), "unit": "sec", "games": games, "seconds": {k: round(v, 1) for k, v in seconds.items()}, "rows": rows}
+    inputs.release()
+    return {k: round(v, 1) for k, v in seconds.items()}, rows
+
+
+def main(games: int, root: str) -> dict:
+    from pyspark.sql import SparkSession
+
+    write_season(games, root)
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "16g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "32").config("spark.sql.session.timeZone", "UTC").config("spark.sql.files.openCostInBytes", "65536").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    seconds, rows = build_season(spark, games, root)
+    return {"metric": "season_seconds", "value": round(sum(seconds.values()), 1), "unit": "sec", "games": games, "seconds": seconds, "rows": rows}
 
 
 if __name__ == "__main__":
