@@ -42,6 +42,8 @@ HEAD, TAIL, LEAD = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq
 END = b"\n"
 #: Bytes of text whose frames make a file, but for its last document; ids take about half of that. A file is read as a whole.
 FILE_BYTES = 32 << 20
+#: Words that the encoder keeps, and bytes of text encoded at a time: less than elsewhere, as the frames of a batch are held too.
+MEMO_WORDS, SLICE_BYTES = 500_000, 4_000_000
 #: What a frame has besides its ids.
 FRAME_BYTES = HEAD.size + LEAD.size + TAIL.size + len(END)
 #: Where null ids stand in the order.
@@ -142,13 +144,13 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     shared = docs.sparkSession.sparkContext.broadcast(np.array(bounds, np.int64))
 
     def encode(batches):
-        enc, tail = encoder(tokenizer_path), np.array([end_id], np.uint32)
+        enc, tail = encoder(tokenizer_path, MEMO_WORDS), np.array([end_id], np.uint32)
         turn = TaskContext.get().partitionId()
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
             parts = part_of(np.array([NO_ID if d is None else d for d in doc_ids], np.int64), shared.value, turn)
             turn += len(parts)
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE_BYTES):
                 ids, at = enc.encode(texts[a:b])
                 made = [frame(payload_of(doc_ids[a + i], np.concatenate([ids[at[i] : at[i + 1]], tail])))[: -len(END)] for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([pa.array(parts[a:b].astype(np.int32)), batch.column("doc_id")[a:b], pa.array(made, pa.binary())], ["part", "doc_id", "frame"])

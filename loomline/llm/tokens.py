@@ -20,9 +20,9 @@ WORD_END = "</w>"
 LATIN_PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 NOT_LATIN = re.compile(r"[^!-~À-ÖØ-öø-ÿ]")
 #: Words and pieces a memo holds before it starts anew; some 200 bytes each.
-MEMO_WORDS, MEMO_PIECES = 500_000, 300_000
+MEMO_WORDS, MEMO_PIECES = 700_000, 300_000
 #: Bytes of text that are encoded at a time; what this takes meanwhile is many times as much.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 6_000_000
 
 
 def load_tokenizer(path: str):
@@ -98,11 +98,11 @@ class BatchEncoder:
     words that were met in one slice only are forgotten.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
+    def __init__(self, path: str, memo_words: int | None = None):
+        self.tokenizer, self.memo_words = load_tokenizer(path), memo_words or MEMO_WORDS
         self.by_word = splits_at_spaces(path)
         specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.not_plain = re.compile("|".join([NOT_LATIN.pattern, *specials]))
+        self.not_plain = "|".join([NOT_LATIN.pattern, *specials])
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.words, self.pieces = Pool(), Pool()
@@ -116,10 +116,10 @@ class BatchEncoder:
         ends = np.flatnonzero(self.is_end[ids]) + 1
         self.pieces.add(new, ids, np.diff(ends, prepend=0))
 
-    def _learn(self, words: list[str]) -> np.ndarray:
+    def _learn(self, new: pa.Array) -> np.ndarray:
         """Add new words, and return their slots."""
-        slots = np.zeros(len(words), np.int64)
-        strange = np.array([bool(self.not_plain.search(w)) for w in words])
+        slots, words = np.zeros(len(new), np.int64), new.to_pylist()
+        strange = np.asarray(pc.match_substring_regex(new, self.not_plain))
         for at, add in ((np.flatnonzero(strange), self._add_whole), (np.flatnonzero(~strange), self._add_plain)):
             if len(at):
                 slots[at] = len(self.words.sizes) + np.arange(len(at))
@@ -157,20 +157,20 @@ class BatchEncoder:
         starts = np.asarray(words.offsets, dtype=np.int64)
         coded = words.flatten().dictionary_encode()
         known = coded.dictionary.to_pylist()
-        if len(self.words.slot) + len(known) > MEMO_WORDS:
-            self.words = self.words.renewed(MEMO_WORDS // 2)
+        if len(self.words.slot) + len(known) > self.memo_words:
+            self.words = self.words.renewed(self.memo_words // 2)
         slots = self.words.met(known)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            slots[new] = self._learn([known[i] for i in new])
+            slots[new] = self._learn(coded.dictionary.take(pa.array(new)))
         ids, ends = self.words.gather(slots[np.asarray(coded.indices, dtype=np.int64)])
         return ids, ends[starts - starts[0]]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> BatchEncoder:
+def encoder(path: str, memo_words: int | None = None) -> BatchEncoder:
     """One encoder per Python worker, kept between tasks."""
-    return BatchEncoder(path)
+    return BatchEncoder(path, memo_words)
 
 
 def release() -> None:
