@@ -33,7 +33,7 @@ CHUNK_DOCS, CHUNK_WORDS, BLOCK = 4096, 2_000_000, 64
 #: Terms with the most (query, document) pairs, whose scores are added only where bounds allow.
 COMMON = 768
 #: Tasks among which the chunks are dealt, at least; each gives k rows per query. A shard has about so many words at most.
-SHARDS, SHARD_WORDS = 32, 100_000_000
+SHARDS, SHARD_WORDS = 12, 100_000_000
 #: A block of queries holds so many queries and distinct (query, term) pairs at most; it is broadcast.
 BLOCK_QUERIES, BLOCK_PAIRS = 8192, 2_000_000
 #: Queries are scored together, so many with so many (query, posting) pairs at most, or one alone.
