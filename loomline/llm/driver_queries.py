@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.llm import counting, divergence, html, jaccard, mixing, neighbours, packing, quality, records, resampling, search, sharding, toxicity
@@ -212,3 +212,16 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), neighbours.every_twentieth(F.col("vec_id")), k=20)
+
+
+ORACLES["neighbour_counts"] = """
+SELECT vec_id AS query_id, least(20, (SELECT count(*) FROM embeddings) - 1) AS n_found, true AS in_order FROM embeddings WHERE vec_id % 20 = 0
+"""
+
+
+@query
+def neighbour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op13 does not depend on the partitions: how many every query finds, ranked without a gap and nearest first."""
+    over = Window.partitionBy("query_id").orderBy("rank")
+    placed = op13_learned_partitions(spark, sf_dir).withColumn("_fits", (F.row_number().over(over) == F.col("rank")) & F.coalesce(F.lag("score").over(over) >= F.col("score"), F.lit(True)))
+    return placed.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_found"), F.bool_and("_fits").alias("in_order"))

@@ -12,8 +12,8 @@ from loomline.llm.common import cut
 
 #: The ring has so many cells; virtual nodes sit on cell borders. The counts per cell are all that the driver sees.
 CELL_BITS = 16
-#: Rows alike in the key are counted and ranked in so many lots.
-SALTS = 64
+#: Rows alike in the key are counted and ranked in so many lots; any other row is a lot of its own.
+SALTS = 4096
 
 
 def node_cells(shards: int, virtual: int) -> list[tuple[int, int]]:

@@ -67,7 +67,7 @@ def test_registered_queries_on_odd_rows(spark, tiny, name):
         assert len(found) == (4 if name.startswith("op2_") else len(D.ROWS))
 
 
-@pytest.mark.parametrize("name", ["quality_base_counts", "ring_loads", "mix_sizes", "op11_source_divergence", "op12_importance_resampling"])
+@pytest.mark.parametrize("name", ["quality_base_counts", "ring_loads", "mix_sizes", "op11_source_divergence", "op12_importance_resampling", "neighbour_counts"])
 def test_queries_match_sql(spark, sf_dir, name):
     import pandas as pd
 
