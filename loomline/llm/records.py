@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import cut, scratch
+from loomline.llm.common import cut, scratch, setting
 from loomline.llm.tokens import encoder, release, slices
 
 MASK_DELTA = 0xA282EAD8
@@ -43,7 +43,9 @@ END = b"\n"
 #: Bytes of text whose frames make a file, but for its last document; ids take about half of that. A file is read as a whole.
 FILE_BYTES = 32 << 20
 #: Words that the encoder keeps, and bytes of text encoded at a time: less than elsewhere, as the frames of a batch are held too.
-MEMO_WORDS, SLICE_BYTES = 600_000, 5_000_000
+MEMO_WORDS, SLICE_BYTES = 600_000, 6_000_000
+#: Bytes of text in a batch that Spark hands to Python at most; it is held several times over on the way.
+BATCH_BYTES = 12_000_000
 #: What a frame has besides its ids.
 FRAME_BYTES = HEAD.size + LEAD.size + TAIL.size + len(END)
 #: Where null ids stand in the order.
@@ -161,7 +163,8 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     framed = rows.mapInArrow(encode, "part int, doc_id long, frame binary")
     dealt = framed.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "frame")
     # A cast of binary to string keeps the bytes, and the text writer writes them as they are.
-    dealt.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", END.decode()).text(path)
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        dealt.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", END.decode()).text(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
