@@ -43,7 +43,7 @@ END = b"\n"
 #: Bytes of text whose frames make a file, but for its last document; ids take about half of that. A file is read as a whole.
 FILE_BYTES = 32 << 20
 #: Words that the encoder keeps, and bytes of text encoded at a time: less than elsewhere, as the frames of a batch are held too.
-MEMO_WORDS, SLICE_BYTES = 600_000, 6_000_000
+MEMO_WORDS, SLICE_BYTES = 450_000, 6_000_000
 #: Bytes of text in a batch that Spark hands to Python at most; it is held several times over on the way.
 BATCH_BYTES = 12_000_000
 #: What a frame has besides its ids.
