@@ -180,15 +180,15 @@ class TopK:
         self.k, self.row = k, np.zeros(0, np.int64)
         self.score, self.doc = np.zeros(0), np.zeros(0, np.int64)
         self.least = np.full(queries, -np.inf)
-        self.chunks = self.met = self.skipped = 0  # chunks seen; postings of rarer terms that queries met where blocks were bounded, and those skipped
+        self.chunks = self.postings = self.skipped = 0  # chunks seen; postings of rarer terms that queries met where blocks were bounded, and those skipped
 
     def bounds(self) -> bool:
         """Whether to bound the next chunk's blocks before their postings are scored: every PROBE chunks, and always while that skips enough."""
         self.chunks += 1
-        if self.chunks % PROBE == 2:
-            self.met = self.skipped = 0
+        if self.chunks % PROBE == 2 % PROBE:
+            self.postings = self.skipped = 0
             return True
-        return self.skipped > PAYS * self.met
+        return self.skipped > PAYS * self.postings
 
     def add(self, row: np.ndarray, score: np.ndarray, doc: np.ndarray) -> None:
         row, score, doc = np.concatenate([self.row, row]), np.concatenate([self.score, score]), np.concatenate([self.doc, doc])
@@ -258,7 +258,7 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
             kept = alive[row, in_block[entry]]
             entry, row, idf = entry[kept], row[kept], idf[kept]
             first, expanded = starts[entry], size_of[entry]
-            best.met += int(t_sizes[terms].sum())
+            best.postings += int(t_sizes[terms].sum())
             best.skipped += int(t_sizes[terms].sum() - expanded.sum())
             del entry, kept
         else:

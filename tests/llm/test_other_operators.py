@@ -435,6 +435,7 @@ def test_blocks_that_cannot_reach_the_kth_score_are_skipped(spark, tmp_path, mon
     """Once the best are known, a chunk's blocks without the query's telling words are not scored, and nothing changes."""
     monkeypatch.setattr(search, "COMMON", 2)
     monkeypatch.setattr(search, "BLOCK", 4)
+    monkeypatch.setattr(search, "PROBE", 1)  # bound the blocks of every chunk
     rows = [(i, " ".join([f"only{i // 8}"] * 3 + ["the", "of", f"some{i % 16}"])) for i in range(160)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     chunks = [c.asDict() for c in search.build_index(docs, str(tmp_path / "index")).collect()]
@@ -454,6 +455,15 @@ def test_blocks_that_cannot_reach_the_kth_score_are_skipped(spark, tmp_path, mon
     assert again.score.tolist() == first.tolist() and again.doc.tolist() == best.doc.tolist()
 
 
+def test_blocks_are_bounded_while_that_pays():
+    best, told = search.TopK(2, 3), []
+    for chunk in range(1, 25):
+        told.append(best.bounds())
+        if told[-1]:
+            best.postings, best.skipped = best.postings + 100, best.skipped + (50 if 10 <= chunk < 14 else 5)
+    assert [i for i, t in enumerate(told, 1) if t] == [2, *range(10, 18), 18]
+
+
 def test_search_odd_rows(spark):
     docs = D.make(spark)
     assert search.top_k(docs, docs, k=3).where("query_id = 2").count() == 0
