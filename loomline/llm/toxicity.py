@@ -77,11 +77,15 @@ class Chain:
         return out[::-1]
 
 
-def weak_labels(docs: list[tuple[str, int]]) -> tuple[list[tuple[list[str], list[int]]], set[str]]:
-    """([(words, word labels)], the marking features). Near copies count as one document."""
+def weak_labels(docs: list[tuple[str, int]]) -> tuple[list[tuple[list[str], np.ndarray]], set[str]]:
+    """([(words, word labels)], the marking features). Near copies count as one document.
+
+    Each distinct word is held once, however many texts have it.
+    """
     groups: dict[int, tuple[list[str], int]] = {}
+    held: dict[str, str] = {}
     for text, toxic in docs:
-        words = text.lower().split()
+        words = [held.setdefault(w, w) for w in text.lower().split()]
         key = min((xxhash.xxh3_64_intdigest(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0)
         groups.setdefault(key, (words, toxic))
     sides = Counter(toxic for _, toxic in groups.values())
@@ -91,7 +95,7 @@ def weak_labels(docs: list[tuple[str, int]]) -> tuple[list[tuple[list[str], list
     share = lambda n, side: n / max(1, sides[side])
     marks = {f for f, n in counts[1].items() if n >= LEAST_DOCS and share(n, 1) >= LEAST_RATIO * share(counts[0][f] + 0.5, 0)}
     known = {w: any(f in marks for f in features(w)) for words, toxic in groups.values() if toxic for w in set(words)}
-    return [(words, [int(bool(toxic) and known[w]) for w in words]) for words, toxic in groups.values()], marks
+    return [(words, np.fromiter((bool(toxic) and known[w] for w in words), np.int8, len(words))) for words, toxic in groups.values()], marks
 
 
 def train(docs: list[tuple[str, int]]) -> Chain:
@@ -106,20 +110,25 @@ def train(docs: list[tuple[str, int]]) -> Chain:
     near = Counter(f for words, _ in labelled for w in words if not relevant.isdisjoint(features(w)) for f in features(w))
     relevant |= {f for f, n in near.items() if n >= LEAST_DOCS}
     ids = {f: i + 1 for i, f in enumerate(sorted(relevant))}
+    if not ids:
+        return Chain({}, -10.0, np.zeros((2, 2)), 0.0)
     columns, ys, plain = [], [], 0
     for words, labels in labelled:
-        rows = [[ids.get(f, 0) for f in features(w)] for w in words]
-        for a in range(0, len(rows), WINDOW):
-            part = rows[a : a + WINDOW]
+        for a in range(0, len(words), WINDOW):
+            part = [[ids.get(f, 0) for f in features(w)] for w in words[a : a + WINDOW]]
             if not any(map(any, part)):
                 plain += 1
                 if plain % 10:
                     continue
-            columns.append([r + [0] * (1 + len(PREFIXES) - len(r)) for r in part] + [[0] * (1 + len(PREFIXES))] * (WINDOW - len(part)))
-            ys.append(labels[a : a + WINDOW] + [-1] * (WINDOW - len(part)))
-    if not ids:
-        return Chain({}, -10.0, np.zeros((2, 2)), 0.0)
+            window, marked = np.zeros((WINDOW, 1 + len(PREFIXES)), np.int32), np.full(WINDOW, -1, np.int8)
+            for i, r in enumerate(part):
+                window[i, : len(r)] = r
+            marked[: len(part)] = labels[a : a + WINDOW]
+            columns.append(window)
+            ys.append(marked)
+    del labelled
     x, y = np.array(columns), np.array(ys)
+    del columns, ys
     seen, y = y >= 0, np.maximum(y, 0)
     theta = np.zeros(len(ids) + 1 + 5)  # weights (0 for no feature), bias, three transitions, start
     theta[len(ids) + 1] = -3.0
@@ -138,7 +147,7 @@ def gradient(theta: np.ndarray, x: np.ndarray, y: np.ndarray, seen: np.ndarray,
     weights, (bias, t01, t10, t11, start) = theta[: n_features + 1], theta[n_features + 1 :]
     moves = np.exp(np.array([[0.0, t01], [t10, t11]]))
     emit = np.ones((*y.shape, 2))
-    emit[..., 1] = np.exp(np.clip(weights[x].sum(-1) + bias, -40, 40))
+    emit[..., 1] = np.exp(np.clip(sum(weights[x[..., k]] for k in range(x.shape[-1])) + bias, -40, 40))
     n, length = y.shape
     f, b = np.zeros((length, n, 2)), np.ones((length, n, 2))
     f[0] = emit[:, 0] * np.array([1.0, np.exp(start)])
@@ -149,15 +158,18 @@ def gradient(theta: np.ndarray, x: np.ndarray, y: np.ndarray, seen: np.ndarray,
     for t in range(length - 2, -1, -1):
         back = (b[t + 1] * emit[:, t + 1]) @ moves.T
         b[t] = np.where(seen[:, t + 1, None], back / back.sum(1, keepdims=True), b[t + 1])
-    both = f * b
-    p = (both[..., 1] / both.sum(-1)).T
-    pair = f[:-1, :, :, None] * moves * (b[1:] * emit.transpose(1, 0, 2)[1:])[:, :, None, :]
-    pair = pair / pair.sum((2, 3), keepdims=True) * seen.T[1:, :, None, None]
-    expected = pair.sum((0, 1))
+    p = np.empty(y.shape)
+    for t in range(length):
+        both = f[t] * b[t]
+        p[:, t] = both[:, 1] / both.sum(-1)
+    expected = np.zeros((2, 2))
+    for t in range(1, length):  # a place at a time, so that no array holds all pairs
+        pair = f[t - 1, :, :, None] * moves * (b[t] * emit[:, t])[:, None, :]
+        expected += (pair / pair.sum((1, 2), keepdims=True) * seen[:, t, None, None]).sum(0)
     counted = np.zeros((2, 2))
     np.add.at(counted, (y[:, :-1][seen[:, 1:]], y[:, 1:][seen[:, 1:]]), 1)
     error = (p - y) * seen
-    by_feature = np.bincount(x.ravel(), np.repeat(error.ravel(), x.shape[-1]), n_features + 1)
+    by_feature = sum(np.bincount(x[..., k].ravel(), error.ravel(), n_features + 1) for k in range(x.shape[-1]))
     moved = expected - counted
     return np.r_[by_feature, error.sum(), moved[0, 1], moved[1, 0], moved[1, 1], error[:, 0].sum()] / max(1, n)
 

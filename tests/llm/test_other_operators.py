@@ -4,6 +4,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -303,6 +304,23 @@ def test_toxic_documents_are_found_and_others_left_alone(spark):
     assert toxicity.score_toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_fitting_the_chain_takes_a_small_multiple_of_its_sample():
+    rng, sample = random.Random(6), []
+    for i in range(300):
+        words = ["".join(rng.choices("aeioubcdst", k=4)) for _ in range(600)]
+        for _ in range(15 * (i % 3 == 0)):
+            words[rng.randrange(600)] = "idiot"
+        sample.append((" ".join(words), int(i % 3 == 0)))
+    tracemalloc.start()
+    try:
+        chain = toxicity.train(sample)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert chain.weights["=idiot"] > 0
+    assert peak < 12 * sum(len(t) for t, _ in sample)
+
+
 def test_marginals_equal_those_of_all_paths():
     import itertools
 
