@@ -91,9 +91,9 @@ def ascii_fold(text: Column) -> Column:
 
 def signature_of_folded(folded: Column) -> Column:
     """Letters of a folded name in order: no suffixes, apostrophes, word order or format survive."""
-    tokens = F.filter(F.split(folded, "[^a-z0-9']+"), lambda t: ~t.isin(*NAME_SUFFIXES))
-    joined = F.regexp_replace(F.array_join(tokens, ""), "'", "")
-    return F.array_join(F.array_sort(F.split(joined, "")), "")
+    # A suffix that is a word of its own goes, and all that is no letter or digit.
+    joined = F.regexp_replace(folded, rf"(?<![a-z0-9'])(?:{'|'.join(NAME_SUFFIXES)})(?![a-z0-9'])|[^a-z0-9]+", "")
+    return F.array_join(F.sort_array(F.split(joined, "")), "")
 
 
 def signature(name: Column) -> Column:
@@ -119,15 +119,16 @@ def team_norm(team: Column) -> Column:
     return case_folded(F.trim(F.regexp_replace(team, r"(?U)\s+", " ")))
 
 
-def lineup_key(team: Column, signatures: Column) -> Column:
+def lineup_key(team: Column, players: Column) -> Column:
     """Sixteen hex digits that identify a team's set of players; null without team or players."""
-    body = F.concat(team_norm(team), F.lit("|"), F.array_join(F.array_sort(signatures), "|"))
-    return F.when((F.size(signatures) > 0) & (team != ""), F.substring(F.md5(body.cast("binary")), 1, 16))
+    signatures = F.sort_array(F.transform(players, signature))
+    body = F.concat(team_norm(team), F.lit("|"), F.array_join(signatures, "|"))
+    return F.when((F.size(players) > 0) & (team != ""), F.substring(F.md5(body.cast("binary")), 1, 16))
 
 
 def add_lineup_keys(df: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:
     """Add a lineup key per entry: its name, and the columns of the team and of the array of players' names."""
-    return df.withColumns({out: lineup_key(F.col(team), F.transform(players, signature)) for out, (team, players) in sides.items()})
+    return df.withColumns({out: lineup_key(F.col(team), F.col(players)) for out, (team, players) in sides.items()})
 
 
 def season_label(season: int) -> str:

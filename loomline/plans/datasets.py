@@ -36,6 +36,15 @@ def tagged(df: DataFrame, season: int, contest: str | None = None) -> DataFrame:
     return df.withColumns(columns)
 
 
+def in_order(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows in a global order of the columns.
+
+    The bounds of its ranges are taken from a sample of the rows, which runs what made them once more;
+    behind an exchange that is no more than reading them again.
+    """
+    return df.repartition(*columns).orderBy(*columns)
+
+
 def family(games: DataFrame, name: str, season: int) -> DataFrame:
     """A family of all games, in order of contest and array position, with contest id and season.
 
@@ -46,13 +55,13 @@ def family(games: DataFrame, name: str, season: int) -> DataFrame:
         rows = text.event_features(rows)
     if name == "lineups":
         rows = flat_lineups(rows)
-    out = tagged(rows, season, "_cid").orderBy("contest_id", "_pos")
+    out = in_order(tagged(rows, season, "_cid"), "contest_id", "_pos")
     return out.drop("_cid", "_pos")
 
 
 def flat_lineups(rows: DataFrame) -> DataFrame:
     """Nested stints as 77 flat columns less the tags: key, stint, both sides' statistics, and the rank in the team."""
-    named = rows.withColumn("_names", F.array_sort(nested.player_names(F.col("players"))))
+    named = rows.withColumn("_names", F.sort_array(nested.player_names(F.col("players"))))
     keyed = text.add_lineup_keys(named.withColumn("_team_name", F.col("team.team.name")), {"lineup_key": ("_team_name", "_names")})
     flat = keyed.select("_cid", "_pos", "lineup_key", *nested.lineup_columns(F.col("_names"))).withColumnsRenamed(nested.FLAT_NAMES)
     return ordinal_rank(flat, ["_cid", "team"], "start_min", ["_pos"], "stint_num")
@@ -71,7 +80,7 @@ def rosters(games: DataFrame, season: int) -> DataFrame:
     """Players by team with the number of games they are in; null names are a group."""
     box = nested.explode_family(games, "player_box", ["contest_id"])
     out = box.groupBy("team", "player").agg(F.count_distinct("contest_id").alias("games"))
-    return tagged(out, season).select(*schemas.names(schemas.ROSTERS)).orderBy("team", "player")
+    return in_order(tagged(out, season).select(*schemas.names(schemas.ROSTERS)), "team", "player")
 
 
 def team_rosters(files: DataFrame, season: int) -> DataFrame:
@@ -107,12 +116,12 @@ def matchup_stints(games: DataFrame, season: int, hot_rows: int | None = None) -
         if c not in names:
             events = events.withColumn(c, F.lit(None).cast(schemas.EVENT[c]))
     runs = gaps_and_islands(on_court(events), partition=["contest_id"], order=["_pos"], **STINT_RUNS, hot_rows=hot_rows)
-    return keyed_stints(runs, season).orderBy("contest_id", "game_stint_num")
+    return in_order(keyed_stints(runs, season), "contest_id", "game_stint_num")
 
 
 def on_court(events: DataFrame) -> DataFrame:
     """Events with all ten players, and both lineups as sorted arrays and as text."""
-    five = lambda side: F.array_sort(F.array(*[f"{side}_{i}" for i in range(1, 6)]))
+    five = lambda side: F.sort_array(F.array(*[f"{side}_{i}" for i in range(1, 6)]))
     usable = events.dropna(how="any", subset=ON_COURT).withColumns({"_hl": five("home"), "_al": five("away")})
     return usable.withColumns({"home_lineup": F.array_join("_hl", "|"), "away_lineup": F.array_join("_al", "|")})
 

@@ -72,8 +72,8 @@ EVENT = {
 EV = f"ev AS (SELECT {', '.join(f'{e} AS {n}' for n, e in EVENT.items())}, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events)"
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads: play-by-play, box rows of the first two slots, and nested lineups of every fifth event."""
+def games(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    """Payloads with one family: play-by-play, box rows of the first two slots, or nested lineups of every fifth event."""
     rows = table(spark, sf_dir, "events").selectExpr("ts", "user_id", *[f"{e} AS {n}" for n, e in EVENT.items()])
     names = [n for n in EVENT if n != "contest_id"]
     total = lambda n: f"named_struct('total', CAST({n} AS BIGINT))"
@@ -85,11 +85,14 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
       'score_info', named_struct('start', named_struct('scored', home_score)),
       'team_stats', named_struct('num_possessions', event_id % 9, 'fg', {shot("event_id % 5", "event_id % 3", "1")}, 'fg_3p', {shot("event_id % 4", "event_id % 2", "event_id % 2")}, 'orb', {total("event_id % 6")}),
       'opponent_stats', CASE WHEN event_id % 2 = 0 THEN named_struct('pts', event_id % 50, 'assist', {total("event_id % 8")}) END)"""
-    row = F.struct("ts", "event_id", F.struct(*names).alias("event"), F.expr(f"to_json({lineup})").alias("lineup"))
-    listed = rows.groupBy("contest_id").agg(F.array_sort(F.collect_list(row)).alias("r"))
-    box = F.flatten(F.transform("r", lambda x: F.array(*[F.struct(x["event"]["home"].alias("team"), x["event"][f"home_{i}"].alias("player")) for i in (1, 2)])))
-    fifth = F.filter("r", lambda x: x["event_id"] % 5 == 0)
-    return listed.select("contest_id", F.col("contest_id").alias("_cid"), F.transform("r", lambda x: x["event"]).alias("pbp"), box.alias("player_box"), F.transform(fifth, lambda x: F.from_json(x["lineup"], schemas.LINEUP)).alias("lineups"))
+    # Of an event only what the family is made of is gathered.
+    part, made = {
+        "pbp": (F.struct(*names), lambda r: F.transform(r, lambda x: x["part"])),
+        "player_box": (F.struct("home", "home_1", "home_2"), lambda r: F.flatten(F.transform(r, lambda x: F.array(*[F.struct(x["part"]["home"].alias("team"), x["part"][f"home_{i}"].alias("player")) for i in (1, 2)])))),
+        "lineups": (F.expr(f"CASE WHEN event_id % 5 = 0 THEN to_json({lineup}) END"), lambda r: F.transform(F.filter(r, lambda x: x["event_id"] % 5 == 0), lambda x: F.from_json(x["part"], schemas.LINEUP))),
+    }[family]
+    listed = rows.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", part.alias("part")))).alias("r"))
+    return listed.select("contest_id", F.col("contest_id").alias("_cid"), made(F.col("r")).alias(family))
 
 
 def flag_sql(needle: str) -> str:
@@ -106,7 +109,7 @@ def extract_sql(pattern: str, kind: str) -> str:
   {flag_sql("turnover")} AND {flag_sql(" team;")} AS is_team_turnover FROM ev""")
 def season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The play-by-play dataset with its eighteen event features."""
-    rows = datasets.family(games(spark, sf_dir), "pbp", SEASON)
+    rows = datasets.family(games(spark, sf_dir, "pbp"), "pbp", SEASON)
     return rows.select("contest_id", "season", "event_id", "period", "game_seconds", "home_score", "home_1", "away_5", *text.EVENT_FLAGS, *text.EVENT_EXTRACTS, "is_team_turnover")
 
 
@@ -114,14 +117,14 @@ def season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
   max(coalesce(home_score, 0)) AS home_score, max(coalesce(away_score, 0)) AS away_score, CAST({SEASON} AS BIGINT) AS season FROM ev GROUP BY contest_id""")
 def season_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The schedule dataset."""
-    return datasets.schedule(games(spark, sf_dir), SEASON)
+    return datasets.schedule(games(spark, sf_dir, "pbp"), SEASON)
 
 
 @query(f"""WITH {EV} SELECT CAST({SEASON} AS BIGINT) AS season, team, player, count(DISTINCT contest_id) AS games FROM (
   SELECT contest_id, home AS team, home_1 AS player FROM ev UNION ALL SELECT contest_id, home, home_2 FROM ev) GROUP BY team, player""")
 def season_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rosters dataset."""
-    return datasets.rosters(games(spark, sf_dir), SEASON)
+    return datasets.rosters(games(spark, sf_dir, "player_box"), SEASON)
 
 
 def signature_sql(name: str) -> str:
@@ -159,7 +162,7 @@ SELECT contest_id, game_stint_num, home, away, period, array_to_string(hl, '|')
 @query(STINTS)
 def season_matchup_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matchup stints dataset, with its lineup keys."""
-    stints = datasets.matchup_stints(games(spark, sf_dir), SEASON)
+    stints = datasets.matchup_stints(games(spark, sf_dir, "pbp"), SEASON)
     return stints.select("contest_id", "game_stint_num", "home", "away", "period", "home_lineup", "home_1", "away_5", "start_seconds", "end_seconds", "duration_seconds", "home_pts", "away_pts", "n_possessions", "n_events", "home_lineup_key", "away_lineup_key", "matchup_key")
 
 
@@ -173,7 +176,7 @@ SELECT contest_id, CAST({SEASON} AS BIGINT) AS season, {key_sql("home", "names")
   CAST(NULL AS BIGINT) AS stl, CASE WHEN event_id % 2 = 0 THEN event_id % 50 END AS opp_pts, CASE WHEN event_id % 2 = 0 THEN event_id % 8 END AS opp_ast FROM rows""")
 def season_lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lineups dataset: nested stints as flat rows with keys and ranks."""
-    rows = datasets.family(games(spark, sf_dir), "lineups", SEASON)
+    rows = datasets.family(games(spark, sf_dir, "lineups"), "lineups", SEASON)
     return rows.select("contest_id", "season", "lineup_key", "stint_num", "team", "opponent", "start_min", "end_min", "player_1", "player_5", "players_in", "players_out", "start_scored", "poss", "fga", "fgm", "tp_ast", "orb", "stl", "opp_pts", "opp_ast")
 
 
@@ -218,7 +221,7 @@ def season_lineups_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     stint = nested_sql(LINEUP_VALUES).removesuffix(")") + f""", 'players', array({", ".join(person(f"home_{i}") for i in range(1, 6))}),
       'players_in', CASE WHEN event_id % 6 < 3 THEN array({person("home_2")}, {person("home_4")}) END, 'players_out', array({person("''")}, {person("home_5")}),
       'team_stats', {nested_sql(SIDE_VALUES["team_stats"])}, 'opponent_stats', CASE WHEN event_id % 2 = 0 THEN {nested_sql(SIDE_VALUES["opponent_stats"])} END)"""
-    listed = rows.groupBy("contest_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", F.expr(f"to_json({stint})").alias("lineup")))).alias("r"))
+    listed = rows.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", F.expr(f"to_json({stint})").alias("lineup")))).alias("r"))
     games = listed.select("contest_id", F.col("contest_id").alias("_cid"), F.transform("r", lambda x: F.from_json(x["lineup"], schemas.LINEUP)).alias("lineups"))
     return datasets.family(games, "lineups", SEASON)
 
@@ -323,7 +326,7 @@ def payload_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Whole and broken numbers in one column.
     clock = "concat(', \"clock\": ', event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE '.5' END, '}')"
     rows = table(spark, sf_dir, "events").selectExpr("user_id", "ts", f"concat(regexp_replace({text_of}, '[}}]$', ''), {clock}) AS e")
-    listed = rows.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "e"))), lambda x: x["e"]), ",").alias("e"))
+    listed = rows.groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ts", "e"))), lambda x: x["e"]), ",").alias("e"))
     whole = F.concat(F.lit('{"pbp": ['), "e", F.when(F.col("user_id") % 10 == 3, F.lit("")).otherwise(F.lit("]}")))
     payloads = games_source.Payloads(listed.select(F.col("user_id").cast("string").alias("_cid"), whole.alias("payload")))
     return datasets.family(payloads.games("pbp"), "pbp", SEASON).select("contest_id", "season", "event_id", "label", "extra", "period", "clock")

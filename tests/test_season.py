@@ -332,3 +332,39 @@ def test_streams_run_the_same_plans(spark, tree, tmp_path, sf_dir):
     query = arrivals.windowed_counts(stamped).writeStream.outputMode("complete").format("memory").queryName("hourly").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("hourly").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_ordering_a_dataset_does_not_make_its_rows_twice(spark):
+    from pyspark.sql import functions as F
+
+    from loomline.plans import datasets
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(n):
+        made.add(1)
+        return n
+
+    rows = spark.range(0, 500, 1, 4).select(F.col("id").cast("string").alias("contest_id"), seen((500 - F.col("id"))).alias("_pos"))
+    got = datasets.in_order(rows, "_pos", "contest_id").collect()
+    assert [r["_pos"] for r in got] == list(range(1, 501))
+    assert made.value == 500
+
+
+def test_names_lose_suffixes_only_as_words_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    from loomline.functions import text
+
+    names = ["Iva Vii", "JR Smith III", "O'jr", "V.V.", "sr", "", "'", "Núñez, Jr.", "Ivy-iv-v'", "ⅳ x", "á ií"]
+    got = [r[0] for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").orderBy("i").select(text.signature(F.col("n"))).collect()]
+
+    def plain(name):
+        import re
+        import unicodedata
+
+        folded = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode().lower()
+        return "".join(sorted("".join(t for t in re.split(r"[^a-z0-9']+", folded) if t not in text.NAME_SUFFIXES).replace("'", "")))
+
+    assert got == [plain(n) for n in names]
