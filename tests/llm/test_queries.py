@@ -143,3 +143,14 @@ def test_gradient_of_the_chain_by_finite_differences():
     for i in range(1, len(theta)):
         step = 1e-5 * np.eye(len(theta))[i]
         assert got[i] == pytest.approx((loss(theta + step) - loss(theta - step)) / 2e-5, abs=1e-6)
+
+
+def test_base_counts_are_those_of_the_judgement_and_fit_nothing(spark, monkeypatch, tmp_path):
+    texts = ["a b c d e f g h " * 4, " \t\n", None, "", "x\nx\n\n x", "\x0bone two\r\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    want = sorted(quality.judge(docs, labels).select(*names).collect())
+    monkeypatch.setattr(quality, "fit_ratio", None)
+    assert sorted(driver_queries.QUERIES["quality_base_counts"](spark, str(tmp_path)).collect()) == want
