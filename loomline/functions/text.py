@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,10 @@ EVENT_EXTRACTS = {
 }
 #: Name suffixes that no signature keeps.
 NAME_SUFFIXES = ["jr", "sr", "ii", "iii", "iv", "v"]
+#: Those that hold no other: a name without any of them has no suffix.
+SHORTEST_SUFFIXES = [s for s in NAME_SUFFIXES if not any(o in s for o in NAME_SUFFIXES if o != s)]
+#: The ASCII characters that are no letter or digit.
+NO_LETTERS = "".join(c for c in map(chr, range(0x80)) if not c.isalnum())
 
 
 def extract(text: Column | str, pattern: str, kind: str = "string") -> Column:
@@ -86,13 +91,17 @@ TO_ASCII = decompositions(str.isascii)
 
 def ascii_fold(text: Column) -> Column:
     """Compatibility decomposition without what is not ASCII, in lower case."""
-    return F.lower(F.regexp_replace(decomposed(text, TO_ASCII), "[^\\x00-\\x7F]+", ""))
+    folded = F.regexp_replace(decomposed(text, TO_ASCII), "[^\\x00-\\x7F]+", "")
+    return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(folded))
 
 
 def signature_of_folded(folded: Column) -> Column:
     """Letters of a folded name in order: no suffixes, apostrophes, word order or format survive."""
     # A suffix that is a word of its own goes, and all that is no letter or digit.
-    joined = F.regexp_replace(folded, rf"(?<![a-z0-9'])(?:{'|'.join(NAME_SUFFIXES)})(?![a-z0-9'])|[^a-z0-9]+", "")
+    bare = F.regexp_replace(folded, rf"(?<![a-z0-9'])(?:{'|'.join(NAME_SUFFIXES)})(?![a-z0-9'])|[^a-z0-9]+", "")
+    # Most names hold none, which is told faster than by the pattern.
+    suffixed = reduce(lambda a, b: a | b, [F.contains(folded, F.lit(s)) for s in SHORTEST_SUFFIXES])
+    joined = F.when(suffixed, bare).otherwise(F.translate(folded, NO_LETTERS, ""))
     return F.array_join(F.sort_array(F.split(joined, "")), "")
 
 
@@ -121,9 +130,12 @@ def team_norm(team: Column) -> Column:
 
 def lineup_key(team: Column, players: Column) -> Column:
     """Sixteen hex digits that identify a team's set of players; null without team or players."""
-    signatures = F.sort_array(F.transform(players, signature))
+    # Folded in a step of its own, as what is used several times in a lambda is also made several times.
+    signatures = F.sort_array(F.transform(F.transform(players, ascii_fold), signature_of_folded))
     body = F.concat(team_norm(team), F.lit("|"), F.array_join(signatures, "|"))
-    return F.when((F.size(players) > 0) & (team != ""), F.substring(F.md5(body.cast("binary")), 1, 16))
+    # Team and players are not null here, and neither is the key. Saying so lets joins test keys for null without making them.
+    key = F.coalesce(F.substring(F.md5(body.cast("binary")), 1, 16), F.lit(""))
+    return F.when((F.size(players) > 0) & (team != ""), key)
 
 
 def add_lineup_keys(df: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:

@@ -28,6 +28,8 @@ STINT_RUNS = {
     "starts": {"start_home_score": "end_home_score", "start_away_score": "end_away_score"},
 }
 NEEDED_IN_A_GAME = ["period", "game_seconds", "home_score", "away_score", "home", "away"]
+#: The columns of an event that stints are made of.
+STINT_COLUMNS = ["game_date", "poss_num", *NEEDED_IN_A_GAME, *ON_COURT]
 
 
 def tagged(df: DataFrame, season: int, contest: str | None = None) -> DataFrame:
@@ -112,7 +114,7 @@ def matchup_stints(games: DataFrame, season: int, hot_rows: int | None = None) -
         some = lambda c: F.exists("pbp", lambda e: e[c].isNotNull())
         games = games.where(reduce(lambda a, b: a & b, map(some, NEEDED_IN_A_GAME)))
     events = nested.explode_family(games, "pbp", ["contest_id"])
-    for c in ("game_date", "poss_num", *NEEDED_IN_A_GAME, *ON_COURT):
+    for c in STINT_COLUMNS:
         if c not in names:
             events = events.withColumn(c, F.lit(None).cast(schemas.EVENT[c]))
     runs = gaps_and_islands(on_court(events), partition=["contest_id"], order=["_pos"], **STINT_RUNS, hot_rows=hot_rows)

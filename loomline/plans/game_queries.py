@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomline import schemas
 from loomline.functions import nested, text
@@ -72,27 +73,53 @@ EVENT = {
 EV = f"ev AS (SELECT {', '.join(f'{e} AS {n}' for n, e in EVENT.items())}, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events)"
 
 
-def games(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    """Payloads with one family: play-by-play, box rows of the first two slots, or nested lineups of every fifth event."""
-    rows = table(spark, sf_dir, "events").selectExpr("ts", "user_id", *[f"{e} AS {n}" for n, e in EVENT.items()])
-    names = [n for n in EVENT if n != "contest_id"]
-    total = lambda n: f"named_struct('total', CAST({n} AS BIGINT))"
-    shot = lambda a, m, x: f"named_struct('attempts', {total(a)}, 'made', {total(m)}, 'ast', {total(x)})"
-    person = lambda c: f"named_struct('id', named_struct('name', {c}))"
-    lineup = f"""named_struct('date', game_date, 'start_min', CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 40 AS DOUBLE) END, 'end_min', CAST(event_id AS DOUBLE),
-      'team', named_struct('team', named_struct('name', home), 'year', named_struct('value', 2024)), 'opponent', named_struct('team', named_struct('name', away)), 'lineup_id', named_struct('value', 'L'),
-      'players', array({", ".join(person(f"home_{i}") for i in range(1, 6))}, {person("''")}), 'players_in', array({person("home_2")}, {person("NULL")}), 'players_out', array({person("''")}),
-      'score_info', named_struct('start', named_struct('scored', home_score)),
-      'team_stats', named_struct('num_possessions', event_id % 9, 'fg', {shot("event_id % 5", "event_id % 3", "1")}, 'fg_3p', {shot("event_id % 4", "event_id % 2", "event_id % 2")}, 'orb', {total("event_id % 6")}),
-      'opponent_stats', CASE WHEN event_id % 2 = 0 THEN named_struct('pts', event_id % 50, 'assist', {total("event_id % 8")}) END)"""
-    # Of an event only what the family is made of is gathered.
-    part, made = {
-        "pbp": (F.struct(*names), lambda r: F.transform(r, lambda x: x["part"])),
-        "player_box": (F.struct("home", "home_1", "home_2"), lambda r: F.flatten(F.transform(r, lambda x: F.array(*[F.struct(x["part"]["home"].alias("team"), x["part"][f"home_{i}"].alias("player")) for i in (1, 2)])))),
-        "lineups": (F.expr(f"CASE WHEN event_id % 5 = 0 THEN to_json({lineup}) END"), lambda r: F.transform(F.filter(r, lambda x: x["event_id"] % 5 == 0), lambda x: F.from_json(x["part"], schemas.LINEUP))),
-    }[family]
+def filled(values: dict[str, str], kind: T.StructType, at: str = "") -> str:
+    """A named_struct of the type: expressions by dotted path, nulls elsewhere."""
+    fields = []
+    for f in kind:
+        path, name = at + f.name, f.dataType.simpleString()
+        inner = path not in values and any(p.startswith(f"{path}.") for p in values)
+        fields.append(f"'{f.name}', " + (filled(values, f.dataType, f"{path}.") if inner else f"CAST({values.get(path, 'NULL')} AS {name})"))
+    return f"named_struct({', '.join(fields)})"
+
+
+def people(*names: str) -> str:
+    """An array of a lineup's players, by expressions of their names."""
+    return "array(" + ", ".join(f"named_struct('code', CAST(NULL AS STRING), 'id', named_struct('name', {n}))" for n in names) + ")"
+
+
+def side(values: dict[str, str], where: str) -> str:
+    """The statistics of a side that is there on some rows."""
+    return f"CASE WHEN {where} THEN {filled(values, schemas.struct(schemas.SIDE_STATS))} END"
+
+
+def gathered(rows: DataFrame, part: Column) -> DataFrame:
+    """(contest_id, _cid, r): each game's parts in order of time."""
     listed = rows.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", part.alias("part")))).alias("r"))
-    return listed.select("contest_id", F.col("contest_id").alias("_cid"), made(F.col("r")).alias(family))
+    return listed.select("contest_id", F.col("contest_id").alias("_cid"), F.transform("r", lambda x: x["part"]).alias("r"))
+
+
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr("ts", "user_id", *[f"{e} AS {n}" for n, e in EVENT.items()])
+
+
+def games(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """Payloads with play-by-play; of an event only the columns asked for are gathered."""
+    part = F.struct(*(columns or [n for n in EVENT if n != "contest_id"]))
+    return gathered(event_rows(spark, sf_dir), part).withColumnRenamed("r", "pbp")
+
+
+def box_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with box rows of the first two slots."""
+    pair = F.array(*[F.struct(F.col("home").alias("team"), F.col(f"home_{i}").alias("player")) for i in (1, 2)])
+    return gathered(event_rows(spark, sf_dir), pair).select("contest_id", "_cid", F.flatten("r").alias("player_box"))
+
+
+def lineup_games(spark: SparkSession, sf_dir: str, values: dict[str, str]) -> DataFrame:
+    """Payloads with nested lineups of every fifth event, by the expressions of their values."""
+    lineup = F.expr(filled(values, schemas.struct(f"x {schemas.LINEUP}")["x"].dataType))
+    # Games without such events have no lineups, and so no rows either way.
+    return gathered(event_rows(spark, sf_dir).where("event_id % 5 = 0"), lineup).withColumnRenamed("r", "lineups")
 
 
 def flag_sql(needle: str) -> str:
@@ -109,7 +136,7 @@ def extract_sql(pattern: str, kind: str) -> str:
   {flag_sql("turnover")} AND {flag_sql(" team;")} AS is_team_turnover FROM ev""")
 def season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The play-by-play dataset with its eighteen event features."""
-    rows = datasets.family(games(spark, sf_dir, "pbp"), "pbp", SEASON)
+    rows = datasets.family(games(spark, sf_dir), "pbp", SEASON)
     return rows.select("contest_id", "season", "event_id", "period", "game_seconds", "home_score", "home_1", "away_5", *text.EVENT_FLAGS, *text.EVENT_EXTRACTS, "is_team_turnover")
 
 
@@ -117,14 +144,14 @@ def season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
   max(coalesce(home_score, 0)) AS home_score, max(coalesce(away_score, 0)) AS away_score, CAST({SEASON} AS BIGINT) AS season FROM ev GROUP BY contest_id""")
 def season_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The schedule dataset."""
-    return datasets.schedule(games(spark, sf_dir, "pbp"), SEASON)
+    return datasets.schedule(games(spark, sf_dir, ["game_date", "home", "away", "home_score", "away_score"]), SEASON)
 
 
 @query(f"""WITH {EV} SELECT CAST({SEASON} AS BIGINT) AS season, team, player, count(DISTINCT contest_id) AS games FROM (
   SELECT contest_id, home AS team, home_1 AS player FROM ev UNION ALL SELECT contest_id, home, home_2 FROM ev) GROUP BY team, player""")
 def season_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rosters dataset."""
-    return datasets.rosters(games(spark, sf_dir, "player_box"), SEASON)
+    return datasets.rosters(box_games(spark, sf_dir), SEASON)
 
 
 def signature_sql(name: str) -> str:
@@ -162,10 +189,17 @@ SELECT contest_id, game_stint_num, home, away, period, array_to_string(hl, '|')
 @query(STINTS)
 def season_matchup_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matchup stints dataset, with its lineup keys."""
-    stints = datasets.matchup_stints(games(spark, sf_dir, "pbp"), SEASON)
+    stints = datasets.matchup_stints(games(spark, sf_dir, datasets.STINT_COLUMNS), SEASON)
     return stints.select("contest_id", "game_stint_num", "home", "away", "period", "home_lineup", "home_1", "away_5", "start_seconds", "end_seconds", "duration_seconds", "home_pts", "away_pts", "n_possessions", "n_events", "home_lineup_key", "away_lineup_key", "matchup_key")
 
 
+#: What stands where in a nested lineup of ``season_lineups``, by an event's columns.
+LINEUP_VALUES = {
+    "date": "game_date", "start_min": "CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 40 AS DOUBLE) END", "end_min": "event_id", "team.team.name": "home", "team.year.value": "2024", "opponent.team.name": "away", "lineup_id.value": "'L'",
+    "players": people(*[f"home_{i}" for i in range(1, 6)], "''"), "players_in": people("home_2", "CAST(NULL AS STRING)"), "players_out": people("''"), "score_info.start.scored": "home_score",
+    "team_stats.num_possessions": "event_id % 9", "team_stats.fg.attempts.total": "event_id % 5", "team_stats.fg.made.total": "event_id % 3", "team_stats.fg.ast.total": "1", "team_stats.orb.total": "event_id % 6",
+    "team_stats.fg_3p.attempts.total": "event_id % 4", "team_stats.fg_3p.made.total": "event_id % 2", "team_stats.fg_3p.ast.total": "event_id % 2",
+}
 NAMES = "list_sort(list_filter([home_1, home_2, home_3, home_4, home_5], lambda n: n IS NOT NULL))"
 
 
@@ -176,12 +210,13 @@ SELECT contest_id, CAST({SEASON} AS BIGINT) AS season, {key_sql("home", "names")
   CAST(NULL AS BIGINT) AS stl, CASE WHEN event_id % 2 = 0 THEN event_id % 50 END AS opp_pts, CASE WHEN event_id % 2 = 0 THEN event_id % 8 END AS opp_ast FROM rows""")
 def season_lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lineups dataset: nested stints as flat rows with keys and ranks."""
-    rows = datasets.family(games(spark, sf_dir, "lineups"), "lineups", SEASON)
+    opponent = side({"pts": "event_id % 50", "assist.total": "event_id % 8"}, "event_id % 2 = 0")
+    rows = datasets.family(lineup_games(spark, sf_dir, LINEUP_VALUES | {"opponent_stats": opponent}), "lineups", SEASON)
     return rows.select("contest_id", "season", "lineup_key", "stint_num", "team", "opponent", "start_min", "end_min", "player_1", "player_5", "players_in", "players_out", "start_scored", "poss", "fga", "fgm", "tp_ast", "orb", "stl", "opp_pts", "opp_ast")
 
 
 #: Where each column of a flat lineup comes from in the nested one, and its value by an event's columns.
-LINEUP_VALUES = {
+WIDE_VALUES = {
     "date": "game_date", "location_type": "CASE event_id % 3 WHEN 0 THEN 'home' WHEN 1 THEN 'away' END", "start_min": "CAST(event_id % 40 AS DOUBLE)", "end_min": "CAST(event_id % 40 + 2 AS DOUBLE)",
     "duration_mins": "CAST(2 AS DOUBLE)", "team.team.name": "home", "team.year.value": "CAST(2020 + event_id % 5 AS BIGINT)", "opponent.team.name": "away", "lineup_id.value": "CASE WHEN event_id % 7 > 0 THEN 'L' || CAST(event_id AS VARCHAR(20)) END",
     "score_info.start.scored": "home_score", "score_info.start.allowed": "away_score", "score_info.end.scored": "home_score + 2", "score_info.end.allowed": "away_score + 1",
@@ -194,17 +229,8 @@ FLAT_LINEUP = {
 }
 
 
-def nested_sql(values: dict[str, str]) -> str:
-    """A named_struct of dotted paths and their expressions."""
-    heads: dict[str, dict[str, str]] = {}
-    for path, value in values.items():
-        head, _, rest = path.partition(".")
-        heads.setdefault(head, {})[rest] = value
-    return "named_struct(" + ", ".join(f"'{head}', {inner[''] if '' in inner else nested_sql(inner)}" for head, inner in heads.items()) + ")"
-
-
 WIDE = {
-    **{name: LINEUP_VALUES[path] for name, path in FLAT_LINEUP.items()},
+    **{name: WIDE_VALUES[path] for name, path in FLAT_LINEUP.items()},
     **{name: SIDE_VALUES["team_stats"][path] for name, path in nested.STATS.items()},
     **{f"opp_{name}": f"CASE WHEN event_id % 2 = 0 THEN {SIDE_VALUES['opponent_stats'][path]} END" for name, path in nested.STATS.items()},
     **{f"player_{i}": f"names[{i}]" for i in range(1, 6)},
@@ -216,14 +242,11 @@ WIDE = {
 SELECT contest_id, CAST({SEASON} AS BIGINT) AS season, {key_sql("home", "names")} AS lineup_key, row_number() OVER (PARTITION BY contest_id, home ORDER BY event_id % 40, pos) AS stint_num, {", ".join(f"{e} AS {n}" for n, e in WIDE.items())} FROM rows""")
 def season_lineups_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 77 columns of the lineups dataset, from stints of which every statistic is set."""
-    rows = table(spark, sf_dir, "events").selectExpr("ts", "user_id", *[f"{e} AS {n}" for n, e in EVENT.items()]).where("event_id % 5 = 0")
-    person = lambda c: f"named_struct('id', named_struct('name', {c}))"
-    stint = nested_sql(LINEUP_VALUES).removesuffix(")") + f""", 'players', array({", ".join(person(f"home_{i}") for i in range(1, 6))}),
-      'players_in', CASE WHEN event_id % 6 < 3 THEN array({person("home_2")}, {person("home_4")}) END, 'players_out', array({person("''")}, {person("home_5")}),
-      'team_stats', {nested_sql(SIDE_VALUES["team_stats"])}, 'opponent_stats', CASE WHEN event_id % 2 = 0 THEN {nested_sql(SIDE_VALUES["opponent_stats"])} END)"""
-    listed = rows.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", F.expr(f"to_json({stint})").alias("lineup")))).alias("r"))
-    games = listed.select("contest_id", F.col("contest_id").alias("_cid"), F.transform("r", lambda x: F.from_json(x["lineup"], schemas.LINEUP)).alias("lineups"))
-    return datasets.family(games, "lineups", SEASON)
+    stint = WIDE_VALUES | {f"team_stats.{path}": value for path, value in SIDE_VALUES["team_stats"].items()} | {
+        "players": people(*[f"home_{i}" for i in range(1, 6)]), "players_in": f"CASE WHEN event_id % 6 < 3 THEN {people('home_2', 'home_4')} END", "players_out": people("''", "home_5"),
+        "opponent_stats": side(SIDE_VALUES["opponent_stats"], "event_id % 2 = 0"),
+    }
+    return datasets.family(lineup_games(spark, sf_dir, stint), "lineups", SEASON)
 
 
 def coverage_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,9 +359,12 @@ def payload_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l.contest_id, l.lineup_key, count(*) AS n_pairs, count(DISTINCT s.game_stint_num) AS n_stints, CAST(sum(s.n_events) AS BIGINT) AS n_events FROM lineups l JOIN stints s ON s.contest_id = l.contest_id AND s.home_lineup_key = l.lineup_key GROUP BY ALL""")
 def lineups_of_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineups met by stints of the same five in the same contest, by the key that both datasets carry."""
-    lineups, stints = season_lineups(spark, sf_dir), season_matchup_stints(spark, sf_dir)
-    met = lineups.join(stints, (lineups["contest_id"] == stints["contest_id"]) & (lineups["lineup_key"] == stints["home_lineup_key"]))
-    return met.groupBy(lineups["contest_id"], "lineup_key").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_distinct("game_stint_num").alias("n_stints"), F.sum("n_events").alias("n_events"))
+    # Every lineup of a key meets every stint of it, so both are counted by key first and no pair is made.
+    lineups = season_lineups(spark, sf_dir).groupBy("contest_id", "lineup_key").agg(F.count(F.lit(1)).alias("_lineups"))
+    stints = season_matchup_stints(spark, sf_dir).groupBy("contest_id", F.col("home_lineup_key").alias("lineup_key"))
+    stints = stints.agg(F.count("game_stint_num").alias("n_stints"), F.sum("n_events").alias("_events"))
+    met = lineups.join(stints, ["contest_id", "lineup_key"])
+    return met.select("contest_id", "lineup_key", (F.col("_lineups") * F.col("n_stints")).alias("n_pairs"), "n_stints", (F.col("_lineups") * F.col("_events")).alias("n_events"))
 
 
 @query("""SELECT year(o_orderdate) AS season, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey DESC) <= 3""")

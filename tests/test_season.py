@@ -368,3 +368,54 @@ def test_names_lose_suffixes_only_as_words_of_their_own(spark):
         return "".join(sorted("".join(t for t in re.split(r"[^a-z0-9']+", folded) if t not in text.NAME_SUFFIXES).replace("'", "")))
 
     assert got == [plain(n) for n in names]
+
+
+def test_lineups_of_stints_makes_no_pairs(spark, tmp_path, sf_dir):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from loomline.plans import game_queries
+
+    # One contest with all events, and one with a few.
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("user_id", F.when(F.col("event_id") % 50 == 0, F.lit(5)).otherwise(F.lit(2)).cast("long"))
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = game_queries.lineups_of_stints(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(game_queries.ORACLES["lineups_of_stints"])
+    columns = [c[0] for c in want.description]
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join " in line)
+    assert not any("Aggregate" in line for line in plan[:join])
+
+
+def test_a_lineup_key_is_tested_for_null_without_being_made(spark):
+    from pyspark.sql import functions as F
+
+    from loomline.functions import text
+
+    rows = spark.createDataFrame([(0, "Alder", ["A B"]), (1, "", ["A B"]), (2, None, ["A B"]), (3, "Alder", []), (4, "Alder", None), (5, " ", [None])], "i int, team string, players array<string>")
+    keyed = text.add_lineup_keys(rows, {"key": ("team", "players")}).where("key is not null")
+    assert sorted(r["i"] for r in keyed.collect()) == [0, 5]
+    plan = keyed.select("i")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "md5" not in plan
+
+
+def test_signatures_drop_every_character_that_is_no_letter_or_digit(spark):
+    from pyspark.sql import functions as F
+
+    from loomline.functions import text
+
+    names = ["".join(map(chr, range(0x80))), "a\x00b", "a\tb\x7fc", "A'b-c.d_e", "Vii\x01b", "Núñez\x00 II", "İ ß", "Kelvin K", ""]
+    got = [r[0] for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").orderBy("i").select(text.signature(F.col("n"))).collect()]
+
+    def plain(name):
+        import re
+        import unicodedata
+
+        folded = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode().lower()
+        return "".join(sorted("".join(t for t in re.split(r"[^a-z0-9']+", folded) if t not in text.NAME_SUFFIXES).replace("'", "")))
+
+    assert got == [plain(n) for n in names]
