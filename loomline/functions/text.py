@@ -78,30 +78,48 @@ def decompositions(keep) -> tuple[str, str, dict[str, str]]:
     return "".join(ones), "".join(became), several
 
 
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
+def in_ones(text: Column, table: tuple[str, str, dict[str, str]]) -> Column:
+    """The text with those of the table's characters replaced that become one; one that is all ASCII is left as it is."""
+    return F.when(is_ascii(text), text).otherwise(F.translate(text, *table[:2]))
+
+
+def in_several(text: Column, table: tuple[str, str, dict[str, str]]) -> Column:
+    """The text with those of the table's characters replaced that become several; one that is all ASCII is left as it is."""
+    names = F.create_map(*[F.lit(x) for pair in table[2].items() for x in pair])
+    each = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c < "\x80", c).otherwise(F.coalesce(F.try_element_at(names, c), c))), "")
+    return F.when(is_ascii(text), text).otherwise(each)
+
+
 def decomposed(text: Column, table: tuple[str, str, dict[str, str]]) -> Column:
-    """The text with the table's characters replaced; one that is all ASCII is left as it is."""
-    ones, became, several = table
-    names = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    each = F.array_join(F.transform(F.split(F.translate(text, ones, became), ""), lambda c: F.when(c < "\x80", c).otherwise(F.coalesce(F.try_element_at(names, c), c))), "")
-    return F.when(F.octet_length(text) == F.length(text), text).otherwise(each)
+    """The text with the table's characters replaced."""
+    return in_several(in_ones(text, table), table)
 
 
 TO_ASCII = decompositions(str.isascii)
 
 
+def only_ascii(text: Column) -> Column:
+    """The rest of ``ascii_fold`` for a text of which ``in_ones`` was taken."""
+    return F.lower(F.when(is_ascii(text), text).otherwise(F.regexp_replace(in_several(text, TO_ASCII), "[^\\x00-\\x7F]+", "")))
+
+
 def ascii_fold(text: Column) -> Column:
     """Compatibility decomposition without what is not ASCII, in lower case."""
-    folded = F.regexp_replace(decomposed(text, TO_ASCII), "[^\\x00-\\x7F]+", "")
-    return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(folded))
+    return only_ascii(in_ones(text, TO_ASCII))
 
 
 def signature_of_folded(folded: Column) -> Column:
     """Letters of a folded name in order: no suffixes, apostrophes, word order or format survive."""
     # A suffix that is a word of its own goes, and all that is no letter or digit.
-    bare = F.regexp_replace(folded, rf"(?<![a-z0-9'])(?:{'|'.join(NAME_SUFFIXES)})(?![a-z0-9'])|[^a-z0-9]+", "")
+    firsts = "".join(sorted({s[0] for s in NAME_SUFFIXES}))
+    bare = F.regexp_replace(folded, rf"(?=[{firsts}])(?<![a-z0-9'])(?:{'|'.join(NAME_SUFFIXES)})(?![a-z0-9'])", "")
     # Most names hold none, which is told faster than by the pattern.
     suffixed = reduce(lambda a, b: a | b, [F.contains(folded, F.lit(s)) for s in SHORTEST_SUFFIXES])
-    joined = F.when(suffixed, bare).otherwise(F.translate(folded, NO_LETTERS, ""))
+    joined = F.translate(F.when(suffixed, bare).otherwise(folded), NO_LETTERS, "")
     return F.array_join(F.sort_array(F.split(joined, "")), "")
 
 
@@ -130,8 +148,9 @@ def team_norm(team: Column) -> Column:
 
 def lineup_key(team: Column, players: Column) -> Column:
     """Sixteen hex digits that identify a team's set of players; null without team or players."""
-    # Folded in a step of its own, as what is used several times in a lambda is also made several times.
-    signatures = F.sort_array(F.transform(F.transform(players, ascii_fold), signature_of_folded))
+    # In steps of their own, as what is used several times in a lambda is also made several times.
+    folded = F.transform(F.transform(players, lambda n: in_ones(n, TO_ASCII)), only_ascii)
+    signatures = F.sort_array(F.transform(folded, signature_of_folded))
     body = F.concat(team_norm(team), F.lit("|"), F.array_join(signatures, "|"))
     # Team and players are not null here, and neither is the key. Saying so lets joins test keys for null without making them.
     key = F.coalesce(F.substring(F.md5(body.cast("binary")), 1, 16), F.lit(""))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,10 +93,11 @@ def side(values: dict[str, str], where: str) -> str:
     return f"CASE WHEN {where} THEN {filled(values, schemas.struct(schemas.SIDE_STATS))} END"
 
 
-def gathered(rows: DataFrame, part: Column) -> DataFrame:
-    """(contest_id, _cid, r): each game's parts in order of time."""
-    listed = rows.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", part.alias("part")))).alias("r"))
-    return listed.select("contest_id", F.col("contest_id").alias("_cid"), F.transform("r", lambda x: x["part"]).alias("r"))
+def gathered(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """(contest_id, _cid, name): each game's rows in order of time, which they carry."""
+    # Rows are made before the exchange, in compiled code; within the aggregate they would be interpreted, and nothing is gained by gathering twice.
+    made = rows.select("contest_id", F.struct("ts", "event_id", *columns).alias("e")).repartition("contest_id")
+    return made.groupBy("contest_id").agg(F.sort_array(F.collect_list("e")).alias(name)).withColumn("_cid", F.col("contest_id"))
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,21 +106,21 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def games(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """Payloads with play-by-play; of an event only the columns asked for are gathered."""
-    part = F.struct(*(columns or [n for n in EVENT if n != "contest_id"]))
-    return gathered(event_rows(spark, sf_dir), part).withColumnRenamed("r", "pbp")
+    return gathered(event_rows(spark, sf_dir), columns or [n for n in EVENT if n not in ("contest_id", "event_id")], "pbp")
 
 
 def box_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads with box rows of the first two slots."""
-    pair = F.array(*[F.struct(F.col("home").alias("team"), F.col(f"home_{i}").alias("player")) for i in (1, 2)])
-    return gathered(event_rows(spark, sf_dir), pair).select("contest_id", "_cid", F.flatten("r").alias("player_box"))
+    pair = lambda x: F.array(*[F.struct(x["home"].alias("team"), x[f"home_{i}"].alias("player")) for i in (1, 2)])
+    return gathered(event_rows(spark, sf_dir), ["home", "home_1", "home_2"], "r").select("contest_id", "_cid", F.flatten(F.transform("r", pair)).alias("player_box"))
 
 
 def lineup_games(spark: SparkSession, sf_dir: str, values: dict[str, str]) -> DataFrame:
     """Payloads with nested lineups of every fifth event, by the expressions of their values."""
     lineup = F.expr(filled(values, schemas.struct(f"x {schemas.LINEUP}")["x"].dataType))
     # Games without such events have no lineups, and so no rows either way.
-    return gathered(event_rows(spark, sf_dir).where("event_id % 5 = 0"), lineup).withColumnRenamed("r", "lineups")
+    rows = event_rows(spark, sf_dir).where("event_id % 5 = 0").select("contest_id", "ts", "event_id", lineup.alias("lineup"))
+    return gathered(rows, ["lineup.*"], "lineups")
 
 
 def flag_sql(needle: str) -> str:
