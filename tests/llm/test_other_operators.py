@@ -489,6 +489,54 @@ def test_search_odd_rows(spark):
     assert search.top_k(docs, docs.limit(0)).count() == 0
 
 
+def test_search_in_groups_matches_brute_force(spark, monkeypatch):
+    """Queries of two vocabularies, in small groups, with postings added a few at a time."""
+    for name, value in {"COMMON": 5, "GROUP": 3, "LEAD": 6, "BLOCK": 4, "CHUNK_DOCS": 90, "FILE_CHUNKS": 1, "ADDED_POSTINGS": 11, "STEP_QUERIES": 2}.items():
+        monkeypatch.setattr(search, name, value)
+    rng = random.Random(5)
+    vocabularies = [[f"{x}{int(rng.paretovariate(0.7))}" for _ in range(200)] for x in "ab"]
+    rows = [(i, " ".join(rng.choice(vocabularies[i // 7 % 2]) for _ in range(rng.randint(1, 60)))) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = search.top_k(docs.repartition(2), docs.where(search.every_fiftieth(F.col("doc_id"))), k=10)
+    assert sorted((r.query_id, r.doc_id, r["rank"]) for r in got.collect()) == brute_search(rows, [r for r in rows if r[0] % 50 == 0], 10)
+
+
+def test_groups_have_common_terms_of_their_own(monkeypatch):
+    monkeypatch.setattr(search, "COMMON", 3)
+    monkeypatch.setattr(search, "GROUP", 8)
+    texts = [f"{'the of and' if i % 2 else 'der von und'} rare{i}" for i in range(16)]
+    block = search.QueryBlock(list(range(16)), [np.unique(search.term_hashes(t)) for t in texts])
+    block.weigh(np.where(np.isin(block.terms, search.term_hashes("the of and der von und")), 500, 1), 1000)
+    assert {frozenset(block.ids[a:b] % 2) for a, b, _ in block.groups} == {frozenset({0}), frozenset({1})}
+    assert {frozenset(block.terms[c]) for _, _, c in block.groups} == {frozenset(search.term_hashes("the of and")), frozenset(search.term_hashes("der von und"))}
+    assert len(block.rows) == 16 and block.has_common.all()
+
+
+def test_chunks_are_cut_evenly_across_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "CHUNK_DOCS", 100)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        index = search.build_index(spark.createDataFrame([(i, f"a b w{i}") for i in range(210)], "doc_id long, text string").coalesce(1), str(tmp_path / "index"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(r.docs for r in index.collect()) == [70, 70, 70]
+
+
+def test_a_null_id_is_last_among_equal_documents(spark):
+    docs = spark.createDataFrame([(None, "one two")] + [(i, "one two") for i in range(1, 11)], "doc_id long, text string").coalesce(1)
+    got = search.top_k(docs, docs.where("doc_id = 1"), k=10)
+    assert [r.doc_id for r in got.orderBy("rank").collect()] == list(range(1, 11))
+
+
+def test_a_step_changes_only_the_lists_of_its_queries():
+    best = search.TopK(4, 2)
+    best.add(np.array([1, 3, 1, 1]), np.array([1.0, 5.0, 3.0, 2.0]), np.array([7, 8, 9, 10]))
+    best.add(np.array([1]), np.array([2.0]), np.array([-4]))
+    assert best.doc.tolist()[1] == [9, -4] and best.doc[3, 0] == 8
+    assert best.least.tolist() == [-np.inf, 2.0, -np.inf, -np.inf]
+
+
 @pytest.mark.parametrize(("broadcast", "partners"), [(500_000, 64), (0, 2)])
 def test_a_row_repeated_in_several_tasks_counts_once(spark, monkeypatch, broadcast, partners):
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", broadcast)
