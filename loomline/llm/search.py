@@ -33,16 +33,17 @@ K1, B = 1.2, 0.75
 CHUNK_DOCS, CHUNK_WORDS, BLOCK = 4096, 3_000_000, 64
 #: Documents of so many words are held in a task, to be put in order and cut into chunks; files of so many chunks are dealt among the shards.
 HELD_WORDS, FILE_CHUNKS, FILE_BYTES = 16_000_000, 4, "16m"
-#: A group of so many queries that share common words at most has its own common terms: those with the most (query, document) pairs, whose scores are added only where bounds allow.
-GROUP, COMMON = 1024, 768
+#: A group of so many queries that share common words at most has its own common terms: those that so many of its (query, document) pairs have,
+#: the commonest so many at most. Their scores are added only where bounds allow.
+GROUP, COMMON_PART, COMMON = 1024, 0.002, 1536
 #: Queries are grouped by the signs of so many principal components over so many of the commonest terms.
 SIGNS, LEAD = 3, 256
 #: Tasks among which the chunks are dealt, at least; each gives k rows per query. A shard has about so many words at most.
-SHARDS, SHARD_WORDS = 12, 100_000_000
+SHARDS, SHARD_WORDS = 12, 200_000_000
 #: A block of queries holds so many queries and distinct (query, term) pairs at most; it is broadcast.
 BLOCK_QUERIES, BLOCK_PAIRS = 16384, 4_000_000
 #: Queries are scored together, so many with so many (query, posting) pairs at most, or one alone.
-STEP_QUERIES, STEP_POSTINGS, STEP_EXACT = 256, 2_000_000, 2048
+STEP_QUERIES, STEP_POSTINGS, STEP_EXACT = 512, 3_000_000, 2048
 #: Of those, so many are added at once, as many as a processor's cache holds.
 ADDED_POSTINGS = 50_000
 #: Blocks are bounded by all terms' maxima before their postings are scored every so many chunks, and in those between while that skips such a part of the postings.
@@ -149,17 +150,20 @@ class QueryBlock:
         """Set idf, put queries that share common words together, and part each group's terms into common and rarer ones; only the rarer ones' pairs stay."""
         self.idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
         self.arrange(df)
-        self.groups, n_common = [], min(COMMON, len(self.terms))
-        self.has_common, rare = np.zeros((len(self.ids), n_common), bool), np.ones(len(self.rows), bool)
+        self.groups, rare = [], np.ones(len(self.rows), bool)
         for a in range(0, len(self.ids), GROUP):
-            lo, hi = np.searchsorted(self.rows, [a, a + GROUP])
-            row, of = self.rows[lo:hi], self.of[lo:hi]
-            common = np.sort(np.argsort(-np.bincount(of, minlength=len(df)) * df, kind="stable")[:n_common])
+            b = min(a + GROUP, len(self.ids))
+            lo, hi = np.searchsorted(self.rows, [a, b])
+            row, of = self.rows[lo:hi] - a, self.of[lo:hi]
+            pairs = np.bincount(of, minlength=len(df)) * df
+            common = np.argsort(-pairs, kind="stable")[:COMMON]
+            common = np.sort(common[pairs[common] > COMMON_PART * (b - a) * n_docs])
             slot = np.full(len(df), -1)
-            slot[common] = np.arange(n_common)
+            slot[common] = np.arange(len(common))
             rare[lo:hi] = slot[of] < 0
-            self.has_common[row[~rare[lo:hi]], slot[of[~rare[lo:hi]]]] = True
-            self.groups.append((a, min(a + GROUP, len(self.ids)), common))
+            has = np.zeros((b - a, len(common)), bool)
+            has[row[~rare[lo:hi]], slot[of[~rare[lo:hi]]]] = True
+            self.groups.append((a, b, common, has))
         self.rows, self.of = self.rows[rare], self.of[rare]
 
     def arrange(self, df: np.ndarray) -> None:
@@ -287,7 +291,7 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
     bounding = best.bounds()
     if bounding:
         postings.entries()
-    for first, last, terms in block.groups:
+    for first, last, terms, has in block.groups:
         lo, hi = np.searchsorted(block.rows, [first, last])
         at = postings.at[block.of[lo:hi]]
         rows, at = block.rows[lo:hi][at >= 0].astype(np.int64) - first, at[at >= 0]
@@ -295,8 +299,7 @@ def score_chunk(chunk: Chunk, block: QueryBlock, mean_length: float, best: TopK)
         about_common = common.astype(np.float32)
         block_max = about_common.reshape(postings.blocks, BLOCK, len(terms)).max(1)
         for a, b, begin, end in steps(rows, postings.sizes[at], last - first, STEP_POSTINGS):
-            has = block.has_common[first + a : first + b]
-            row, col, score = score_step(postings, rows[begin:end] - a, at[begin:end], has, weights, common, about_common, block_max, best, first + a, bounding)
+            row, col, score = score_step(postings, rows[begin:end] - a, at[begin:end], has[a:b], weights, common, about_common, block_max, best, first + a, bounding)
             if len(row):
                 best.add(first + a + row, score, chunk.doc_ids[col])
 

@@ -507,9 +507,9 @@ def test_groups_have_common_terms_of_their_own(monkeypatch):
     texts = [f"{'the of and' if i % 2 else 'der von und'} rare{i}" for i in range(16)]
     block = search.QueryBlock(list(range(16)), [np.unique(search.term_hashes(t)) for t in texts])
     block.weigh(np.where(np.isin(block.terms, search.term_hashes("the of and der von und")), 500, 1), 1000)
-    assert {frozenset(block.ids[a:b] % 2) for a, b, _ in block.groups} == {frozenset({0}), frozenset({1})}
-    assert {frozenset(block.terms[c]) for _, _, c in block.groups} == {frozenset(search.term_hashes("the of and")), frozenset(search.term_hashes("der von und"))}
-    assert len(block.rows) == 16 and block.has_common.all()
+    assert {frozenset(block.ids[a:b] % 2) for a, b, _, _ in block.groups} == {frozenset({0}), frozenset({1})}
+    assert {frozenset(block.terms[c]) for _, _, c, _ in block.groups} == {frozenset(search.term_hashes("the of and")), frozenset(search.term_hashes("der von und"))}
+    assert len(block.rows) == 16 and all(has.all() for *_, has in block.groups)
 
 
 def test_chunks_are_cut_evenly_across_batches(spark, tmp_path, monkeypatch):
