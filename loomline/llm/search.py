@@ -156,8 +156,8 @@ class QueryBlock:
             lo, hi = np.searchsorted(self.rows, [a, b])
             row, of = self.rows[lo:hi] - a, self.of[lo:hi]
             pairs = np.bincount(of, minlength=len(df)) * df
-            common = np.argsort(-pairs, kind="stable")[:COMMON]
-            common = np.sort(common[pairs[common] > COMMON_PART * (b - a) * n_docs])
+            common = np.flatnonzero(pairs > COMMON_PART * (b - a) * n_docs)
+            common = np.sort(common[np.argsort(-pairs[common], kind="stable")[:COMMON]])
             slot = np.full(len(df), -1)
             slot[common] = np.arange(len(common))
             rare[lo:hi] = slot[of] < 0
